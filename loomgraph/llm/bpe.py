@@ -5,8 +5,7 @@ forms with the next live node; an inner node holds the smallest rank below it, a
 root, joins the leftmost pair of smallest rank and sets three leaves again, which costs a path to the root each. So a
 piece of n bytes takes O(n log n), a megabyte without any space included.
 
-Texts are split at spaces into units that the split pattern can never join (``units``), so that a bounded memo of
-units saves most of the work. A null text counts as empty and gives no ids; repeated rows give repeated results;
+Texts are cut at spaces into units (``loomgraph.llm.units``), so that a memo of bounded size saves most of the work. A null text counts as empty and gives no ids; repeated rows give repeated results;
 unpaired surrogates cannot occur in Spark strings; other columns are left alone.
 """
 
@@ -14,7 +13,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from collections.abc import Iterator
 from functools import cache
 
@@ -23,16 +21,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from loomgraph.llm.units import STARTS, UnitMemo
+
 NONE = 1 << 60
 NO_RANK = np.int32(2**31 - 1)
 #: Longest piece in bytes that is encoded together with others, and pieces together.
 LARGEST, TREES = 64, 1 << 14
-#: Starts the key of a unit that doesn't follow a space; no unit that does can hold a space.
-MARK = "\0 "
-#: Units kept by each Python worker (some 200 bytes each); others are encoded again wherever they stand.
-MEMO_UNITS = 400_000
-#: A space inside a run of white space: texts with one are split by the pattern alone.
-INNER_SPACE = re.compile(r"\s (?:\s|\Z)")
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -99,7 +93,7 @@ class Codec:
     def __init__(self, ranks_path: str, pattern: str):
         self.ranks = load_ranks(ranks_path)
         self.pattern = regex.compile(pattern)
-        self.memo: dict[str, bytes] = {}
+        self.memo = UnitMemo(self.units)
         size = max(self.ranks.values()) + 1
         tokens = [b""] * size
         for token, rank in self.ranks.items():
@@ -184,41 +178,37 @@ class Codec:
                     out[x] = ids
         return out
 
-    def units(self, text: str) -> list[str]:
-        """Keys of the memo for a text's units. With the mark, a unit as it is; without, one that follows a space.
-
-        The pattern starts a match at any space that follows a character other than white space, and at the last space
-        of a run before a word; what stands to the left sees white space or its end there. So these cuts change nothing.
-        """
-        if INNER_SPACE.search(text):
-            return [MARK + piece for piece in self.pattern.findall(text)]
-        units = text.split(" ")
-        if units[0]:
-            units[0] = MARK + units[0]
-            return units
-        return units[1:]
-
-    def encode_many(self, texts: list[str]) -> list[bytes]:
-        """Ids of whole texts as little-endian 32-bit integers."""
-        split = [self.units(t) for t in texts]
-        memo = self.memo
-        if missing := list({u for units in split for u in units if u not in memo}):
-            found = [self.pattern.findall(u[len(MARK) :] if u.startswith(MARK) else f" {u}") for u in missing]
-            ids = iter(self.pieces([p.encode() for pieces in found for p in pieces]))
-            fresh = {u: b"".join([next(ids) for _ in pieces]) for u, pieces in zip(missing, found, strict=True)}
-            for unit in fresh:  # a full memo stays as it is: what is frequent came early
-                if len(memo) >= MEMO_UNITS:
-                    break
-                memo[unit] = fresh[unit]
-            return [b"".join([memo.get(u) or fresh[u] for u in units]) for units in split]
-        return [b"".join([memo[u] for u in units]) for units in split]
-
-    def encode(self, text: str) -> bytes:
-        return self.encode_many([text])[0]
-
-    def decode(self, ids: bytes) -> bytes:
+    def units(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units, and how many each has. Units that may follow any other are split by the pattern together."""
+        alone = [i for i, u in enumerate(units) if not (u[:1] == b" " and len(u) > 1 and STARTS[u[1]])]
+        aside = set(alone)
+        order = alone + [i for i in range(len(units)) if i not in aside]
+        pieces = [p.encode() for i in alone for p in self.pattern.findall(units[i].decode())]
+        pieces += [p.encode() for p in self.pattern.findall(b"".join([units[i] for i in order[len(alone) :]]).decode())]
+        packed = self.pieces(pieces)
+        ends = np.cumsum([len(units[i]) for i in order])
+        stop = np.searchsorted(np.cumsum([len(p) for p in pieces]), ends) + 1
+        after = np.concatenate(([0], np.cumsum([len(x) // 4 for x in packed])))[stop]
+        counts = np.zeros(len(units), np.int64)
+        counts[order] = np.diff(after, prepend=0)
+        ids = np.frombuffer(b"".join(packed), "<u4")
+        if not alone:
+            return ids, counts
+        first = (np.cumsum(counts) - counts)[order]
+        size = counts[order]
+        out = np.empty(len(ids), np.uint32)
+        out[np.repeat(first - (np.cumsum(size) - size), size) + np.arange(len(ids))] = ids
+        return out, counts
+
+    def encode_many(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts one after another, and how many each has."""
+        return self.memo(texts)
+
+    def encode(self, text: str) -> np.ndarray:
+        return self.memo([text.encode()])[0]
+
+    def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of a run of ids."""
-        ids = np.frombuffer(ids, "<u4")
         if not len(ids):
             return b""
         if int(ids.max()) >= len(self.lengths):
@@ -253,7 +243,7 @@ def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str, *, keep:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks_path, pattern)
         for batch in batches:
-            texts = [own.decode(np.array(ids or [], "<u4").tobytes()).decode("utf-8", "replace") for ids in batch.column(len(keep)).to_pylist()]
+            texts = [own.decode(np.array(ids or [], np.int64)).decode("utf-8", "replace") for ids in batch.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(texts, pa.string())], [*keep, "text"])
 
     return source.mapInArrow(run, schema)
@@ -271,13 +261,16 @@ def _encoded(docs: DataFrame, ranks_path: str, pattern: str, keep: tuple[str, ..
             for at in range(0, max(1, batch.num_rows), 512):
                 part = batch.slice(at, 512)
                 counts, first, second, ids, decoded = [], [], [], [], []
-                for packed in own.encode_many([t or "" for t in part.column(len(keep)).to_pylist()]):
+                tokens, sizes = own.encode_many([(t or "").encode() for t in part.column(len(keep)).to_pylist()])
+                stops = np.cumsum(sizes).tolist()
+                for a, b in zip([0, *stops], stops, strict=False):
+                    packed = tokens[a:b].astype("<u4")
                     back = own.decode(packed)
-                    counts.append(len(packed) // 4)
-                    first.append(hashlib.sha256(packed).hexdigest())
+                    counts.append(len(packed))
+                    first.append(hashlib.sha256(packed.tobytes()).hexdigest())
                     second.append(hashlib.sha256(back).hexdigest())
                     if whole:
-                        ids.append(np.frombuffer(packed, "<i4"))
+                        ids.append(packed.astype(np.int32))
                         decoded.append(back)
                 arrays = [pa.array(counts, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())]
                 if whole:

@@ -7,8 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.llm import bpe
-from loomgraph.llm.common import table
+from loomgraph.llm import bpe, token_store
+from loomgraph.llm.common import new_path, table
+
+
+def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "tokens")
+    token_store.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_store.read_documents(spark, path)
 
 
 def op4_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +23,7 @@ def op4_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_token_store": op3_token_store,
     "op4_byte_level_bpe": op4_byte_level_bpe,
 }
 
