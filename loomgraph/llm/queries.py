@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.llm import bpe, token_store
+from loomgraph.llm import bpe, jaccard, token_store
 from loomgraph.llm.common import new_path, table
 
 
@@ -22,9 +22,14 @@ def op4_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_components(table(spark, sf_dir, "documents"), jaccard.Measure(words=3, percent=90))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_store": op3_token_store,
     "op4_byte_level_bpe": op4_byte_level_bpe,
+    "op6_jaccard_join": op6_jaccard_join,
 }
 
 SQL: dict[str, str] = {}
