@@ -102,6 +102,11 @@ class WordHasher:
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the words of all texts in order, and offsets: text i has words offsets[i] to offsets[i + 1]."""
+        hashes, at = self.with_prefixes(texts, ())
+        return hashes[0], at
+
+    def with_prefixes(self, texts: list[bytes], prefixes: tuple[tuple[int, bool], ...]) -> tuple[list[np.ndarray], np.ndarray]:
+        """As a call; besides the words' hashes those of their prefixes of so many bytes, with the word's length or not."""
         joined = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
         n = len(joined)
         if len(self.powers) < n + 1:
@@ -111,10 +116,14 @@ class WordHasher:
         starts, ends = edge[::2], edge[1::2]
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(self.bytes[joined] * self.powers[:n], out=sums[1:])
-        hashes = mix((sums[ends] - sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
+        found = [mix((sums[ends] - sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))]
+        for size, with_length in prefixes:
+            stop = np.minimum(starts + size, ends)
+            extra = (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) if with_length else np.uint64(0)
+            found.append(mix((sums[stop] - sums[starts]) * self.inverse[starts] + np.uint64(size << 8) + extra))
         at = np.zeros(len(texts) + 1, np.int64)
         np.cumsum([len(t) + 1 for t in texts], out=at[1:])
-        return hashes, np.searchsorted(starts, at)
+        return found, np.searchsorted(starts, at)
 
 
 def not_in(ranges: list[tuple[int, int]]) -> np.ndarray:

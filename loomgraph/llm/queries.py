@@ -6,11 +6,20 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loomgraph.llm import bpe, jaccard, token_store
+from loomgraph.llm import bpe, jaccard, token_store, toxicity
 from loomgraph.llm.common import new_path, table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), learn=fold != 1)
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    return toxicity.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted", "flagged")
+
+
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "tokens")
     token_store.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -27,6 +36,7 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op3_token_store": op3_token_store,
     "op4_byte_level_bpe": op4_byte_level_bpe,
     "op6_jaccard_join": op6_jaccard_join,
