@@ -19,6 +19,8 @@ ENDS = (np.arange(256) > 0x20) & (np.arange(256) < 0x7F)
 STARTS = ENDS | ((np.arange(256) >= 0xC3) & ~np.isin(np.arange(256), (0xE1, 0xE2, 0xE3)))
 #: Longer units are encoded wherever they stand.
 LONGEST = 96
+#: Bytes of text whose arrays a worker holds at once, but for a single longer text.
+SLICE = 1 << 19
 
 
 def cuts(joined: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -46,10 +48,21 @@ class UnitMemo:
         self.counts = np.zeros(4 * units, np.uint8)
         self.pool, self.used = np.zeros(4 * units, np.uint16), 0
         self.bytes = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-        self.powers, self.inverse = _powers(1 << 21)
+        self.powers, self.inverse = _powers(1 << 20)
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts one after another, and how many each has."""
+        """Ids of all texts one after another, and how many each has. Whole texts are taken SLICE bytes at a time."""
+        found, first, held = [], 0, 0
+        for i, text in enumerate(texts):
+            held += len(text)
+            if held >= SLICE or i == len(texts) - 1:
+                found.append(self.some(texts[first : i + 1]))
+                first, held = i + 1, 0
+        if not found:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+
+    def some(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         joined = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
         at = np.zeros(len(texts) + 1, np.int64)
         np.cumsum([len(t) + 1 for t in texts], out=at[1:])
@@ -58,7 +71,7 @@ class UnitMemo:
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
         n = len(joined)
         if len(self.powers) < n + 1:
-            self.powers, self.inverse = _powers(2 * n)
+            self.powers, self.inverse = _powers(n + 1)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(self.bytes[joined] * self.powers[:n], out=sums[1:])
         size = (ends - starts).astype(np.uint64)
