@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.llm import bpe, jaccard, token_store, toxicity
+from loomgraph.llm import bpe, jaccard, licenses, line_rules, mixing, token_store, toxicity
 from loomgraph.llm.common import new_path, table
 
 
@@ -20,6 +20,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted", "flagged")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "tokens")
     token_store.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -35,11 +39,26 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(table(spark, sf_dir, "documents"), jaccard.Measure(words=3, percent=90))
 
 
+def op9_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.quality(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_license_scan": op2_license_scan,
     "op3_token_store": op3_token_store,
     "op4_byte_level_bpe": op4_byte_level_bpe,
     "op6_jaccard_join": op6_jaccard_join,
+    "op9_pareto_mix": op9_pareto_mix,
+    "op10_line_frequency": op10_line_frequency,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_license_scan": licenses.report_sql(),
+    "op9_pareto_mix": mixing.mix_sql(),
+    "op10_line_frequency": line_rules.quality_sql(),
+}
