@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.llm import bpe, jaccard, licenses, line_rules, mixing, token_store, toxicity
+from loomgraph.llm import bpe, jaccard, licenses, line_rules, mixing, pii, token_store, toxicity
 from loomgraph.llm.common import new_path, table
 
 
@@ -39,6 +39,10 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(table(spark, sf_dir, "documents"), jaccard.Measure(words=3, percent=90))
 
 
+def op8_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.private_values(table(spark, sf_dir, "documents"))
+
+
 def op9_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_store": op3_token_store,
     "op4_byte_level_bpe": op4_byte_level_bpe,
     "op6_jaccard_join": op6_jaccard_join,
+    "op8_pseudonyms": op8_pseudonyms,
     "op9_pareto_mix": op9_pareto_mix,
     "op10_line_frequency": op10_line_frequency,
 }
