@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.llm import bpe, jaccard, licenses, line_rules, mixing, pii, token_store, toxicity
+from loomgraph.llm import ann, bpe, jaccard, licenses, line_rules, mixing, pii, token_store, toxicity
 from loomgraph.llm.common import new_path, table
 
 
@@ -35,6 +35,10 @@ def op4_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_additive_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 20 == 0, k=20)
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(table(spark, sf_dir, "documents"), jaccard.Measure(words=3, percent=90))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
     "op3_token_store": op3_token_store,
     "op4_byte_level_bpe": op4_byte_level_bpe,
+    "op5_additive_quantisation": op5_additive_quantisation,
     "op6_jaccard_join": op6_jaccard_join,
     "op8_pseudonyms": op8_pseudonyms,
     "op9_pareto_mix": op9_pareto_mix,
