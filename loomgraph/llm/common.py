@@ -37,6 +37,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_small(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """A table of a few numbers a row that has been written before: broadcast if it has at most so many rows, else left
+    to Spark's own choice of a join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import SPACED, WordHasher, materialize, mix, text_slices
+from loomgraph.llm.common import SPACED, WordHasher, broadcast_if_small, materialize, mix, text_slices
 from loomgraph.llm.graph import components
 
 #: Pieces beyond those needed, as a share of them.
@@ -127,17 +127,24 @@ def signature(own: np.ndarray) -> tuple[int, int]:
 
 
 def signatures(docs: DataFrame, measure: Measure) -> DataFrame:
-    """doc_id, n (shingles), node and check (the set's signature) of each text."""
+    """doc_id, text_hash, n (shingles), node and check (the set's signature), band and sketch (folded) of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts, _ = _bands(measure)
         with np.errstate(over="ignore"):
             for batch in batches:
-                for first, texts in text_slices(batch.column(1)):
-                    rows = [(len(own), *signature(own)) for own in _shingles(texts, measure.words)]
-                    columns = np.array(rows, np.int64).reshape(-1, 3).T
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), *map(pa.array, columns)], ["doc_id", "n", "node", "check"])
+                for first, texts in text_slices(batch.column(2)):
+                    rows, sketch = [], []
+                    for own in _shingles(texts, measure.words):
+                        band = int(np.searchsorted(starts, len(own), "right")) - 1
+                        rows.append((len(own), *signature(own), band))
+                        sketch.append(folded(own, int(starts[band])) if band >= 0 else b"")
+                    columns = np.array(rows, np.int64).reshape(-1, 4).T
+                    own = [batch.column(k).slice(first, len(texts)) for k in (0, 1)]
+                    yield pa.RecordBatch.from_arrays([*own, *map(pa.array, columns), pa.array(sketch, pa.binary())], ["doc_id", "text_hash", "n", "node", "check", "band", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, node long, check long")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return source.mapInArrow(run, "doc_id long, text_hash long, n long, node long, check long, band long, sketch binary")
 
 
 def piece_keys(docs: DataFrame, measure: Measure) -> DataFrame:
@@ -196,35 +203,26 @@ def candidates(keyed: DataFrame) -> DataFrame:
 
 
 def node_sets(docs: DataFrame, wanted: DataFrame, measure: Measure) -> DataFrame:
-    """node, n, band, sketch (folded) and hashes (sorted) of the wanted (node, first doc_id)."""
+    """node and hashes (sorted) of the wanted nodes, from the texts (doc_id, text_hash) that stand for them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        starts, _ = _bands(measure)
         with np.errstate(over="ignore"):
             for batch in batches:
-                for first, texts in text_slices(batch.column(1)):
+                for _, texts in text_slices(batch.column(0)):
                     sets = list(_shingles(texts, measure.words))
-                    bands = [int(np.searchsorted(starts, len(x), "right")) - 1 for x in sets]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            batch.column(0).slice(first, len(texts)),
-                            pa.array([signature(x)[0] for x in sets], pa.int64()),
-                            pa.array([len(x) for x in sets], pa.int64()),
-                            pa.array(bands, pa.int32()),
-                            pa.array([folded(x, int(starts[b])) if b >= 0 else b"" for x, b in zip(sets, bands, strict=True)], pa.binary()),
-                            pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int32), np.concatenate(sets).view(np.int64)),
-                        ],
-                        ["doc_id", "node", "n", "band", "sketch", "hashes"],
-                    )
-
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.select("doc_id"), "doc_id", "left_semi")
-    made = own.mapInArrow(run, "doc_id long, node long, n long, band int, sketch binary, hashes array<long>")
-    return made.join(wanted, ["doc_id", "node"], "left_semi").dropDuplicates(["node"]).drop("doc_id")
-
-
-def near_enough(pairs: DataFrame, sets: DataFrame, measure: Measure) -> DataFrame:
+                    hashes = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int32), np.concatenate(sets).view(np.int64))
+                    yield pa.RecordBatch.from_arrays([pa.array([signature(x)[0] for x in sets], pa.int64()), hashes], ["node", "hashes"])
+
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    own = own.join(broadcast_if_small(wanted.select("doc_id", "text_hash")), ["doc_id", "text_hash"], "left_semi")
+    if docs.groupBy("doc_id").count().where("count > 1").head(1):  # rows that repeat a doc_id: one of each text is enough
+        own = own.dropDuplicates(["doc_id", "text_hash"])
+    return own.select("text").mapInArrow(run, "node long, hashes array<long>")
+
+
+def near_enough(pairs: DataFrame, nodes: DataFrame, measure: Measure) -> DataFrame:
     """The pairs (a, b) of nodes whose sizes and folded sketches allow a link."""
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
+    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,8 +239,11 @@ def near_enough(pairs: DataFrame, sets: DataFrame, measure: Measure) -> DataFram
     return sized.where(limit).select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long")
 
 
-def linked(pairs: DataFrame, sets: DataFrame, measure: Measure) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets reach the similarity, compared exactly."""
+def linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, measure: Measure) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets reach the similarity, compared exactly. pairs is read more than once."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = materialize(nodes.join(ends, "node").select("node", "doc_id", "text_hash"), "wanted")
+    sets = materialize(node_sets(docs, wanted, measure), "sets")
     side = lambda x, y: sets.select(F.col("node").alias(x), F.col("hashes").alias(y))
     both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
     common = F.size(F.array_intersect("x", "y")).cast("long")
@@ -297,16 +298,17 @@ def similar_components(docs: DataFrame, measure: Measure = Measure()) -> DataFra
     nodes = materialize(nodes.select(clash.cast("long").alias("node"), "first"), "nodes")
 
     star = materialize(candidates(piece_keys(docs, measure)), "candidates")
-    wanted = star.select(F.col("a").alias("node")).union(star.select(F.col("b").alias("node"))).distinct()
-    sets = materialize(node_sets(docs, materialize(nodes.join(wanted, "node").select("node", F.col("first").alias("doc_id")), "wanted"), measure), "sets")
-    links = materialize(linked(near_enough(star, sets, measure), sets, measure), "links")
+    ends = star.select(F.col("a").alias("node")).union(star.select(F.col("b").alias("node"))).distinct()
+    stand = nodes.join(ends, "node").select("node", F.col("first").alias("doc_id"))
+    info = materialize(each.join(stand, ["node", "doc_id"]).dropDuplicates(["node"]).select("node", "doc_id", "text_hash", "n", "band", "sketch"), "info")
+    links = materialize(linked(materialize(near_enough(star, info, measure), "near"), docs, info, measure), "links")
 
     group = components(star).withColumnRenamed("component", "group")
     done = components(links)
     placed = group.join(done, "node", "left").select("node", "group", F.coalesce("component", "node").alias("linked"))
     open_groups = placed.groupBy("group").agg(F.min("linked").alias("x"), F.max("linked").alias("y"), F.count("*").alias("m")).where("x < y and m > 2")
-    rest = placed.join(open_groups.select("group"), "group").join(sets, "node").select("group", "linked", "node", "n", "band", "sketch")
-    more = linked(materialize(_residual(materialize(rest, "rest"), measure), "more"), sets, measure)
+    rest = placed.join(open_groups.select("group"), "group").join(info, "node").select("group", "linked", "node", "n", "band", "sketch")
+    more = linked(materialize(_residual(materialize(rest, "rest"), measure), "more"), docs, info, measure)
     joined = components(done.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
     named = nodes.join(joined, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
@@ -322,7 +324,9 @@ def keep_one(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     Texts without words are linked with nothing, so each row of them stays, and so do rows whose doc_id is null.
     """
     found = similar_components(docs.select("doc_id", "text"), measure)
-    away = found.where("component_id <> doc_id").select("doc_id").distinct()
-    left = docs.join(away, "doc_id", "left_anti")
+    away = materialize(found.where("component_id <> doc_id").select("doc_id").distinct(), "away")
+    left = docs.join(broadcast_if_small(away), "doc_id", "left_anti").select(*docs.columns)
+    if not docs.groupBy("doc_id").count().where("doc_id is not null and count > 1").head(1):
+        return left
     blank = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]") | F.col("doc_id").isNull()
     return left.where(blank).unionByName(left.where(~blank).dropDuplicates(["doc_id"]))
