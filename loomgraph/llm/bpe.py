@@ -227,12 +227,17 @@ def codec(ranks_path: str, pattern: str) -> Codec:
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, *, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns ``keep``, ids (array of int), n_tokens, ids_sha256, decoded (binary) and decoded_sha256 of each text."""
-    return _encoded(docs, ranks_path, pattern, keep, True)
+    return _encoded(docs, ranks_path, pattern, keep, ("ids", "decoded"))
+
+
+def encode_ids(docs: DataFrame, ranks_path: str, pattern: str, *, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """As encode_documents, but without the decoded bytes themselves."""
+    return _encoded(docs, ranks_path, pattern, keep, ("ids",))
 
 
 def encode_digests(docs: DataFrame, ranks_path: str, pattern: str, *, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """As encode_documents, but without the ids and the decoded bytes themselves."""
-    return _encoded(docs, ranks_path, pattern, keep, False)
+    return _encoded(docs, ranks_path, pattern, keep, ())
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str, *, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -249,11 +254,11 @@ def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str, *, keep:
     return source.mapInArrow(run, schema)
 
 
-def _encoded(docs: DataFrame, ranks_path: str, pattern: str, keep: tuple[str, ...], whole: bool) -> DataFrame:
+def _encoded(docs: DataFrame, ranks_path: str, pattern: str, keep: tuple[str, ...], extra: tuple[str, ...]) -> DataFrame:
     source = docs.select(*keep, "text")
-    more = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded binary" * whole
+    more = "n_tokens long, ids_sha256 string, decoded_sha256 string" + "".join(", ids array<int>" if c == "ids" else ", decoded binary" for c in extra)
     schema = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in keep) + ", " + more
-    names = [*keep, "n_tokens", "ids_sha256", "decoded_sha256", *(["ids", "decoded"] if whole else [])]
+    names = [*keep, "n_tokens", "ids_sha256", "decoded_sha256", *extra]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks_path, pattern)
@@ -269,12 +274,12 @@ def _encoded(docs: DataFrame, ranks_path: str, pattern: str, keep: tuple[str, ..
                     counts.append(len(packed))
                     first.append(hashlib.sha256(packed.tobytes()).hexdigest())
                     second.append(hashlib.sha256(back).hexdigest())
-                    if whole:
+                    if "ids" in extra:
                         ids.append(packed.astype(np.int32))
+                    if "decoded" in extra:
                         decoded.append(back)
                 arrays = [pa.array(counts, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())]
-                if whole:
-                    arrays += [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.binary())]
+                arrays += [pa.array(ids, pa.list_(pa.int32())) if c == "ids" else pa.array(decoded, pa.binary()) for c in extra]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *arrays], names)
 
     return source.mapInArrow(run, schema)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.llm import ann, bpe, jaccard, licenses, line_rules, mixing, pii, token_store, toxicity
+from loomgraph.llm import ann, bpe, jaccard, licenses, line_rules, mixing, pii, quality_model, token_store, toxicity
 from loomgraph.llm.common import new_path, table
 
 
@@ -43,6 +43,13 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(table(spark, sf_dir, "documents"), jaccard.Measure(words=3, percent=90))
 
 
+def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    settings = quality_model.Settings()
+    scored = quality_model.score(docs, quality_model.fit(docs, settings=settings))
+    return scored.select("doc_id", "score", (F.col("score") >= settings.threshold).alias("kept"))
+
+
 def op8_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.private_values(table(spark, sf_dir, "documents"))
 
@@ -62,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_level_bpe": op4_byte_level_bpe,
     "op5_additive_quantisation": op5_additive_quantisation,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_quality_model": op7_quality_model,
     "op8_pseudonyms": op8_pseudonyms,
     "op9_pareto_mix": op9_pareto_mix,
     "op10_line_frequency": op10_line_frequency,
