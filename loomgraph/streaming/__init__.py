@@ -1,0 +1 @@
+"""Nothing here: all inputs are finite files, and no operator keeps state between batches."""
