@@ -45,7 +45,7 @@ def classify_files(files: DataFrame, *, test_prefix: str = "Vh5205_") -> DataFra
     at = lambda p: F.regexp_instr("name", F.lit(p))
     return own.select(
         "*",
-        F.when(is_test, F.concat(F.lit(test_prefix), number)).alias("test_id"),
+        F.when(is_test, F.concat(F.lit(f"{test_prefix}C-"), number)).alias("test_id"),
         F.when(is_test, F.replace(kind, F.lit("-"), F.lit("_"))).alias("file_type"),
         F.when(is_test, at("(?i)(MD-TR|Creep|Loading)") < at("(?i)C-[0-9]+")).alias("type_first"),
     )
