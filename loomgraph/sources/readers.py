@@ -53,7 +53,7 @@ def read_affiliations(spark: SparkSession, path: str) -> DataFrame:
 
 def read_documents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(documents, errors) of ``.json`` files, whole: source_path, text and doc (variant); empty or unreadable ones are errors."""
-    files = spark.read.option("pathGlobFilter", "*.json").option("wholetext", True).text(path)
+    files = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True)
     parsed = files.select(F.col("_metadata.file_path").alias("source_path"), F.col("value").alias("text"), F.try_parse_json("value").alias("doc"))
     message = F.when(F.trim("text") == "", "empty file").when(F.col("doc").isNull(), "not JSON")
     judged = parsed.withColumn("message", message)
@@ -72,7 +72,7 @@ def read_type_registry(spark: SparkSession, folder: str) -> dict[str, DataFrame]
     schema = f"Identifier string, name string, Schema struct<Type: string, Properties: array<struct<{inner}>>>"
 
     def load(kind: str) -> DataFrame:
-        text = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(f"{folder}/{kind}")
+        text = spark.read.option("pathGlobFilter", "*.json").text(f"{folder}/{kind}", wholetext=True)
         parsed = text.select(F.from_json("value", schema).alias("j"), F.get_json_object("value", "$.identifier").alias("lower"))
         return parsed.select(F.coalesce("j.Identifier", "lower").alias("pid"), F.col("j.name").alias("name"), F.col("j.Schema").alias("s"))
 
