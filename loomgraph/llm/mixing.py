@@ -89,10 +89,10 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, most: float =
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs that the mix takes, each as often as it takes it."""
-    taken = mix(docs, **options).where("copies > 0").groupBy("doc_id", "text_hash").agg(F.max("copies").alias("copies"))
+    taken = mix(docs, **options).where("copies > 0").groupBy("doc_id", "text_hash").agg(F.max("copies").alias("copies_"))
     own = docs.withColumn("text_hash_", F.xxhash64("text"))
-    both = own.join(taken.select(F.col("doc_id").alias("id_"), F.col("text_hash").alias("hash_"), "copies"), F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("text_hash_") == F.col("hash_")))
-    return both.withColumn("copy_", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    both = own.join(taken.select(F.col("doc_id").alias("id_"), F.col("text_hash").alias("hash_"), "copies_"), F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("text_hash_") == F.col("hash_")))
+    return both.withColumn("copy_", F.explode(F.sequence(F.lit(1), F.col("copies_").cast("int")))).select(*docs.columns)
 
 
 def mix_sql(*, short: int = 20, seed: int = 11) -> str:
