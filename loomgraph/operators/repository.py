@@ -95,10 +95,9 @@ def build_files(records: DataFrame, url_base: str = "https://zenodo.org/records/
 
 def dedup_in_version(files: DataFrame, version: str = "version_doi") -> DataFrame:
     """One row per checksum in a version: the last file's attributes at the first one's position."""
-    w = Window.partitionBy(version, "checksum")
-    first = files.withColumn("first_pos", F.min("pos").over(w))
-    kept = first_per(first, [version, "checksum"], F.desc("pos"))
-    return kept.withColumn("pos", F.col("first_pos")).drop("first_pos")
+    rest = [c for c in files.columns if c not in (version, "checksum", "pos")]
+    one = files.groupBy(version, "checksum").agg(F.max_by(F.struct("pos", *rest), "pos").alias("own"), F.min("pos").alias("pos"))
+    return one.select(version, "checksum", "pos", *[F.col("own")[c].alias(c) for c in rest])
 
 
 def file_registry(files: DataFrame) -> DataFrame:

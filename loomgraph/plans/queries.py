@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.functions import columns, vocabulary
+from loomgraph.functions import vocabulary
 from loomgraph.functions.shared import shared_dir
-from loomgraph.operators import design, graph, matching, quality, records, references, repository, sheets
+from loomgraph.operators import graph, quality, records, repository, sheets
 from loomgraph.plans.adapters import TRADE_SQL, digits, document_files, landed, table, trade_graph, turns
 from loomgraph.sources import readers, writers
 
