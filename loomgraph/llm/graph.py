@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomgraph.llm.common import materialize
@@ -11,27 +11,28 @@ from loomgraph.llm.common import materialize
 def components(edges: DataFrame, *, rounds: int = 60) -> DataFrame:
     """(node, component) for every node of edges (a, b): component is the smallest node it can reach.
 
-    Each round hangs every node's larger neighbours and the node itself on its smallest neighbour, then every node's
-    smaller neighbours on the smallest (the public large-star and small-star steps), which ends in stars after a
-    logarithmic number of rounds. Loops are allowed: a node with a loop alone is its own component. Null ends are
-    dropped; repeated edges do no harm; an empty table gives an empty one. Each round is written to the shared folder.
+    Edges point from the larger node to the smaller. In each round a node and all it points at come to point at the
+    smallest of them, and then at what that one points at (pointer jumping), so ways get shorter by a factor each
+    round. The rounds end in stars. A node that many point at is never a key of the window, and the join that follows
+    pointers is one that Spark splits. Null ends are dropped; repeated edges and loops do no harm; an empty table gives
+    an empty one. Each round is written to the shared folder.
     """
     pairs = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a is not null and b is not null")
-    now = materialize(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    size = None
+    loops = pairs.where("a = b").select("a", "b")
+    now = materialize(pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    mark = None
     for _ in range(rounds):
-        # large star: each neighbour that is larger than the node points at the node's smallest neighbour or itself
-        both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b >= a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        # small star: the node and its smaller neighbours point at the smallest of them
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b"))).distinct()
-        now = materialize(small, "edges")
-        mark = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if mark == size:
+        least = now.withColumn("m", F.min("b").over(Window.partitionBy("a")))
+        star = least.select("a", "m").union(least.where("b <> m").select(F.col("b").alias("a"), "m")).distinct()
+        best = star.groupBy("a").agg(F.min("m").alias("next")).withColumnRenamed("a", "at")
+        jumped = star.join(best, star["m"] == best["at"], "left").select("a", F.coalesce("next", "m").alias("b"))
+        now = materialize(jumped.distinct(), "edges")
+        seen = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
+        if seen == mark:
             break
-        size = mark
+        mark = seen
     else:
         raise RuntimeError("components did not settle")
-    return now.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node")
+    stars = now.groupBy("a").agg(F.min("b").alias("component"))
+    every = stars.union(now.select(F.col("b").alias("a"), F.col("b").alias("component"))).union(loops)
+    return every.groupBy(F.col("a").alias("node")).agg(F.min("component").alias("component"))
