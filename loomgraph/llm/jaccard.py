@@ -256,7 +256,9 @@ def _residual(rest: DataFrame, measure: Measure) -> DataFrame:
     linked components, whose sketches are near enough. Blocks of bounded size meet; no row stands for a pair before."""
     counted = rest.join(rest.groupBy("group", "band").agg(F.ceil(F.count("*") / BLOCK).alias("parts")), ["group", "band"])
     blocks = (
-        counted.groupBy("group", "band", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"))
+        counted.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+        .repartition("group", "band", "part")  # else a group's band stays in the task that counted it
+        .groupBy("group", "band", "part")
         .agg(F.collect_list(F.struct("node", "linked", "n", "sketch")).alias("sets"))
         .select("group", "band", "part", "sets")
     )
