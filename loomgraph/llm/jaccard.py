@@ -332,3 +332,17 @@ def keep_one(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
         return left
     blank = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]") | F.col("doc_id").isNull()
     return left.where(blank).unionByName(left.where(~blank).dropDuplicates(["doc_id"]))
+
+
+def components_sql(measure: Measure) -> str:
+    """similar_components for DuckDB: all pairs that share a shingle are counted."""
+    upper, lower, k = "".join(map(chr, range(65, 91))), "".join(map(chr, range(97, 123))), measure.words
+    joined = " || ' ' || ".join(f"ws[i + {j}]" for j in range(k))
+    return rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= {k} THEN list_transform(range(1, len(ws) - {k - 2}), lambda i: {joined}) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE []::VARCHAR[] END) AS sh FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM c JOIN n p ON x = p.doc_id JOIN n q ON y = q.doc_id WHERE 100 * c >= {measure.percent} * (p.n + q.n - c)),
+r AS (SELECT doc_id AS node, doc_id AS root FROM n UNION SELECT l.y, r.root FROM r JOIN l ON l.x = r.node)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce((SELECT min(root) FROM r WHERE node = d.doc_id), d.doc_id) AS component_id FROM d LEFT JOIN n ON d.doc_id = n.doc_id"""

@@ -77,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op2_license_scan": licenses.report_sql(),
+    "op6_jaccard_join": jaccard.components_sql(jaccard.Measure(words=3, percent=90)),
     "op9_pareto_mix": mixing.mix_sql(),
     "op10_line_frequency": line_rules.quality_sql(),
 }
