@@ -10,7 +10,8 @@ linked sets agree in at least one piece (pigeonhole). Pieces without any bit wou
 1. ``signatures``: 128 bits of each text's set. Texts with the same set are one node from here on.
 2. ``piece_keys`` and ``candidates``: sets that share a key (band, piece number, piece) are candidates. Each key pairs
    its smallest node with the others, so rows stay linear in the size of a group of near copies.
-3. Candidates whose folded sketches are near enough are compared exactly, and links make components.
+3. Each node's candidates with most keys in common are compared: exactly, if their folded sketches are near enough.
+   The links that are found make components.
 4. What a key's members have not been compared for: sets that share a candidate component, stand in neighbouring
    bands and are not yet in one linked component. Their folded sketches are compared in blocks of bounded size
    against blocks, without a row for each pair; the pairs that pass are compared exactly.
@@ -29,7 +30,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomgraph.llm.common import SPACED, WordHasher, broadcast_if_small, materialize, mix, text_slices
@@ -39,6 +40,8 @@ from loomgraph.llm.graph import components
 SPARE = 0.1
 #: Sets in a block of step 4.
 BLOCK = 512
+#: Candidates of a node that step 3 compares, those with most keys in common first; step 4 compares the rest.
+LIKELY = 2
 
 
 @dataclass(frozen=True)
@@ -178,7 +181,7 @@ def piece_keys(docs: DataFrame, measure: Measure) -> DataFrame:
 
 
 def candidates(keyed: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b: the smallest node of each key with every other node of the key.
+    """Pairs (a, b), a < b, and n, the keys they meet in: the smallest node of each key with every other node of the key.
 
     Keys are dealt and sorted by Spark; a task then sees each key's nodes in order and holds only the first.
     """
@@ -199,7 +202,7 @@ def candidates(keyed: DataFrame) -> DataFrame:
             own = first != node
             yield pa.RecordBatch.from_arrays([pa.array(first[own]), pa.array(node[own])], ["a", "b"])
 
-    return keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "a long, b long").distinct()
+    return keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "a long, b long").groupBy("a", "b").agg(F.count("*").alias("n"))
 
 
 def node_sets(docs: DataFrame, wanted: DataFrame, measure: Measure) -> DataFrame:
@@ -303,9 +306,11 @@ def similar_components(docs: DataFrame, measure: Measure = Measure()) -> DataFra
     ends = star.select(F.col("a").alias("node")).union(star.select(F.col("b").alias("node"))).distinct()
     stand = nodes.join(ends, "node").select("node", F.col("first").alias("doc_id"))
     info = materialize(each.join(stand, ["node", "doc_id"]).dropDuplicates(["node"]).select("node", "doc_id", "text_hash", "n", "band", "sketch"), "info")
-    links = materialize(linked(materialize(near_enough(star, info, measure), "near"), docs, info, measure), "links")
+    # links that are likeliest: what is left is compared below, whatever these find
+    likely = star.withColumn("rank", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("n"), "a"))).where(F.col("rank") <= LIKELY).select("a", "b")
+    links = materialize(linked(materialize(near_enough(likely, info, measure), "near"), docs, info, measure), "links")
 
-    group = components(star).withColumnRenamed("component", "group")
+    group = components(star.select("a", "b")).withColumnRenamed("component", "group")
     done = components(links)
     placed = group.join(done, "node", "left").select("node", "group", F.coalesce("component", "node").alias("linked"))
     open_groups = placed.groupBy("group").agg(F.min("linked").alias("x"), F.max("linked").alias("y"), F.count("*").alias("m")).where("x < y and m > 2")
