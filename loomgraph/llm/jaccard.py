@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import SPACED, WordHasher, broadcast_if_small, materialize, mix, text_slices
+from loomgraph.llm.common import SPACED, WordHasher, broadcast_if_small, materialize, mix, rows_per_batch, text_slices
 from loomgraph.llm.graph import components
 
 #: Pieces beyond those needed, as a share of them.
@@ -315,7 +315,10 @@ def similar_components(docs: DataFrame, measure: Measure = Measure()) -> DataFra
     placed = group.join(done, "node", "left").select("node", "group", F.coalesce("component", "node").alias("linked"))
     open_groups = placed.groupBy("group").agg(F.min("linked").alias("x"), F.max("linked").alias("y"), F.count("*").alias("m")).where("x < y and m > 2")
     rest = placed.join(open_groups.select("group"), "group").join(info, "node").select("group", "linked", "node", "n", "band", "sketch")
-    more = linked(materialize(_residual(materialize(rest, "rest"), measure), "more"), docs, info, measure)
+    rest = materialize(rest, "rest")
+    with rows_per_batch(docs.sparkSession, 16):  # a row is a pair of blocks
+        more = materialize(_residual(rest, measure), "more")
+    more = linked(more, docs, info, measure)
     joined = components(done.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
     named = nodes.join(joined, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
