@@ -14,7 +14,7 @@ is a bijection for any a and b; F is taken from SHA-256 of key, kind, round and
 - ip: all four octets; ssn: areas 001-899 but 666, groups 01-99, serials 0001-9999;
 - phone: country code stays (+1, or what stands before the first separator), other digits are permuted;
 - date: days of 1900-2099, 29 February among themselves, printed in the same layout;
-- secret: hexadecimal digits of assigned tokens, eight at a time;
+- secret: 32 or more hexadecimal digits of assigned tokens, eight at a time; capitals if all letters are;
 - email: a keyed name at a keyed host below ``.invalid``, by the lower-cased address.
 
 Null texts stay null; empty texts and texts without candidates stay as they are. Repeated rows give repeated results.
@@ -33,12 +33,20 @@ ROUNDS = 8
 KEY = "change me"
 START, STOP = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 NUMBER_START, NUMBER_STOP = r"(?<![\p{L}\p{N}_.+/-])", r"(?![\p{L}\p{N}_]|[./-]\p{N})"
+#: An address may follow // or a blank and /, or another one and a dash; a path, a prefix length or a range may follow it.
+IP_START, IP_STOP = rf"(?:{NUMBER_START}|(?<=//|\s/|\.[0-9]{{1,3}}-))", r"(?![\p{L}\p{N}_]|\.\p{N})"
+#: A date may stand before a time or zone, in a path or an interval, and at either end of a range of its own layout.
+ISO, LOCAL = "[0-9]{4}-[0-9]{2}-[0-9]{2}", "[0-9]{1,2}[/.][0-9]{1,2}[/.][0-9]{4}"
+TIME = r"(?=[Tt][0-9]{2}|[Zz](?![\p{L}\p{N}_]))"
+ISO_START, ISO_STOP = rf"(?:{NUMBER_START}|(?<=/|{ISO}-))", rf"(?:(?![\p{{L}}\p{{N}}_]|[.-]\p{{N}})|{TIME}|(?=-{ISO}(?!\p{{N}})))"
+LOCAL_START, LOCAL_STOP = rf"(?:{NUMBER_START}|(?<={LOCAL}-))", rf"(?:{NUMBER_STOP}|{TIME}|(?=-{LOCAL}(?!\p{{N}})))"
 PATTERNS = {
     "email": START + r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,4}\.[A-Za-z]{2,24}" + STOP,
-    "secret": r"(?=[0-9a-f]{32})(?<=(?:token|secret|passwd|password|api_key|apikey|key)\s{0,3}[=:]\s{0,3}[\"']?)(?=[a-f]{0,63}[0-9])[0-9a-f]{32,64}" + STOP,
-    "iban": START + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + STOP,
-    "ip": NUMBER_START + r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}" + NUMBER_STOP,
-    "date": NUMBER_START + r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([/.])[0-9]{1,2}\1[0-9]{4})" + NUMBER_STOP,
+    "secret": r"(?=[0-9a-fA-F]{32})(?<=(?i:token|secret|passwd|password|api_key|apikey|key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?=[a-fA-F]*[0-9])[0-9a-fA-F]{32,}" + STOP,
+    # 32 and more hexadecimal digits are no account: no country whose letters are A to F has such long ones
+    "iban": START + r"(?![0-9A-F]{32,}(?![\p{L}\p{N}_]))[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + STOP,
+    "ip": IP_START + r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}" + IP_STOP,
+    "date": rf"(?:{ISO_START}{ISO}{ISO_STOP}|{LOCAL_START}[0-9]{{1,2}}([/.])[0-9]{{1,2}}\1[0-9]{{4}}{LOCAL_STOP})",
     "card": NUMBER_START + r"(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\2[0-9]{4}\2[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\3[0-9]{5})" + NUMBER_STOP,
     "ssn": NUMBER_START + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + NUMBER_STOP,
     "phone": r"(?<![\p{L}\p{N}_+.-])(?:\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\+[2-9][0-9]{0,2}[ -]?(?:\([0-9]{1,4}\)[ -]?)?[0-9]{2,4}(?:[ -]?[0-9]{2,4}){1,3}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})" + STOP,
@@ -46,7 +54,7 @@ PATTERNS = {
 #: The kinds in the order in which a found value is tried, each by its own characters.
 SHAPES = {
     "email": "@",
-    "secret": r"^[0-9a-f]{32,64}$",
+    "secret": r"^[0-9a-fA-F]{32,}$",
     "iban": r"^[A-Z]{2}[0-9]{2}",
     "ip": r"^(?:[0-9]{1,3}\.){3}[0-9]{1,3}$",
     "date": r"^(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([/.])[0-9]{1,2}\1[0-9]{4})$",
@@ -201,17 +209,18 @@ def date(value: Column, key: str) -> Column:
 
 
 def secret(value: Column, key: str) -> Column:
-    """Blocks of eight digits are permuted one by one (a rest stays with a digest's digits), each keyed by its place."""
-    n = F.length(value)
+    """Blocks of eight digits are permuted one by one (a rest stays with a digest's digits), in whatever case they are."""
+    low, n = F.lower(value), F.length(value)
     blocks = F.sequence(F.lit(0), (n / 8).cast("int") - 1)
 
     def block(i: Column) -> Column:
-        number = lambda at: F.conv(F.substring(value, i * 8 + at, F.lit(4)), 16, 10).cast("long")
+        number = lambda at: F.conv(F.substring(low, i * 8 + at, F.lit(4)), 16, 10).cast("long")
         pair = feistel(number(1), number(5), 65536, 65536, key, "secret")
         return let(pair, lambda p: F.concat(*[F.lpad(F.lower(F.hex(p.getField(f))), 4, "0") for f in "lr"]))
 
-    rest = F.substring(F.sha2(F.concat(F.lit(key), F.lit(":secret:"), value), 256), F.lit(1), n % 8)
-    return F.concat(F.array_join(F.transform(blocks, block), ""), rest)
+    rest = F.substring(F.sha2(F.concat(F.lit(key), F.lit(":secret:"), low), 256), F.lit(1), n % 8)
+    made = F.concat(F.array_join(F.transform(blocks, block), ""), rest)
+    return F.when(value.rlike("[A-F]") & ~value.rlike("[a-f]"), F.upper(made)).otherwise(made)
 
 
 def email(value: Column, key: str) -> Column:

@@ -104,6 +104,23 @@ def test_pseudonyms(spark):
     assert pii.pseudonymize(docs).columns == [*docs.columns, "found_"] and pii.private_values(docs.limit(0)).count() == 0
 
 
+def test_private_values_in_common_surroundings(spark):
+    low, long = "0123456789abcdef" * 2, "0123456789abcdef" * 8 + "0a"
+    texts = {
+        1: ("http://10.1.2.3/x", ["10.1.2.3"]), 2: ("10.0.0.0/24", ["10.0.0.0"]), 3: ("from /10.1.2.3:80 10.0.0.1-10.0.0.9", ["10.1.2.3", "10.0.0.1", "10.0.0.9"]),
+        4: ("1980-01-02T00:00:00Z/1981-01-02T00:00:00Z", ["1980-01-02", "1981-01-02"]), 5: ("01/02/2020-03/04/2021", ["01/02/2020", "03/04/2021"]), 6: ("logs/1980-01-02/3 1980-01-02-1981-03-04", ["1980-01-02/", "1980-01-02-", "1981-03-04"]),
+        7: (f"API_KEY={low} Token: '{low.upper()}'", [low, low.upper()]), 8: (f'{{"secret": "{long}"}}', [long]), 9: (f"Password = {long.upper()}", [long.upper()]),
+        10: (f"http://300.1.2.3/x 1.2.3.4.5 Chrome/120.0.0.0 1980-02-30T00:00:00 1980-01-02-3 {low} AE12{low[4:].upper()}", []),
+    }
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in texts.items()], "doc_id long, text string")
+    out = {r.doc_id: r for r in pii.private_values(docs).collect()}
+    for i, (text, values) in texts.items():
+        assert out[i].n_private == len(values) and len(out[i].text) > 0 and not any(v in out[i].text for v in values), text
+    assert out[10].text == texts[10][0] and out[1].text.startswith("http://") and out[1].text.endswith("/x") and out[4].text.count("T00:00:00Z") == 2
+    small, capital = out[7].text.split(" ")[0].removeprefix("API_KEY="), out[7].text.split("'")[1]
+    assert small.upper() == capital and small == small.lower() and len(out[8].text) == len(texts[8][0])
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     now = docs
