@@ -1,16 +1,16 @@
-"""License scans: an exact set-similarity join of text blocks with templates, with DataFrame functions alone.
+"""License scans: an exact set-similarity join of runs of words with templates, with DataFrame functions alone.
 
-A block is a line. A block matches a template when it holds at least ``containment`` of the template's distinct words:
-alpha = ceil(containment * size) of them. Template words are ordered by the number of blocks that hold them, rarest
-first, counted over all documents. Then
+A text matches a template when a run of its words, twice as long as the template and wherever its lines break, holds at
+least ``containment`` of the template's distinct words: alpha = ceil(containment * size) of them. The words that name
+the license (NAMES) have to be among them; a template of fewer than SHORT words without a name has to be held whole.
+Template words are ordered by the number of texts that hold them, rarest first. Then
 
-- prefix filter: a matching block holds one of the template's first size - alpha + 1 words;
-- length filter: it holds at least alpha words that stand in any template;
-- positional filter: from the shared word on, both sides have enough words left for alpha common ones.
+- prefix filter: a matching run holds one of the template's first size - alpha + 1 words, so only the places of these
+  are looked at, with as many words on either side as a run may reach;
+- these words together hold alpha words of the template, and the names.
 
-Each candidate is then counted exactly, so nothing that matches is missed and nothing else is found. Words in no
-template can't be shared, so blocks are reduced to template words before anything is exploded; the templates are a
-parameter, and what they need (their words and counts) is all that reaches the driver or is broadcast.
+Each run of a candidate is then counted exactly, so nothing that matches is missed and nothing else is found. The
+templates are a parameter, and what they need (their words and counts) is all that reaches the driver or is broadcast.
 
 Besides the templates, phrases are searched: places where their words stand one after another, over the whole text.
 Null texts are empty: no words, no labels (empty strings), score 0. Repeated rows get the same result each. Long texts
@@ -45,6 +45,8 @@ TEMPLATES = (
     ("reserved", "all rights reserved"),
 )
 CONTAINMENT = 0.8
+#: Words of templates without which it is another license; distinct words of a template that is short.
+NAMES, SHORT = frozenset(("apache", "2", "mit", "gnu", "cc", "nc", "creative", "commons", "attribution", "mozilla")), 10
 #: Not a word, after lower-casing.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -70,34 +72,42 @@ def template_words(text: str) -> list[str]:
 
 
 def scan(docs: DataFrame, *, templates: tuple[tuple[str, str], ...] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
-    """(doc_id, text_hash, line, template, label, share): every block that matches a template."""
+    """(doc_id, text_hash, template, label, share): every template that a text matches, with its largest share."""
     sets = [(i, label, template_words(text)) for i, (label, text) in enumerate(templates)]
     vocabulary = sorted({w for _, _, words in sets for w in words})
-    alphas = {i: math.ceil(containment * len(words) - 1e-9) for i, _, words in sets}
-    least = min(alphas.values())
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split(lowered(F.col("text")), "\n")).alias("line", "block"))
-    words = lambda order: F.array_intersect(F.array(*map(F.lit, order)), F.split("block", GAP))  # noqa: E731  in the order given
-
-    held = keyed.select(words(vocabulary).alias("held")).where(F.size("held") >= least)
+    spans = [2 * len(re.findall(r"[a-z0-9]+", text)) for _, text in templates]
+    names = [[w for w in words if w in NAMES] for _, _, words in sets]
+    alphas = [len(words) if not named and len(words) < SHORT else math.ceil(containment * len(words) - 1e-9) for (_, _, words), named in zip(sets, names, strict=True)]
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.split(lowered(F.col("text")), GAP).alias("words"))
+    held = keyed.select(F.array_intersect(F.array(*map(F.lit, vocabulary)), "words").alias("held")).where(F.size("held") >= min(alphas))
     counts = {r["word"]: r["count"] for r in held.select(F.explode("held").alias("word")).groupBy("word").count().collect()}  # a row for a template word at most
-    order = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
-    rank = {w: i for i, w in enumerate(order)}
     index, prefix = [], set()
     for i, label, own in sets:
-        own = sorted(own, key=rank.__getitem__)
-        for at, word in enumerate(own[: len(own) - alphas[i] + 1]):
+        own = sorted(own, key=lambda w: (counts.get(w, 0), w))
+        for word in own[: len(own) - alphas[i] + 1]:
             prefix.add(word)
-            index.append((word, at, i, label, own, len(own), alphas[i]))
-    table = docs.sparkSession.createDataFrame(index, "word string, at int, template int, label string, own array<string>, size int, alpha int")
-
-    blocks = keyed.select("doc_id", "text_hash", "line", words(order).alias("held")).where(F.size("held") >= least)
-    blocks = blocks.where(F.arrays_overlap("held", F.array(*map(F.lit, sorted(prefix)))))
-    met = blocks.select("*", F.posexplode("held").alias("place", "word")).join(F.broadcast(table), "word")  # of the templates' size
-    met = met.where(F.size("held") >= F.col("alpha")).where(1 + F.least(F.col("size") - F.col("at") - 1, F.size("held") - F.col("place") - 1) >= F.col("alpha"))
-    counted = met.withColumn("common", F.size(F.array_intersect("held", "own"))).where("common >= alpha")
-    # the first shared word speaks for the pair, so each pair is found once
-    first = F.array_position(F.col("held"), F.get(F.array_intersect("held", "own"), F.lit(0))) - 1
-    return counted.where(F.col("place") == first).select("doc_id", "text_hash", "line", "template", "label", (F.col("common") / F.col("size")).alias("share"))
+            index.append((word, i, label, own, names[i], len(own), alphas[i], spans[i]))
+    table = docs.sparkSession.createDataFrame(index, "word string, template int, label string, own array<string>, names array<string>, size int, alpha int, span int")
+
+    # each place of a prefix word, with the words around it: far enough for the longest template
+    rare, far = F.array(*map(F.lit, sorted(prefix))), max(spans) - 1
+    near = keyed.where(F.arrays_overlap("words", rare))
+    around = lambda i: F.slice("words", F.greatest(i - far, F.lit(0)) + 1, F.least(i, F.lit(far)) + far + 1)
+    places = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("word"), i.alias("at"))), lambda x: F.array_contains(rare, x["word"]))
+    anchors = near.select("doc_id", "text_hash", F.explode(F.transform(places, lambda x: F.struct(x["word"].alias("word"), F.least(x["at"], F.lit(far)).alias("at"), around(x["at"]).alias("around")))).alias("x"))
+    met = anchors.select("doc_id", "text_hash", "x.word", "x.at", "x.around").join(F.broadcast(table), "word")  # of the templates' size
+    first = F.greatest(F.col("at") - F.col("span") + 1, F.lit(0))
+    met = met.withColumn("around", F.slice("around", first + 1, F.col("at") - first + F.col("span")))
+    met = met.where(F.size(F.array_intersect("own", "around")) >= F.col("alpha")).where(F.size(F.array_intersect("names", "around")) == F.size("names"))
+
+    def share(i: Column) -> Column:
+        """Words of the template in the run that starts at i, or 0 where a name is missing."""
+        run = F.slice("around", i, F.col("span"))
+        return F.when(F.size(F.array_intersect("names", run)) == F.size("names"), F.size(F.array_intersect("own", run))).otherwise(0)
+
+    starts = F.sequence(F.lit(1), F.greatest(F.size("around") - F.col("span") + 1, F.lit(1)))
+    counted = met.withColumn("common", F.array_max(F.transform(starts, share))).where("common >= alpha")
+    return counted.groupBy("doc_id", "text_hash", "template", "label").agg(F.max(F.col("common") / F.col("size")).alias("share"))
 
 
 def phrases(docs: DataFrame, found: dict[str, str] = PHRASES) -> DataFrame:
@@ -137,7 +147,7 @@ def phrases(docs: DataFrame, found: dict[str, str] = PHRASES) -> DataFrame:
 def license_report(docs: DataFrame, **options) -> DataFrame:
     """A row for each of docs: doc_id, n_words, n_base, first_word, last_word, base_labels, labels and score.
 
-    score is the largest containment of a template in a block, and 1 where a phrase stands.
+    score is the largest containment of a template in a run of words, and 1 where a phrase stands.
     """
     base = phrases(docs)
     matched = materialize(scan(docs, **options), "matches").groupBy("doc_id", "text_hash").agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
@@ -149,7 +159,7 @@ def license_report(docs: DataFrame, **options) -> DataFrame:
 
 
 def report_sql() -> str:
-    """license_report for DuckDB, by comparing every line with every template."""
+    """license_report for DuckDB, by comparing every line with every template (so without runs over lines, and without names)."""
     upper, lower = "".join(map(chr, range(65, 91))), "".join(map(chr, range(97, 123)))
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     rows = ", ".join(f"({i}, '{label}', {template_words(text)!r}, {math.ceil(CONTAINMENT * len(template_words(text)) - 1e-9)})" for i, (label, text) in enumerate(TEMPLATES))

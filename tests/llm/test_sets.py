@@ -105,6 +105,22 @@ def test_licenses(spark):
     assert len(found) == len(rows) and licenses.license_report(docs.limit(0)).count() == 0
 
 
+def test_licenses_over_lines_and_by_name(spark):
+    bsd = "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that"
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License"
+    filler = " ".join(f"w{i}" for i in range(300))
+    rows = [
+        (1, bsd, "bsd", 1.0), (2, f"{filler}\n{bsd}\n{filler}", "bsd", 1.0), (3, "Licensed under the\n\nApache License,\nVersion 2.0", "apache-2.0", 1.0), (4, gpl, "gpl", 1.0),
+        (5, "Released under the Apache License.", "", 0.0), (6, "Licensed under the Eclipse Public License, Version 2.0", "", 0.0), (7, "Licensed under the Apache License, Version 1.0", "", 0.0),
+        (8, f" {filler} ".join("released under the mit license".split()), "", 0.0), (9, "free software you can redistribute it under the terms of the Eclipse Public License", "", 0.0), (10, "released under MIT license", "mit", 0.8), (11, f"mit {filler} released under the mit license", "mit", 1.0),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, t, *_ in rows], "doc_id long, text string")
+    found = sorted((r.doc_id, r.labels, round(r.score, 2)) for r in licenses.license_report(docs).collect())
+    assert found == [(i, label, score) for i, _, label, score in rows]
+    whole = {(r.doc_id, r.template) for r in licenses.scan(docs).where("share = 1").collect()}
+    assert {(1, 7), (2, 7), (4, 4)} <= whole
+
+
 def test_line_rules(spark):
     rng = random.Random(4)
     body = lambda: " ".join(f"u{rng.randrange(10**6)}" for _ in range(60))
