@@ -54,20 +54,38 @@ def resolve_file_refs(refs: DataFrame, files: DataFrame, *, min_length: int = 8)
     """(resolved, unresolved) of refs (ref) against file records (record_id, name): names that are equal, or hold each other.
 
     Equal names are joined first. Only the rest is compared by containment, and then only with names that share a
-    run of min_length characters, as any two do of which one holds the other; texts that are shorter match equal names alone.
-    Ties: the longest name, then the smallest record.
+    run of min_length characters, as any two do of which one holds the other. Shorter texts are compared whole with the
+    runs of their own length on the other side; what has such a run is reduced to the name that wins before they meet,
+    as a text of few characters stands in many. Empty texts stand in all. Ties: the longest name, then the smallest record.
     """
     asked = refs.select("ref").distinct().withColumn("low", F.lower("ref"))
     known = files.select("record_id", "name").distinct().withColumn("name_low", F.lower("name"))
     equal = asked.join(known, asked["low"] == known["name_low"])
-    rest = asked.join(equal.select("ref"), "ref", "left_anti").where(F.length("low") >= min_length)
-    runs = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - (min_length - 1), F.lit(1))), lambda i: F.substring(c, i, F.lit(min_length))))
+    rest = asked.join(equal.select("ref"), "ref", "left_anti")
+    short_refs, rest = rest.where(F.length("low") < min_length), rest.where(F.length("low") >= min_length)
+
+    def runs(c: Column, n: Column | int = min_length) -> Column:
+        n = F.lit(n) if isinstance(n, int) else n
+        return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - n + 1, F.lit(1))), lambda i: F.substring(c, i, n)))
+
+    def short_runs(rows: DataFrame, c: str, short: DataFrame) -> DataFrame:
+        """rows with each run (g) of c that is as long as one of the short texts: min_length lengths at most."""
+        lengths = short.select(F.length("g").alias("n")).distinct()
+        return rows.join(F.broadcast(lengths), F.length(c) >= F.col("n")).withColumn("g", F.explode(runs(F.col(c), F.col("n")))).drop("n")
+
+    best = F.min_by(F.struct("record_id", "name"), F.struct((-F.length("name")).alias("l"), "record_id")).alias("best")  # of each run, before the shuffle
     # the holder gives all its runs, the held its first: both directions
     long_names = known.where(F.length("name_low") >= min_length)
     held_ref = rest.select("ref", "low", F.substring("low", 1, min_length).alias("g")).join(long_names.select("record_id", "name", "name_low", F.explode(runs(F.col("name_low"))).alias("g")), "g").where(F.contains("name_low", "low"))
     held_name = rest.select("ref", "low", F.explode(runs(F.col("low"))).alias("g")).join(long_names.select("record_id", "name", "name_low", F.substring("name_low", 1, min_length).alias("g")), "g").where(F.contains("low", "name_low"))
+    asked_short = short_refs.select("ref", F.col("low").alias("g"))
+    short_ref = asked_short.join(short_runs(known, "name_low", asked_short).groupBy("g").agg(best), "g").select("ref", "best.*")
+    short_names = known.where(F.length("name_low") < min_length).groupBy(F.col("name_low").alias("g")).agg(best)
+    short_name = short_runs(rest.unionByName(short_refs), "low", short_names).join(short_names, "g").select("ref", "best.*")
     columns = ("ref", "record_id", "name")
-    every = equal.select(*columns, F.lit(0).alias("rank")).union(held_ref.select(*columns, F.lit(1))).union(held_name.select(*columns, F.lit(1)))
+    every = equal.select(*columns, F.lit(0).alias("rank"))
+    for met in (held_ref, held_name, short_ref, short_name):
+        every = every.union(met.select(*columns, F.lit(1)))
     found = first_per(every, ["ref"], "rank", F.desc(F.length("name")), "record_id").select("ref", "record_id")
     return found, asked.join(found, "ref", "left_anti").select("ref")
 
