@@ -295,16 +295,16 @@ def _residual(rest: DataFrame, measure: Measure) -> DataFrame:
     return met.select("x", "y").mapInArrow(run, "a long, b long").distinct()
 
 
-def similar_components(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest doc_id that links reach) of every row of docs."""
+def _placed(docs: DataFrame, measure: Measure) -> DataFrame:
+    """doc_id, text_hash, n and first of every row of docs: the smallest (doc_id, text_hash) that links reach, or null."""
     each = materialize(signatures(docs, measure), "signatures")
-    nodes = each.where("n > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("first"), F.min("check").alias("check"), F.max("check").alias("other"))
+    nodes = each.where("n > 0 and doc_id is not null").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.min("check").alias("check"), F.max("check").alias("other"))
     clash = F.when(F.col("check") != F.col("other"), F.raise_error(F.lit("two sets share a 64-bit signature"))).otherwise(F.col("node"))
     nodes = materialize(nodes.select(clash.cast("long").alias("node"), "first"), "nodes")
 
     star = materialize(candidates(piece_keys(docs, measure)), "candidates")
     ends = star.select(F.col("a").alias("node")).union(star.select(F.col("b").alias("node"))).distinct()
-    stand = nodes.join(ends, "node").select("node", F.col("first").alias("doc_id"))
+    stand = nodes.join(ends, "node").select("node", F.col("first.doc_id").alias("doc_id"))
     info = materialize(each.join(stand, ["node", "doc_id"]).dropDuplicates(["node"]).select("node", "doc_id", "text_hash", "n", "band", "sketch"), "info")
     # links that are likeliest: what is left is compared below, whatever these find
     likely = star.withColumn("rank", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("n"), "a"))).where(F.col("rank") <= LIKELY).select("a", "b")
@@ -322,24 +322,32 @@ def similar_components(docs: DataFrame, measure: Measure = Measure()) -> DataFra
     joined = components(done.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
     named = nodes.join(joined, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
-    least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    ids = materialize(named.join(least, "component").select("node", "component_id"), "named")
-    own = each.select("doc_id", F.col("n").alias("n_shingles"), "node")
-    return own.join(ids, "node", "left").select("doc_id", "n_shingles", F.coalesce(F.when(F.col("n_shingles") > 0, F.col("component_id")), F.col("doc_id")).alias("component_id"))
+    least = named.groupBy("component").agg(F.min("first").alias("least"))
+    ids = materialize(named.join(least, "component").select("node", F.col("least").alias("first")), "named")
+    own = each.select("doc_id", "text_hash", "n", "node")
+    return own.join(ids, "node", "left").select("doc_id", "text_hash", "n", F.when(F.col("n") > 0, F.col("first")).alias("first"))
+
+
+def similar_components(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
+    """doc_id, n_shingles and component_id (the smallest doc_id that links reach) of every row of docs."""
+    return _placed(docs, measure).select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("first.doc_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     """The rows of docs that stand for their component: its smallest doc_id, one row of it. All columns are kept.
 
-    Texts without words are linked with nothing, so each row of them stays, and so do rows whose doc_id is null.
+    Rows that repeat a doc_id with another text are documents of their own: a row goes for what its own text is linked
+    with. Texts without words are linked with nothing, so each row of them stays, and so do rows whose doc_id is null.
     """
-    found = similar_components(docs.select("doc_id", "text"), measure)
-    away = materialize(found.where("component_id <> doc_id").select("doc_id").distinct(), "away")
-    left = docs.join(broadcast_if_small(away), "doc_id", "left_anti").select(*docs.columns)
+    found = _placed(docs.select("doc_id", "text"), measure).where("first is not null and doc_id is not null")
+    gone = found.where("first.doc_id <> doc_id or first.text_hash <> text_hash").select(F.col("doc_id").alias("id_"), F.col("text_hash").alias("hash_")).distinct()
+    away = materialize(gone, "away")
+    left = docs.join(broadcast_if_small(away), (docs["doc_id"] == F.col("id_")) & (F.xxhash64(docs["text"]) == F.col("hash_")), "left_anti").select(*docs.columns)
     if not docs.groupBy("doc_id").count().where("doc_id is not null and count > 1").head(1):
         return left
     blank = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]") | F.col("doc_id").isNull()
-    return left.where(blank).unionByName(left.where(~blank).dropDuplicates(["doc_id"]))
+    one = left.where(~blank).withColumn("hash_", F.xxhash64("text")).dropDuplicates(["doc_id", "hash_"])
+    return left.where(blank).unionByName(one.select(*docs.columns))
 
 
 def components_sql(measure: Measure) -> str:

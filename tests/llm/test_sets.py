@@ -74,6 +74,14 @@ def test_one_of_each_group_stays(spark):
     assert jaccard.similar_components(docs.limit(0)).count() == 0
 
 
+def test_texts_that_share_a_doc_id_stay_apart(spark):
+    first, second, third = ("a b c d e f g h i j k", "l m n o p q r s t u v", "other words here stand quite alone")
+    rows = [(1, first), (1, second), (1, second), (2, first.upper()), (2, third), (3, third), (1, first.title()), (4, ""), (4, ""), (None, first)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
+    kept = collections.Counter((r.doc_id, (r.text or "").lower()) for r in jaccard.keep_one(docs).collect())
+    assert kept == {(1, first): 1, (1, second): 1, (2, third): 1, (4, ""): 2, (None, first): 1}
+
+
 def test_band_plan_covers_every_pair():
     for measure in (jaccard.Measure(3, 90), jaccard.Measure(5, 80)):
         starts, plan = jaccard._bands(measure)
