@@ -18,9 +18,12 @@ MASK32 = np.uint64(0xFFFFFFFF)
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or a new local one where it is unset (tests)."""
+    """The folder that all executors share: ``spark.checkpoint.dir``. Where it is unset, a local master gets a new folder
+    of its own (tests), and a cluster stops: its executors wouldn't see each other's rows there."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -35,7 +38,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it again: cuts the lineage and survives lost executors."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``materialize`` wrote, once all that reads them has been written itself."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextlib.contextmanager

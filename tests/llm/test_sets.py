@@ -4,6 +4,7 @@ import collections
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,14 +85,34 @@ def test_texts_that_share_a_doc_id_stay_apart(spark):
 
 def test_band_plan_covers_every_pair():
     for measure in (jaccard.Measure(3, 90), jaccard.Measure(5, 80)):
-        starts, plan = jaccard._bands(measure)
+        starts, counts, spares = jaccard._bands(measure)
+        band = lambda x: int((starts <= x).sum()) - 1
         for a in (1, 2, 9, 10, 57, 300, 5000):
             for b in range(a, a * 100 // measure.percent + 1):
-                low, high = (int((starts <= x).sum()) - 1 for x in (a, b))
-                assert high - low <= 1
-                count, spare = plan[low]
+                own = band(b)  # the larger set's band, where the smaller one takes part as well
+                assert band(a) <= own <= band(a * 100 // measure.percent)
                 apart = measure.apart(a + b)
-                assert apart == 0 or count - apart > spare
+                assert apart == 0 or counts[own] - apart > spares[own]
+
+
+def test_linked_sets_share_a_key():
+    rng = np.random.default_rng(5)
+    for percent in (80, 90):
+        measure = jaccard.Measure(5, percent)
+        for n in (5, 9, 12, 40, 300, 2000):
+            for _ in range(20):
+                base = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)
+                gone = rng.integers(0, max(1, measure.apart(2 * n)) + 1)
+                other = np.concatenate((base[gone // 2 :], rng.integers(0, 1 << 63, gone - gone // 2, dtype=np.uint64)))
+                sets = [np.unique(base), np.unique(other)]
+                common = len(np.intersect1d(*sets))
+                if 100 * common >= percent * (len(sets[0]) + len(sets[1]) - common) and common < max(map(len, sets)):
+                    keys = [set(), set()]
+                    with np.errstate(over="ignore"):
+                        for key, of in jaccard._piece_keys(sets, measure):
+                            for k, i in zip(key.tolist(), of.tolist(), strict=True):
+                                keys[i].add(k)
+                    assert keys[0] & keys[1]
 
 
 def test_licenses(spark):
