@@ -27,6 +27,8 @@ usual. A node is named by the first half of its signature; sets that share it an
 
 from __future__ import annotations
 
+import hashlib
+
 from collections.abc import Iterator
 from dataclasses import dataclass
 from fractions import Fraction
@@ -336,9 +338,8 @@ def _suspects(blocks: DataFrame, measure: Measure) -> DataFrame:
                 ids, at = np.unique(np.concatenate((ax[near_x], ay[near_y])), return_index=True)
                 if len(ids):
                     label = np.concatenate((lx[near_x], ly[near_y]))[at]
-                    # a name for this pair of blocks
-                    pair = np.bitwise_xor.reduce(mix(ax.view(np.uint64))) + mix(np.bitwise_xor.reduce(mix(ay.view(np.uint64))))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), pair).view(np.int64)), pa.array(ids), pa.array(label)], ["pair", "id", "linked"])
+                    pair = int.from_bytes(hashlib.blake2b(ax.tobytes() + b"|" + ay.tobytes(), digest_size=8).digest(), "little", signed=True)  # names the two blocks
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), pair)), pa.array(ids), pa.array(label)], ["pair", "id", "linked"])
 
     return blocks.mapInArrow(run, "pair long, id long, linked long")
 
