@@ -56,12 +56,12 @@ def otherwise(a: Column, b: Column) -> Column:
 
 def parse_timestamp(c: Column) -> Column:
     """A timestamp without zone from the first layout that fits. Two-digit years from 69 on are 19xx."""
+    century = lambda t: F.when(t >= F.lit("2069-01-01").cast("timestamp_ntz"), t - F.make_ym_interval(F.lit(100), F.lit(0))).otherwise(t)
     found = []
     for layout in TIMESTAMP_LAYOUTS:
         value = F.try_to_timestamp(F.trim(c), F.lit(layout)).cast("timestamp_ntz")
-        if "yyyy" not in layout:
-            value = F.when(F.year(value) >= 2069, F.make_timestamp_ntz(F.year(value) - 100, F.month(value), F.dayofmonth(value), F.hour(value), F.minute(value), F.second(value).cast("decimal(16,6)"))).otherwise(value)
-        found.append(value)
+        # as an array's only element, so that it is parsed once
+        found.append(value if "yyyy" in layout else F.get(F.transform(F.array(value), century), F.lit(0)))
     return F.coalesce(*found)
 
 

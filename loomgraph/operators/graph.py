@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomgraph.functions.shared import materialize
 from loomgraph.functions.vocabulary import BACKLINK_RULES, EDGE_KINDS, INVERSE_RELATIONS, pairs_table
 from loomgraph.operators.design import as_set
 from loomgraph.operators.references import named_reference
@@ -23,11 +24,12 @@ def infer_backlinks(attributes: DataFrame, records: DataFrame, rules: object = B
 def with_backlinks(attributes: DataFrame, records: DataFrame, rules: object = BACKLINK_RULES, *, fixpoint: bool = False) -> DataFrame:
     """attributes and what follows from them; with fixpoint, also what follows from that, until nothing is new."""
     now = as_set(attributes.unionByName(infer_backlinks(attributes, records, rules)))
-    while fixpoint:
-        more = as_set(now.unionByName(infer_backlinks(now, records, rules)))
-        if more.count() == now.count():
+    while fixpoint:  # each round is written, so the next starts from rows and not from all rounds before
+        now = materialize(now, "backlinks")
+        more = infer_backlinks(now, records, rules).join(now, ["record_id", "key", "value", "value_type"], "left_anti")
+        if not more.head(1):
             break
-        now = more
+        now = now.unionByName(more)
     return now
 
 

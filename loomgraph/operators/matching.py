@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.functions.columns import normalize_orcid, year_of
+from loomgraph.functions.shared import materialize
 from loomgraph.operators.repository import first_per
 
 
@@ -53,8 +54,9 @@ def without(rows: DataFrame, done: DataFrame, key: str = "key") -> DataFrame:
 def resolve_file_refs(refs: DataFrame, files: DataFrame, *, min_length: int = 8) -> tuple[DataFrame, DataFrame]:
     """(resolved, unresolved) of refs (ref) against file records (record_id, name): names that are equal, or hold each other.
 
-    Equal names are joined first. Only the rest is compared by containment, and then only with names that share a
-    run of min_length characters, as any two do of which one holds the other. Shorter texts are compared whole with the
+    Equal names are joined first. Only the rest is compared by containment, and then only where the holder has all runs
+    of min_length characters of the held: they meet on the held one's rarest run, as the first runs of many names are
+    the same. Shorter texts are compared whole with the
     runs of their own length on the other side; what has such a run is reduced to the name that wins before they meet,
     as a text of few characters stands in many. Empty texts stand in all. Ties: the longest name, then the smallest record.
     """
@@ -66,7 +68,10 @@ def resolve_file_refs(refs: DataFrame, files: DataFrame, *, min_length: int = 8)
 
     def runs(c: Column, n: Column | int = min_length) -> Column:
         n = F.lit(n) if isinstance(n, int) else n
-        return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - n + 1, F.lit(1))), lambda i: F.substring(c, i, n)))
+        starts = F.sequence(F.lit(1), F.greatest(F.length(c) - n + 1, F.lit(1)))
+        # from an array of the characters: substring() would count from the start of a long text again and again
+        each = F.transform(F.array(F.split(c, "")), lambda chars: F.transform(starts, lambda i: F.array_join(F.slice(chars, i, n), "")))
+        return F.array_distinct(F.get(each, F.lit(0)))
 
     def short_runs(rows: DataFrame, c: str, short: DataFrame) -> DataFrame:
         """rows with each run (g) of c that is as long as one of the short texts: min_length lengths at most."""
@@ -74,10 +79,21 @@ def resolve_file_refs(refs: DataFrame, files: DataFrame, *, min_length: int = 8)
         return rows.join(F.broadcast(lengths), F.length(c) >= F.col("n")).withColumn("g", F.explode(runs(F.col(c), F.col("n")))).drop("n")
 
     best = F.min_by(F.struct("record_id", "name"), F.struct((-F.length("name")).alias("l"), "record_id")).alias("best")  # of each run, before the shuffle
-    # the holder gives all its runs, the held its first: both directions
+
+    def met_on_rarest(held: DataFrame, held_text: str, holders: DataFrame, holder_text: str) -> DataFrame:
+        """Rows of both where held_text stands in holder_text: the held's run that fewest holders have is the key."""
+        longest = holders.agg(F.max(F.length(holder_text))).first()[0] or 0
+        wanted = held.where(F.length(held_text) <= longest).select(held_text).distinct().select(held_text, F.explode(runs(F.col(held_text))).alias("g"))
+        given = holders.select(holder_text).distinct().select(holder_text, F.explode(runs(F.col(holder_text))).alias("g"))
+        given = materialize(given.join(wanted.select("g").distinct(), "g", "left_semi"), "runs")
+        counts = given.groupBy("g").agg(F.count("*").alias("n"))
+        best = wanted.join(counts, "g").groupBy(held_text).agg(F.min_by("g", F.struct("n", "g")).alias("g"), F.count("*").alias("hits"))
+        best = best.where(F.col("hits") == F.size(runs(F.col(held_text)))).drop("hits")  # else nothing holds it
+        return best.join(given, "g").where(F.contains(holder_text, held_text)).select(held_text, holder_text).join(held, held_text).join(holders, holder_text)
+
     long_names = known.where(F.length("name_low") >= min_length)
-    held_ref = rest.select("ref", "low", F.substring("low", 1, min_length).alias("g")).join(long_names.select("record_id", "name", "name_low", F.explode(runs(F.col("name_low"))).alias("g")), "g").where(F.contains("name_low", "low"))
-    held_name = rest.select("ref", "low", F.explode(runs(F.col("low"))).alias("g")).join(long_names.select("record_id", "name", "name_low", F.substring("name_low", 1, min_length).alias("g")), "g").where(F.contains("low", "name_low"))
+    held_ref = met_on_rarest(rest, "low", long_names, "name_low")
+    held_name = met_on_rarest(long_names, "name_low", rest, "low")
     asked_short = short_refs.select("ref", F.col("low").alias("g"))
     short_ref = asked_short.join(short_runs(known, "name_low", asked_short).groupBy("g").agg(best), "g").select("ref", "best.*")
     short_names = known.where(F.length("name_low") < min_length).groupBy(F.col("name_low").alias("g")).agg(best)

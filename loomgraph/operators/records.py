@@ -69,8 +69,9 @@ def file_records(inputs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return _records(inputs, "checksum", "file"), attribute_rows(inputs, F.col("checksum"), entries)
 
 
-def publication_records(inputs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(records, attributes) of publication contracts; the id is the publication's identifier."""
+def publication_records(inputs: DataFrame, mentions: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(records, attributes) of publication contracts; the id is the publication's identifier. Who refers to them comes
+    from the contracts' arrays, or as rows: mentions (identifier, referencing)."""
     entries = [
         profiles("Base", "Publication"),
         Entry("doi", F.col("identifier")),
@@ -83,7 +84,11 @@ def publication_records(inputs: DataFrame) -> tuple[DataFrame, DataFrame]:
         all_of("isReferencedBy", "referenced_by_datasets"),
         some("landingPageLocation", "landing_page_url"),
     ]
-    return _records(inputs, "identifier", "publication"), attribute_rows(inputs, F.col("identifier"), entries)
+    attributes = attribute_rows(inputs, F.col("identifier"), entries)
+    if mentions is not None:
+        own = mentions.select(F.col("identifier").alias("record_id"), F.lit("isReferencedBy").alias("key"), F.col("referencing").alias("value"), F.lit("string").alias("value_type"))
+        attributes = as_set(attributes.unionByName(own))
+    return _records(inputs, "identifier", "publication"), attributes
 
 
 def _references(inputs: DataFrame, record_id: str, attributes: DataFrame, keys: tuple[str, ...]) -> DataFrame:

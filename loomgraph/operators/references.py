@@ -33,19 +33,25 @@ def map_resource_type(df: DataFrame, column: str, *, types: dict[str, str] | Non
 
 
 def publication_inputs(routed: DataFrame) -> DataFrame:
-    """One contract for each publication that datasets mention: all of them, and the type of the first mention.
+    """One contract for each publication that datasets mention, with the type of the first mention.
 
-    routed: identifier, referencing, resource_type, pos, route."""
+    routed: identifier, referencing, resource_type, pos, route. Who mentions a publication may be many, so that is a table
+    of its own, ``publication_mentions``."""
     mentions = routed.where("route = 'publication'")
-    own = mentions.groupBy("identifier").agg(F.min_by("resource_type", F.struct("referencing", "pos")).alias("first_type"), F.array_sort(F.collect_set("referencing")).alias("referenced_by_datasets"))
+    own = mentions.groupBy("identifier").agg(F.min_by("resource_type", F.struct("referencing", "pos")).alias("first_type"))
     typed = map_resource_type(own, "first_type")
     none = lambda t: F.lit(None).cast(t)
     return typed.select(
         "identifier", F.col("general_type").alias("resource_type"), none("string").alias("publisher"), none("string").alias("publication_date"), none("string").alias("title"),
-        none("string").alias("description"), none("array<string>").alias("creator_orcids"), "referenced_by_datasets", F.col("identifier").alias("landing_page_url"),
+        none("string").alias("description"), none("array<string>").alias("creator_orcids"), none("array<string>").alias("referenced_by_datasets"), F.col("identifier").alias("landing_page_url"),
     )
 
 
+def publication_mentions(routed: DataFrame) -> DataFrame:
+    """identifier and referencing: who mentions each publication, a row each."""
+    return routed.where("route = 'publication'").select("identifier", "referencing").distinct()
+
+
 def citation_links(routed: DataFrame, records: DataFrame) -> DataFrame:
     """Attributes cites and references of records that mention a publication by one of these relations."""
     own = routed.where("route = 'publication' and relation in ('cites', 'references')").select(F.col("referencing").alias("record_id"), F.col("relation").alias("key"), F.col("identifier").alias("value"))
@@ -70,10 +76,10 @@ def named_references(routed: DataFrame, latest: DataFrame, *, include_same_conce
 
 
 def cross_references(routed: DataFrame, latest: DataFrame) -> DataFrame:
-    """doi and referencing: the concepts that mention each dataset of another concept."""
+    """doi and referencing: the concepts that mention each dataset of another concept, a row each."""
     target = latest.select(F.col("doi").alias("identifier"), F.col("concept").alias("target_concept"))
     met = routed.where("route = 'dataset'").join(target, "identifier").where("concept <> target_concept")
-    return met.groupBy(F.col("target_concept").alias("doi")).agg(F.array_sort(F.collect_set("concept")).alias("referencing"))
+    return met.select(F.col("target_concept").alias("doi"), F.col("concept").alias("referencing")).distinct()
 
 
 def traverse(seeds: DataFrame, edges: DataFrame, *, max_depth: int = 3) -> DataFrame:

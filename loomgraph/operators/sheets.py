@@ -38,7 +38,7 @@ COMMON_FIELDS = (
 
 
 def classify_files(files: DataFrame, *, test_prefix: str = "Vh5205_") -> DataFrame:
-    """Sheets among files (record_id, name, pos) with test_id, file_type and type_first (the type precedes the id)."""
+    """Sheets among files (record_id, name, pos: of any type that has an order) with test_id, file_type and type_first (the type precedes the id)."""
     own = files.where(F.lower("name").endswith(".lis"))
     number, kind = F.regexp_extract("name", r"(?i)C-([0-9]+)", 1), F.lower(F.regexp_extract("name", "(?i)(MD-TR|Creep|Loading)", 1))
     is_test = (number != "") & (kind != "")
@@ -54,7 +54,7 @@ def classify_files(files: DataFrame, *, test_prefix: str = "Vh5205_") -> DataFra
 def pick_files(classified: DataFrame) -> DataFrame:
     """One file for each test and type: the last whose type comes first in its name, else the first."""
     own = classified.where("test_id is not null")
-    return first_per(own, ["test_id", "file_type"], F.desc("type_first"), F.when(F.col("type_first"), -F.col("pos")).otherwise(F.col("pos")))
+    return first_per(own, ["test_id", "file_type"], F.desc("type_first"), F.desc(F.when(F.col("type_first"), F.col("pos"))), F.when(~F.col("type_first"), F.col("pos")))
 
 
 def test_collections(picked: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -187,8 +187,10 @@ def images(attributes: DataFrame) -> DataFrame:
 
 
 def error_report(errors: DataFrame) -> DataFrame:
-    """error_type, n and the tests concerned, sorted."""
-    return errors.groupBy("error_type").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("test_id")).alias("tests"))
+    """scope, error_type, test_id and n: errors of each type (scope type, no test_id), and of each test (scope test)."""
+    each = errors.groupBy("error_type", "test_id").agg(F.count("*").alias("n"))
+    every = each.groupBy("error_type").agg(F.sum("n").alias("n"))
+    return every.select(F.lit("type").alias("scope"), "error_type", F.lit(None).cast("string").alias("test_id"), "n").union(each.where("test_id is not null").select(F.lit("test"), "error_type", "test_id", "n"))
 
 
 def successes(tests: DataFrame, errors: DataFrame) -> DataFrame:

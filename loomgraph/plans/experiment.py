@@ -2,61 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.functions.columns import composed_id
 from loomgraph.functions.shared import materialize
 from loomgraph.operators import graph, matching, records, sheets
+from loomgraph.operators.design import as_set
+
+
+def repeated_values(ids: DataFrame, values: DataFrame) -> DataFrame:
+    """Attribute rows that give each id (record_id, collection) all values (key, value) of its collection."""
+    return ids.join(values, "collection").select("record_id", "key", "value", F.lit("string").alias("value_type"))
 
 
 def build_experiment_graph(graph_records: DataFrame, attributes: DataFrame, landed: DataFrame, *, test_prefix: str = "Vh5205_") -> dict[str, DataFrame]:
     """records, attributes (with backlinks) and errors. landed: key (checksum) and content of the sheets.
 
-    Materials, creators and the like are gathered from the graph as arrays of one row: they are what the experiment's
-    records repeat, so they have to fit into a record anyway.
+    The whole graph is one collection: creators, affiliations and images of all its records are repeated by each
+    experiment or material, as attribute rows, and its keywords by those that have none of their own. Sheets are in the
+    order of their names; a material is described by its first test in the order of their ids.
     """
     names = attributes.where("key = 'name'").select("record_id", F.col("value").alias("name"))
-    files = names.join(graph_records.where("kind = 'file'").select("record_id"), "record_id", "left_semi")
-    files = files.where(F.lower("name").endswith(".lis")).withColumn("pos", F.row_number().over(Window.orderBy("name", "record_id")))  # the sheets alone
-    files = materialize(files, "sheets")
+    file_names = names.join(graph_records.where("kind = 'file'").select("record_id"), "record_id", "left_semi")
+    files = materialize(file_names.where(F.lower("name").endswith(".lis")).withColumn("pos", F.struct("name", "record_id")), "sheets")
     collections, incomplete = sheets.test_collections(sheets.pick_files(sheets.classify_files(files, test_prefix=test_prefix)))
-    other, common_id = sheets.complementary_files(files), sheets.common_file(files)
+    collections = materialize(collections, "collections")
+    other, common_id = sheets.complementary_files(files), sheets.common_file(files)  # one row each
 
     own = collections.join(landed, collections["md_tr"] == landed["key"]).select(F.col("test_id").alias("key"), "content")
     tests, unread = sheets.parse_tests(sheets.sheet_lines(own))
+    one = F.lit("all").alias("collection")
     shared = sheets.parse_common(sheets.sheet_lines(landed.join(common_id, landed["key"] == common_id["record_id"], "left_semi")))
-    tests = matching.fill_common(tests.withColumn("collection", F.lit("all")), shared.withColumn("collection", F.lit("all")), ("material_id", "applicable_standard"))
-    tests = materialize(tests.withColumn("pos", F.row_number().over(Window.orderBy("key"))), "tests")  # a row for each test sheet
-
-    gathered = attributes.agg(*[F.array_sort(F.collect_set(F.when(F.col("key") == k, F.col("value")))).alias(n) for k, n in (("creator", "creators"), ("creatorAffiliation", "creator_affiliations"), ("keyword", "all_keywords"))])
-    found = sheets.images(attributes)
-    pictures = found.agg(F.array_sort(F.collect_set(F.when(F.col("kind") == "preview", F.col("value")))).alias("preview_images"), F.array_sort(F.collect_set(F.when(F.col("kind") == "sem", F.col("value")))).alias("sem_images"))
-    once = gathered.crossJoin(pictures).crossJoin(other)  # one row each
+    tests = matching.fill_common(tests.select("*", one), shared.select("*", one), ("material_id", "applicable_standard"))
+    tests = materialize(tests, "tests")
 
     refs = tests.select("test_id", F.explode("file_references").alias("ref"))
-    hit, missing = matching.resolve_file_refs(refs, names.join(graph_records.where("kind = 'file'").select("record_id"), "record_id", "left_semi"))
-    linked = refs.join(hit, "ref").groupBy("test_id").agg(F.array_sort(F.collect_set("record_id")).alias("referenced_files"))
+    hit, missing = matching.resolve_file_refs(refs, file_names)
+    linked = refs.join(materialize(hit, "resolved"), "ref").groupBy("test_id").agg(F.array_sort(F.collect_set("record_id")).alias("referenced_files"))  # of one sheet
     none = F.array().cast("array<string>")
-    full = tests.join(linked, "test_id", "left").withColumn("referenced_files", F.coalesce("referenced_files", none)).join(F.broadcast(once))
+    full = tests.join(linked, "test_id", "left").withColumn("referenced_files", F.coalesce("referenced_files", none)).crossJoin(other)
     full = full.withColumn("pid_composition", composed_id(F.col("material_id"), F.col("chemical_measured")))
+    full = materialize(sheets.with_keywords(sheets.with_duration(full), none), "full")
 
     texts = F.array_compact(F.array(F.concat(F.lit("As-manufactured: "), "manufacturing_as_manufactured"), F.concat(F.lit("As-tested: "), "manufacturing_as_tested")))
-    firsts = sheets.with_keywords(sheets.first_tests(full), F.col("all_keywords"))
+    firsts = sheets.first_tests(full, "test_id")
     materials = firsts.select(
         "material_id", "pid_composition", F.col("chemical_measured").alias("has_chemical_composition"), F.col("heat_treatment").alias("has_heat_treatment"), texts.alias("descriptions"),
-        "preview_images", "sem_images", "creators", "creator_affiliations", "keywords", "referenced_files",
+        none.alias("preview_images"), none.alias("sem_images"), none.alias("creators"), none.alias("creator_affiliations"), "keywords", "referenced_files",
     )
-    done = sheets.with_keywords(sheets.with_duration(full), F.col("all_keywords")).join(collections, "test_id", "left")
     layout = "yyyy-MM-dd'T'HH:mm:ss"
-    experiments = done.select(
+    experiments = full.join(collections, "test_id", "left").select(
         "test_id", "applicable_standard", "specified_temperature", "initial_stress", "test_duration", "single_crystal_orientation",
         F.date_format("date_test_start", layout).alias("date_of_test_start"), F.date_format("date_test_end", layout).alias("date_of_test_end"), "project",
         F.array_compact(F.array("creep", "loading", F.nullif(F.col("primary_processed"), F.lit("")))).alias("has_data"),
         F.array_compact(F.array("md_tr", F.nullif(F.col("data_acquisition_creep"), F.lit("")))).alias("has_metadata"),
-        F.col("pid_composition").alias("uses_material"), "percentage_creep_extension", "creators", "creator_affiliations", "keywords", "referenced_files",
+        F.col("pid_composition").alias("uses_material"), "percentage_creep_extension", none.alias("creators"), none.alias("creator_affiliations"), "keywords", "referenced_files",
     )
-    merged_records, merged = records.merge_graphs([(graph_records, attributes), records.material_records(materials), records.experiment_records(experiments)])
+
+    values = materialize(graph.distinct_values(attributes, "creator", "creatorAffiliation", "keyword").select("*", one), "values")
+    pictures = sheets.images(attributes).select(F.when(F.col("kind") == "sem", "semImage").otherwise("previewImage").alias("key"), "value", one)
+    material_ids, test_ids = (t.select(F.col(c).alias("record_id"), "collection", (F.size("keywords") == 0).alias("bare")) for t, c in ((firsts, "pid_composition"), (full, "test_id")))
+    people, words = values.where("key <> 'keyword'"), values.where("key = 'keyword'")
+    of_materials = repeated_values(material_ids, people.unionByName(pictures)).unionByName(repeated_values(material_ids.where("bare"), words))
+    of_tests = repeated_values(test_ids, people).unionByName(repeated_values(test_ids.where("bare"), words))
+    with_more = lambda made, more: (made[0], as_set(made[1].unionByName(more)))
+    merged_records, merged = records.merge_graphs([(graph_records, attributes), with_more(records.material_records(materials), of_materials), with_more(records.experiment_records(experiments), of_tests)])
     errors = incomplete.unionByName(sheets.fetch_errors(collections, landed)).unionByName(unread)
     warnings = missing.select(F.lit(None).cast("string").alias("test_id"), F.col("ref").alias("filename"), F.lit("UNRESOLVED_FILE").alias("error_type"), F.lit("no file record has this name").alias("message"))
     return {"records": merged_records, "attributes": graph.with_backlinks(merged, merged_records), "errors": errors.unionByName(warnings)}

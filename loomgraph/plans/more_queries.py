@@ -106,9 +106,9 @@ def e1_normalize_orcid(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""WITH x AS (SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), '[\s\x{00A0}\x{2000}-\x{200A}\x{2028}\x{2029}\x{3000}\x{0085}]+', ' ', 'g')) AS t FROM pages)
-SELECT page_id, md5(CASE WHEN len(string_split(t, ' ')) > 100 THEN array_to_string(string_split(t, ' ')[1:100], ' ') || '...' ELSE t END) AS text FROM x""")
+SELECT page_id, md5(CASE WHEN len(string_split(t, ' ')) > 500 THEN array_to_string(string_split(t, ' ')[1:500], ' ') || '...' ELSE t END) AS text FROM x""")
 def e2_clean_text(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "pages").select("page_id", F.md5(columns.clean_text(F.col("html"), 100)).alias("text"))
+    return table(spark, d, "pages").select("page_id", F.md5(columns.clean_text(F.col("html"))).alias("text"))
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE year(o_orderdate) END::INT AS year, o_orderkey || '_' || o_orderstatus AS id, split_part(o_orderpriority, '-', 1) AS standard FROM orders")
@@ -201,18 +201,27 @@ def j3_first_source(spark: SparkSession, d: str) -> DataFrame:
 
 
 J4 = """n AS (SELECT p_partkey AS record_id, p_name || '-' || p_partkey AS name FROM part),
-q AS (SELECT DISTINCT CASE p_partkey % 9 WHEN 0 THEN upper(name) WHEN 1 THEN 'see ' || name || '.' WHEN 2 THEN substr(name, 1, length(name) - 1) ELSE 'none ' || p_partkey END AS ref FROM n JOIN part ON record_id = p_partkey WHERE p_partkey % 9 < 4)"""
+q AS (SELECT DISTINCT CASE p_partkey % 9 WHEN 0 THEN upper(name) WHEN 1 THEN 'see ' || name || '.' WHEN 2 THEN substr(name, 1, length(name) - 1) WHEN 3 THEN '-' || p_partkey WHEN 4 THEN substr(name, length(name) - 5) ELSE 'none ' || p_partkey END AS ref FROM n JOIN part ON record_id = p_partkey)"""
 
 
 @query(f"WITH {J4} SELECT ref, record_id FROM q LEFT JOIN n ON contains(lower(name), lower(ref)) OR contains(lower(ref), lower(name)) QUALIFY row_number() OVER (PARTITION BY ref ORDER BY lower(name) <> lower(ref), length(name) DESC, record_id) = 1")
 def j4_file_references(spark: SparkSession, d: str) -> DataFrame:
     own = table(spark, d, "part").select(F.col("p_partkey").alias("record_id"), F.concat_ws("-", "p_name", "p_partkey").alias("name"))
     k = F.col("record_id") % 9
-    ref = F.when(k == 0, F.upper("name")).when(k == 1, F.concat(F.lit("see "), "name", F.lit("."))).when(k == 2, F.expr("substr(name, 1, length(name) - 1)")).otherwise(F.concat(F.lit("none "), "record_id"))
-    found, rest = matching.resolve_file_refs(own.where(k < 4).select(ref.alias("ref")), own)
+    ref = F.when(k == 0, F.upper("name")).when(k == 1, F.concat(F.lit("see "), "name", F.lit("."))).when(k == 2, F.expr("substr(name, 1, length(name) - 1)")).when(k == 3, F.concat(F.lit("-"), "record_id")).when(k == 4, F.expr("substr(name, length(name) - 5)")).otherwise(F.concat(F.lit("none "), "record_id"))
+    found, rest = matching.resolve_file_refs(own.select(ref.alias("ref")), own)
     return found.union(rest.select("ref", F.lit(None).cast("long")))
 
 
+@query("""WITH n AS (SELECT doc_id AS record_id, coalesce(text, '') AS name FROM documents), q AS (SELECT DISTINCT text AS ref FROM benchmark)
+SELECT md5(ref) AS ref, record_id FROM q LEFT JOIN n ON contains(lower(name), lower(ref)) OR contains(lower(ref), lower(name)) QUALIFY row_number() OVER (PARTITION BY ref ORDER BY lower(name) <> lower(ref), length(name) DESC, record_id) = 1""")
+def j4_benchmark_passages(spark: SparkSession, d: str) -> DataFrame:
+    """Benchmark texts against documents that hold them: long names on either side."""
+    own = table(spark, d, "documents").select(F.col("doc_id").alias("record_id"), F.coalesce("text", F.lit("")).alias("name"))
+    found, rest = matching.resolve_file_refs(table(spark, d, "benchmark").select(F.col("text").alias("ref")), own)
+    return found.union(rest.select("ref", F.lit(None).cast("long"))).withColumn("ref", F.md5("ref"))
+
+
 @query("SELECT DISTINCT l_orderkey::VARCHAR AS record_id, l_partkey::VARCHAR AS value FROM lineitem l WHERE l_returnflag = 'R' AND NOT EXISTS (SELECT 1 FROM lineitem k WHERE k.l_orderkey = l.l_orderkey AND k.l_partkey = l.l_partkey AND k.l_returnflag <> 'R')")
 def j5_not_yet_linked(spark: SparkSession, d: str) -> DataFrame:
     own = table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("record_id"), F.col("l_returnflag").alias("key"), F.col("l_partkey").cast("string").alias("value"))
@@ -262,14 +271,15 @@ def routed(spark: SparkSession, d: str) -> DataFrame:
     return references.route_references(own)
 
 
-@query(f"WITH {ROUTED} SELECT identifier, CASE arg_min(resource_type, (referencing, pos)) WHEN 'dataset' THEN 'Dataset' ELSE 'Text' END AS resource_type, string_agg(DISTINCT referencing, ',' ORDER BY referencing) AS referenced_by_datasets FROM routed WHERE route = 'publication' GROUP BY identifier")
+@query(f"WITH {ROUTED} SELECT identifier, CASE arg_min(resource_type, (referencing, pos)) WHEN 'dataset' THEN 'Dataset' ELSE 'Text' END AS resource_type, count(DISTINCT referencing) AS datasets FROM routed WHERE route = 'publication' GROUP BY identifier")
 def g3_publications(spark: SparkSession, d: str) -> DataFrame:
-    return references.publication_inputs(routed(spark, d)).select("identifier", "resource_type", comma("referenced_by_datasets").alias("referenced_by_datasets"))
+    counts = references.publication_mentions(routed(spark, d)).groupBy("identifier").agg(F.count("*").alias("datasets"))
+    return references.publication_inputs(routed(spark, d)).select("identifier", "resource_type").join(counts, "identifier")
 
 
-@query(f"WITH {ROUTED} SELECT DISTINCT identifier AS record_id, k AS key, CASE k WHEN 'doi' THEN identifier WHEN 'isReferencedBy' THEN referencing WHEN 'landingPageLocation' THEN identifier ELSE p END AS value FROM routed, (VALUES ('doi', ''), ('isReferencedBy', ''), ('landingPageLocation', ''), ('profile', '{P['Base']}'), ('profile', '{P['Publication']}')) t(k, p) WHERE route = 'publication'")
+@query(f"WITH {ROUTED} SELECT DISTINCT identifier AS record_id, k AS key, CASE k WHEN 'doi' THEN identifier WHEN 'isReferencedBy' THEN referencing WHEN 'landingPageLocation' THEN identifier WHEN 'dataCitePublicationType' THEN CASE arg_min(resource_type, (referencing, pos)) OVER (PARTITION BY identifier) WHEN 'dataset' THEN 'Dataset' ELSE 'Text' END ELSE p END AS value FROM routed, (VALUES ('dataCitePublicationType', ''), ('doi', ''), ('isReferencedBy', ''), ('landingPageLocation', ''), ('profile', '{P['Base']}'), ('profile', '{P['Publication']}')) t(k, p) WHERE route = 'publication'")
 def r3_publication_records(spark: SparkSession, d: str) -> DataFrame:
-    return records.publication_records(references.publication_inputs(routed(spark, d)))[1].where("key <> 'dataCitePublicationType'").select("record_id", "key", "value")
+    return records.publication_records(references.publication_inputs(routed(spark, d)), references.publication_mentions(routed(spark, d)))[1].select("record_id", "key", "value")
 
 
 @query(f"WITH {ROUTED} SELECT DISTINCT referencing AS record_id, relation AS key, identifier AS value FROM routed WHERE route = 'publication' AND relation IN ('cites', 'references') AND referencing IN (SELECT 'o:' || o_orderkey FROM orders WHERE o_orderstatus = 'F')")
@@ -301,9 +311,9 @@ def n11_inverse_references(spark: SparkSession, d: str) -> DataFrame:
     return graph.invert_named_references(own, known).select("record_id", "value")
 
 
-@query(f"WITH {ROUTED}, {LATEST} SELECT t.concept AS doi, string_agg(DISTINCT r.concept, ',' ORDER BY r.concept) AS referencing FROM routed r JOIN latest t ON r.identifier = t.doi WHERE route = 'dataset' AND r.concept <> t.concept GROUP BY t.concept")
+@query(f"WITH {ROUTED}, {LATEST} SELECT DISTINCT t.concept AS doi, r.concept AS referencing FROM routed r JOIN latest t ON r.identifier = t.doi WHERE route = 'dataset' AND r.concept <> t.concept")
 def g6_cross_references(spark: SparkSession, d: str) -> DataFrame:
-    return references.cross_references(routed(spark, d), latest(spark, d)).withColumn("referencing", comma("referencing"))
+    return references.cross_references(routed(spark, d), latest(spark, d))
 
 
 EDGES = "e AS (SELECT 'o:' || o_orderkey AS src, 'c:' || o_custkey AS dst FROM orders UNION SELECT 'c:' || c_custkey, 'n:' || c_nationkey FROM customer UNION SELECT 'n:' || n_nationkey, 'r:' || n_regionkey FROM nation UNION SELECT 'r:' || n_regionkey, 'n:' || n_nationkey FROM nation)"
@@ -403,7 +413,7 @@ def r6_merge_graphs(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- test sheets
 
-SHEET_FILES = "sf AS (SELECT *, CASE l_linenumber % 4 WHEN 0 THEN 'Creep' WHEN 1 THEN 'MD-TR' WHEN 2 THEN 'Loading' ELSE 'notes' END AS t, l_orderkey * 1000000 + l_linenumber * 100000 + l_partkey AS pos FROM lineitem WHERE l_returnflag = 'R'), cf AS (SELECT pos || '' AS record_id, pos, CASE WHEN l_partkey % 3 = 0 THEN 'Vh5205_' || t || '_C-' || l_suppkey || '.LIS' WHEN l_partkey % 3 = 1 THEN 'Vh5205_C-' || l_suppkey || '-' || t || '.lis' ELSE 'Vh5205_C-' || l_suppkey || '-' || t || '.json' END AS name, l_suppkey, t, l_partkey FROM sf), cl AS (SELECT DISTINCT record_id, pos, name, CASE WHEN t <> 'notes' THEN 'Vh5205_C-' || l_suppkey END AS test_id, CASE WHEN t <> 'notes' THEN replace(lower(t), '-', '_') END AS file_type, CASE WHEN t <> 'notes' THEN l_partkey % 3 = 0 END AS type_first FROM cf WHERE l_partkey % 3 < 2)"
+SHEET_FILES = "sf AS (SELECT *, CASE l_linenumber % 4 WHEN 0 THEN 'Creep' WHEN 1 THEN 'MD-TR' WHEN 2 THEN 'Loading' ELSE 'notes' END AS t, l_orderkey * 1000000 + l_linenumber * 100000 + l_partkey AS pos FROM lineitem), cf AS (SELECT pos || '' AS record_id, pos, CASE WHEN l_partkey % 3 = 0 THEN 'Vh5205_' || t || '_C-' || l_suppkey || '.LIS' WHEN l_partkey % 3 = 1 THEN 'Vh5205_C-' || l_suppkey || '-' || t || '.lis' ELSE 'Vh5205_C-' || l_suppkey || '-' || t || '.json' END AS name, l_suppkey, t, l_partkey FROM sf), cl AS (SELECT DISTINCT record_id, pos, name, CASE WHEN t <> 'notes' THEN 'Vh5205_C-' || l_suppkey END AS test_id, CASE WHEN t <> 'notes' THEN replace(lower(t), '-', '_') END AS file_type, CASE WHEN t <> 'notes' THEN l_partkey % 3 = 0 END AS type_first FROM cf WHERE l_partkey % 3 < 2)"
 PICKED = f"{SHEET_FILES}, pk AS (SELECT * FROM cl WHERE test_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY test_id, file_type ORDER BY type_first DESC, CASE WHEN type_first THEN -pos ELSE pos END) = 1)"
 
 
@@ -412,7 +422,7 @@ def sheet_files(spark: SparkSession, d: str) -> DataFrame:
     kind = F.when(k == 0, "Creep").when(k == 1, "MD-TR").when(k == 2, "Loading").otherwise("notes")
     name = F.when(p == 0, F.concat(F.lit("Vh5205_"), kind, F.lit("_C-"), "l_suppkey", F.lit(".LIS"))).otherwise(F.concat(F.lit("Vh5205_C-"), "l_suppkey", F.lit("-"), kind, F.when(p == 1, F.lit(".lis")).otherwise(F.lit(".json"))))
     pos = F.col("l_orderkey") * 1000000 + F.col("l_linenumber") * 100000 + F.col("l_partkey")
-    return table(spark, d, "lineitem").where("l_returnflag = 'R'").select(pos.cast("string").alias("record_id"), pos.alias("pos"), name.alias("name")).distinct()
+    return table(spark, d, "lineitem").select(pos.cast("string").alias("record_id"), pos.alias("pos"), name.alias("name")).distinct()
 
 
 @query(f"WITH {SHEET_FILES} SELECT record_id, test_id, file_type, type_first FROM cl")
@@ -438,11 +448,11 @@ def l3_test_collections(spark: SparkSession, d: str) -> DataFrame:
 PARTS = ("Heat-treatment", "Ch.-Comp.-measured", "Ch.-Comp.-nominal", "Data-acquisition-creep", "Data-acquisition", "Primary-data", "Rp0.2", "Common")
 
 
-@query("WITH x AS (SELECT p_partkey, p_partkey % 8 AS k FROM part WHERE p_size < 40), m AS (SELECT k, max(p_partkey)::VARCHAR AS id FROM x GROUP BY k) SELECT coalesce(max(id) FILTER (WHERE k = 0), '') AS heat_treatment, coalesce(max(id) FILTER (WHERE k = 1), '') AS chemical_measured, coalesce(max(id) FILTER (WHERE k = 2), '') AS chemical_nominal, coalesce(max(id) FILTER (WHERE k = 3), '') AS data_acquisition_creep, coalesce(max(id) FILTER (WHERE k = 4), '') AS data_acquisition, coalesce(max(id) FILTER (WHERE k = 5), '') AS primary_processed, '' AS roughness, coalesce(max(id) FILTER (WHERE k = 6), '') AS rp02, max(id) FILTER (WHERE k = 7) AS common FROM m")
+@query("WITH x AS (SELECT p_partkey, p_partkey % 8 AS k FROM part), m AS (SELECT k, max(p_partkey)::VARCHAR AS id FROM x GROUP BY k) SELECT coalesce(max(id) FILTER (WHERE k = 0), '') AS heat_treatment, coalesce(max(id) FILTER (WHERE k = 1), '') AS chemical_measured, coalesce(max(id) FILTER (WHERE k = 2), '') AS chemical_nominal, coalesce(max(id) FILTER (WHERE k = 3), '') AS data_acquisition_creep, coalesce(max(id) FILTER (WHERE k = 4), '') AS data_acquisition, coalesce(max(id) FILTER (WHERE k = 5), '') AS primary_processed, '' AS roughness, coalesce(max(id) FILTER (WHERE k = 6), '') AS rp02, max(id) FILTER (WHERE k = 7) AS common FROM m")
 def l4_l5_complementary_files(spark: SparkSession, d: str) -> DataFrame:
     kind = F.get(F.array(*map(F.lit, PARTS)), (F.col("p_partkey") % 8).cast("int"))
     name = F.when(F.col("p_partkey") % 8 == 7, "Vh12_MD-TR_Common-to-all.LIS").otherwise(F.concat(F.lit("Vh12_Complementary_"), kind, F.lit(".LIS")))
-    files = table(spark, d, "part").where("p_size < 40").select(F.col("p_partkey").cast("string").alias("record_id"), F.col("p_partkey").alias("pos"), name.alias("name"))
+    files = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("record_id"), F.col("p_partkey").alias("pos"), name.alias("name"))
     return sheets.complementary_files(files).crossJoin(sheets.common_file(files).withColumnRenamed("record_id", "common"))  # one row each
 
 
@@ -466,10 +476,10 @@ def l7_parse_tests(spark: SparkSession, d: str) -> DataFrame:
     return tests.select("key", at("date_test_start", "a"), at("date_test_end", "b"), F.col("specified_temperature").alias("temperature"), F.col("initial_stress").alias("stress"), F.col("material_id").alias("material"), F.col("percentage_creep_extension").alias("extension"), F.col("applicable_standard").alias("standard"))
 
 
-@query(f"WITH {TESTS}, er AS (SELECT 'PARSE_ERROR' AS error_type, key FROM t WHERE a IS NULL OR b IS NULL UNION ALL SELECT 'VALUE_ERROR', user_id::VARCHAR FROM events WHERE event_id % 7 = 3 AND event_id % 2 = 1) SELECT error_type, count(*) AS n, string_agg(DISTINCT key, ',' ORDER BY key) AS tests FROM er GROUP BY error_type")
+@query(f"WITH {TESTS}, er AS (SELECT 'PARSE_ERROR' AS error_type, key FROM t WHERE a IS NULL OR b IS NULL UNION ALL SELECT 'VALUE_ERROR', user_id::VARCHAR FROM events WHERE event_id % 7 = 3 AND event_id % 2 = 1) SELECT 'type' AS scope, error_type, NULL AS test_id, count(*) AS n FROM er GROUP BY error_type UNION ALL SELECT 'test', error_type, key, count(*) FROM er GROUP BY error_type, key")
 def l11_l17_error_report(spark: SparkSession, d: str) -> DataFrame:
     _, errors = sheets.parse_tests(test_lines(spark, d))
-    return sheets.error_report(errors).withColumn("tests", comma("tests"))
+    return sheets.error_report(errors)
 
 
 @query(f"WITH {TESTS} SELECT key AS test_id FROM t WHERE a IS NOT NULL AND b IS NOT NULL")

@@ -176,9 +176,9 @@ def c1_resolve_dois(spark: SparkSession, d: str) -> DataFrame:
     return resolved.select("doi", "recid").union(rest.select("doi", F.lit(None).cast("long")))
 
 
-@query(f"WITH {ASKED} SELECT doi, c_nationkey AS concept, coalesce(s_suppkey, k) AS version_recid FROM q JOIN customer ON k = c_custkey LEFT JOIN supplier ON s_nationkey = c_nationkey AND s_acctbal > 5000")
+@query(f"WITH {ASKED} SELECT doi, c_nationkey AS concept, coalesce(s_suppkey, k) AS version_recid FROM q JOIN customer ON k = c_custkey LEFT JOIN (SELECT s_suppkey, CASE WHEN s_acctbal > 5000 THEN s_nationkey ELSE -1 END AS s_concept FROM supplier) ON s_concept = c_nationkey")
 def c2_fan_out_versions(spark: SparkSession, d: str) -> DataFrame:
-    versions = table(spark, d, "supplier").where("s_acctbal > 5000").select(F.col("s_nationkey").alias("concept"), F.col("s_suppkey").alias("version_recid"))
+    versions = table(spark, d, "supplier").select(F.when(F.col("s_acctbal") > 5000, F.col("s_nationkey")).otherwise(-1).alias("concept"), F.col("s_suppkey").alias("version_recid"))
     return repository.fan_out_versions(repository.resolve_dois(*asked(spark, d))[0], versions)
 
 

@@ -45,7 +45,7 @@ def build_repository_graph(landed: DataFrame, dois: DataFrame, run_date: str, *,
     targets = names.join(latest, "concept").select("doi", "concept", "latest_doi")
     about = routed.join(visited.select(F.col("node").alias("concept")), "concept", "left_semi").join(latest, "concept").withColumn("referencing", F.col("latest_doi")).drop("latest_doi")
     publications = references.publication_inputs(about)
-    merged_records, merged = records.merge_graphs([records.publication_records(publications), records.file_records(files), records.dataset_records(datasets)])
+    merged_records, merged = records.merge_graphs([records.publication_records(publications, references.publication_mentions(about)), records.file_records(files), records.dataset_records(datasets)])
     more = references.citation_links(about, merged_records).unionByName(references.named_references(about, targets).drop("predicate", "target"))
     merged = materialize(merged.unionByName(more.select(*merged.columns)), "attributes")
     back = graph.invert_named_references(merged, merged_records)
