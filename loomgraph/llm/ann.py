@@ -8,11 +8,14 @@ table for each book; the best of each query are kept while blocks go by, then sc
 
 Equal vectors are coded once: each distinct vector has its smallest ids, as many as an answer can hold, so that a vector
 which a third of the rows repeat costs as much as any other and hides no neighbours. All distinct vectors are indexed;
-queries meet all of them, block by block. Blocks have a bounded number of vectors, and one task holds two blocks.
-
-Vectors that are null, zero, or hold nulls or values that aren't finite take no part, nor do null ids. Vectors must have one
-dimension; others than the first query's are left out. Ties go to the smaller id. Rows that repeat an id with the same
-vector count once. With fewer candidates than asked for, all come back; an empty table gives an empty answer.
+queries meet all of them, block by block. Blocks have a bounded number of vectors, and one task holds a block of either
+kind. Codes are dealt by block, once; blocks of queries are copied to them.
+
+An inner product needs vectors of one length, so each length is a space of its own, with its own books: a query's
+neighbours have its length. A space of at most ``rerank`` distinct vectors has nothing to select: all go to the exact
+scoring. Vectors that are null, zero, or hold nulls or values that aren't finite take no part, nor do null ids. Ties go
+to the smaller id. Rows that repeat an id count once; if their vectors differ, the one with the smallest hash. With fewer candidates than asked for, all come back; an empty table gives an empty answer. Scores are computed in
+double precision on the vectors as they came.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import materialize
+from loomgraph.llm.common import discard, materialize, rows_per_batch
 
 
 @dataclass(frozen=True)
@@ -39,7 +42,7 @@ class Settings:
     sample: int = 8192
     rounds: int = 6
     rerank: int = 256
-    block: int = 16384
+    block: int = 32768
     queries: int = 512
     seed: int = 5
 
@@ -108,62 +111,50 @@ def dot(x: Column, y: Column) -> Column:
 def usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, embedding) of the rows that take part."""
     bad = lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))
-    own = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
+    own = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     own = own.where("vec_id is not null and embedding is not null and size(embedding) > 0")
     return own.where(~F.exists("embedding", bad) & F.exists("embedding", lambda v: v != 0))
 
 
-def nearest(vectors: DataFrame, *, is_query: Column, k: int = 20, settings: Settings = Settings()) -> DataFrame:
-    """query_id, rank, vec_id and score of the k nearest that are found for each query, its own row left out."""
-    s, spark = settings, vectors.sparkSession
-    own = usable(vectors)
-    # the smallest k + 1 ids of each distinct vector: Spark limits each part of a group before it is shuffled
-    order = Window.partitionBy("embedding").orderBy("vec_id")
-    ids = own.withColumn("place", F.dense_rank().over(order)).where(F.col("place") <= k + 1).dropDuplicates(["embedding", "vec_id"])
-    ids = materialize(ids, "ids")
-    distinct = ids.where("place = 1").select(F.col("vec_id").alias("rep"), "embedding")
-    members = ids.join(distinct.withColumnRenamed("rep", "first"), "embedding").select(F.col("first").alias("rep"), "vec_id")
-    members = materialize(members, "members")
-    asked = materialize(own.where(is_query).join(distinct, "embedding").select(F.col("vec_id").alias("query_id"), "rep").distinct(), "asked")
-    total = distinct.count()
-    if not total or not asked.head(1):
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-
+def _search(distinct: DataFrame, asked: DataFrame, size: int, total: int, s: Settings) -> DataFrame:
+    """query and rep: for each asked rep those that the codes bring nearest. distinct: rep and embedding, of one size."""
+    spark = distinct.sparkSession
     some = distinct.orderBy(F.xxhash64("rep", F.lit(s.seed))).limit(s.sample).select("embedding").toPandas()["embedding"]
-    size = max(map(len, some))
-    sample = np.array([v for v in some if len(v) == size], np.float32)
-    books = spark.sparkContext.broadcast(fit_books(sample, s))
-    distinct = distinct.where(F.size("embedding") == size)
+    some = np.array(some.tolist())
+    scale = float(np.abs(some).max())  # codes are of single precision, whatever the size of the values
+    books = spark.sparkContext.broadcast(fit_books(some / scale, s))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, size)
+                x = (batch.column(1).flatten().to_numpy() / scale).reshape(batch.num_rows, size)
                 codes = encode(x, books.value, s.beam)
                 decoded = books.value[np.arange(len(books.value)), codes].sum(1)
                 along = (x * decoded).sum(1)
                 factor = np.where(along > 0, (x**2).sum(1) / np.maximum(along, 1e-12), 1.0).astype(np.float32)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(factor)], ["rep", "code", "factor"])
 
-    coded = distinct.mapInArrow(code, "rep long, code binary, factor float")
-    blocks = -(-total // s.block)
-    coded = coded.groupBy(F.pmod(F.xxhash64("rep"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("rep", "code", "factor")).alias("codes"))  # about s.block vectors
     queries = distinct.join(asked.select("rep").distinct(), "rep")
-    parts = -(-asked.select("rep").distinct().count() // s.queries)
-    queries = queries.groupBy(F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(parts)).alias("part")).agg(F.collect_list(F.struct("rep", "embedding")).alias("queries"))
-    met = materialize(coded, "codes").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<long>"))).join(materialize(queries, "queries"), "part")
+    parts, blocks = -(-queries.count() // s.queries), -(-total // s.block)
+    fan = min(parts, -(-32 // blocks))  # few blocks: each is copied for some queries, so that all executors have work
+    coded = distinct.select("rep", "embedding").mapInArrow(code, "rep long, code binary, factor float")
+    coded = coded.groupBy(F.pmod(F.xxhash64("rep"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("rep", "code", "factor")).alias("codes"))  # about s.block vectors
+    asking = queries.groupBy(F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(parts)).alias("part")).agg(F.collect_list(F.struct("rep", "embedding")).alias("queries"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<long>"))
+    coded, asking = materialize(coded, "codes"), materialize(asking, "queries")
+    met = coded.withColumn("turn", every(fan)).join(asking.withColumn("block", every(blocks)).withColumn("turn", F.col("part") % fan), ["block", "turn"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_books = books.value
         for batch in batches:
             for i in range(batch.num_rows):
-                codes, asking = (batch.column(c).slice(i, 1).flatten() for c in (0, 1))
+                codes, own = (batch.column(c).slice(i, 1).flatten() for c in (0, 1))
                 rep = codes.field("rep").to_numpy()
                 code = np.frombuffer(b"".join(codes.field("code").to_pylist()), np.uint8).reshape(len(rep), -1)
                 up = np.argsort(rep)  # ties go to the smaller id
                 rep, code, factor = rep[up], code[up], codes.field("factor").to_numpy()[up]
-                q = np.array(asking.field("embedding").to_pylist(), np.float32)
-                q_rep = asking.field("rep").to_numpy()
+                q_rep = own.field("rep").to_numpy()
+                q = (own.field("embedding").flatten().to_numpy() / scale).reshape(len(q_rep), size).astype(np.float32)
                 tables = np.einsum("qd,mkd->mqk", q, own_books, optimize=True)
                 keep = min(s.rerank, len(rep))
                 for at in range(0, len(q), 64):
@@ -198,11 +189,38 @@ def nearest(vectors: DataFrame, *, is_query: Column, k: int = 20, settings: Sett
         if now is not None:
             yield done()
 
-    scanned = met.select("codes", "queries").mapInArrow(scan, "query long, reps array<long>, scores array<float>")
+    with rows_per_batch(spark, 4):  # a row is two blocks
+        scanned = materialize(met.select("codes", "queries").mapInArrow(scan, "query long, reps array<long>, scores array<float>"), "scanned")
     merged = scanned.repartition("query").sortWithinPartitions("query").mapInArrow(merge, "query long, reps array<long>")
-    pairs = materialize(merged, "found").select("query", F.explode("reps").alias("rep"))
+    found = materialize(merged.select("query", F.explode("reps").alias("rep")), "found")
+    discard(coded, asking, scanned)
+    return found
+
+
+def nearest(vectors: DataFrame, *, is_query: Column, k: int = 20, settings: Settings = Settings()) -> DataFrame:
+    """query_id, rank, vec_id and score of the k nearest that are found for each query, its own row left out."""
+    s, spark = settings, vectors.sparkSession
+    own = usable(vectors)
+    if own.groupBy("vec_id").count().where("count > 1").head(1):
+        own = own.groupBy("vec_id").agg(F.min_by("embedding", F.struct(F.xxhash64("embedding"), "embedding")).alias("embedding"))
+    # the smallest k + 1 ids of each distinct vector: Spark limits each part of a group before it is shuffled
+    order = Window.partitionBy("embedding").orderBy("vec_id")
+    ids = own.withColumn("place", F.dense_rank().over(order)).where(F.col("place") <= k + 1).dropDuplicates(["embedding", "vec_id"])
+    ids = materialize(ids, "ids")
+    distinct = ids.where("place = 1").select(F.col("vec_id").alias("rep"), "embedding", F.size("embedding").alias("size"))
+    distinct = materialize(distinct, "distinct")
+    members = materialize(ids.join(distinct.select("rep", "embedding"), "embedding").select("rep", "vec_id"), "members")
+    asked = materialize(own.where(is_query).join(distinct.select("rep", "embedding", "size"), "embedding").select(F.col("vec_id").alias("query_id"), "rep", "size").distinct(), "asked")
+    spaces = distinct.groupBy("size").agg(F.count("*").alias("n")).where(F.col("n") > s.rerank).collect()  # a row for each length of many vectors
+    large = [r["size"] for r in spaces]
+    small = distinct.where(~F.col("size").isin(large)) if large else distinct
+    pairs = asked.select(F.col("rep").alias("query"), "size").distinct().join(small.select("rep", "size"), "size").select("query", "rep")  # s.rerank of a size at most
+    for r in sorted(spaces):
+        here = F.col("size") == r["size"]
+        if asked.where(here).head(1):
+            pairs = pairs.unionByName(_search(distinct.where(here), asked.where(here), r["size"], r["n"], s))
     exact = (
-        pairs.join(distinct.withColumnRenamed("embedding", "x"), "rep")
+        pairs.join(distinct.select("rep", F.col("embedding").alias("x")), "rep")
         .join(distinct.select(F.col("rep").alias("query"), F.col("embedding").alias("y")), "query")
         .select("query", "rep", dot(F.col("x"), F.col("y")).alias("score"))
     )

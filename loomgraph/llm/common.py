@@ -68,6 +68,18 @@ def broadcast_if_small(df: DataFrame, rows: int = 200_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for columns that stand beside those of df for a while: the ones given, longer where df has them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
