@@ -1,16 +1,18 @@
 """Quality rules with cross-document line frequency, with DataFrame functions alone.
 
-Lines are normalised (A-Z and other capitals lowered, digits to 0, white space to one blank), hashed, and counted by
-distinct documents of the same host. Lines in more documents than the host's limit are removed; a document that keeps
-too few words is depleted and rejected. The limit is the larger of ``least_docs`` and ``share`` of the host's documents.
+Lines are normalised (lower case, digits to 0, white space to one blank between words), hashed, and counted by distinct
+documents of the same host. A line is removed where it stands in more than ``share`` of its host's documents, and in more
+than ``least_docs`` (so few that only tiny hosts are ruled by it: below that, a line isn't a pattern of the host). A
+document that loses words is rejected if it is depleted: most of its words are gone, or too few are left.
 
-Counts are aggregated before they are shuffled, and a line that a third of the documents share meets its count in a join
-that Spark splits. Rules within a document use whole texts: words, characters, symbols, repeated lines, and words in
-3-word windows that occur twice or more (windows are compared by 64-bit hashes).
+Each text is read and split once: its rules and its lines' hashes are written together, and all else goes on from
+there. Counts are aggregated before they are shuffled, and a line that a third of the documents share meets its count in
+a join that Spark splits. Rules within a document use whole texts: words, characters, symbols, repeated lines, and words
+in 3-word windows that occur twice or more (windows are compared by 64-bit hashes).
 
 Null and empty texts have no words and fail the base rules. Null hosts are one host. Rows that repeat a doc_id are
-documents of their own if their texts differ, else one document; each row gets a result. An empty table gives an empty
-one.
+documents of their own if their texts differ, else one document; each row gets a result. A line at its limit stays. An
+empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -18,13 +20,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import WHITE, materialize, word_count
+from loomgraph.llm.common import WHITE, discard, free_names, materialize
 from loomgraph.llm.licenses import let
 
 #: White space of words, one by one.
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = r"[#*$%&|<>]"
-LEAST_DOCS, SHARE = 200, 0.01
+LEAST_DOCS, SHARE = 5, 0.05
 #: Rejected: more than this share of the words removed, or fewer words than this kept.
 MOST_REMOVED, LEAST_KEPT = 0.5, 50
 
@@ -45,8 +47,23 @@ def repeated_words(words: Column) -> Column:
     return F.when(F.size(words) < 3, F.lit(0)).otherwise(let(words, lambda w: let(windows(w), count))).cast("long")
 
 
+def split_words(text: Column) -> Column:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of a text that isn't null."""
+    return let(F.btrim(text, F.lit(BLANKS)), lambda flat: F.when(flat == "", F.array().cast("array<string>")).otherwise(F.split(flat, WHITE + "+")))
+
+
+def normal(text: Column) -> Column:
+    return F.regexp_replace(F.lower(text), "[0-9]", "0")
+
+
+def hashed_lines(text: Column) -> Column:
+    """array of struct(line, words) for the lines of a text with words: the hash of its normal words, and their number."""
+    each = F.transform(F.split(normal(text), "\n"), lambda x: let(split_words(x), lambda w: F.struct(F.xxhash64(w).alias("line"), F.size(w).alias("words"))))
+    return F.filter(each, lambda x: x.getField("words") > 0)
+
+
 def text_rules(docs: DataFrame) -> DataFrame:
-    """doc_id, host (null-safe), text_hash, n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of each row."""
+    """doc_id, host (null-safe), text_hash, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and hashed (lines)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     flat = F.btrim(text, F.lit(BLANKS))
     words = F.when(flat == "", F.array().cast("array<string>")).otherwise(F.split(flat, WHITE + "+"))
@@ -55,10 +72,11 @@ def text_rules(docs: DataFrame) -> DataFrame:
     return own.select(
         "doc_id", "host", "text_hash",
         F.size("words").cast("long").alias("n_words"),
-        F.length(F.regexp_replace("text", WHITE + "+", "")).cast("long").alias("word_chars"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.regexp_replace("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("words")).alias("n_repeat_words"),
+        hashed_lines(F.col("text")).alias("hashed"),
     )
 
 
@@ -66,34 +84,35 @@ def host(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("s"), source), F.lit(""))
 
 
-def normal_line(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), "[0-9]", "0"), WHITE + "+", " "))
-
+def document_lines(rules: DataFrame) -> DataFrame:
+    """doc_id, text_hash, host, line and words (in all its places) of each document's distinct lines.
 
-def document_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, host, line (hash) and words (in all its places) of each document's distinct lines with words."""
-    each = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), host(F.col("source")).alias("host"), F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("raw"))
-    named = each.select("doc_id", "text_hash", "host", normal_line(F.col("raw")).alias("normal"), word_count(F.col("raw")).alias("words")).where("words > 0")
-    return named.groupBy("doc_id", "text_hash", "host", F.xxhash64("normal").alias("line")).agg(F.sum("words").alias("words"))
+    rules: doc_id, text_hash, host and hashed, a row for each row of the documents."""
+    each = rules.select("doc_id", "text_hash", "host", F.explode("hashed").alias("l")).select("doc_id", "text_hash", "host", "l.line", "l.words")
+    return each.groupBy("doc_id", "text_hash", "host", "line").agg(F.sum("words").alias("words"))
 
 
 def frequent_lines(lines: DataFrame, *, least_docs: int = LEAST_DOCS, share: float = SHARE, hosts: DataFrame) -> DataFrame:
     """host and line of the lines in more documents than the host's limit. hosts: host and docs (documents)."""
     counts = lines.groupBy("host", "line").agg(F.count("*").alias("n"))
-    many = counts.where(F.col("n") > least_docs)  # the limit is at least that, so few rows go on
+    many = counts.where(F.col("n") > least_docs)  # as the limit is at least that
     return many.join(hosts, "host").where(F.col("n") > F.greatest(F.lit(float(least_docs)), F.col("docs") * share)).select("host", "line")
 
 
 def quality(docs: DataFrame, *, least_docs: int = LEAST_DOCS, share: float = SHARE, most_removed: float = MOST_REMOVED, least_kept: int = LEAST_KEPT) -> DataFrame:
     """doc_id, text_hash, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, removed_words, base_failed, kept."""
     rules = materialize(text_rules(docs), "rules")
-    lines = materialize(document_lines(docs), "lines")
+    lines = materialize(document_lines(rules), "lines")
     one = rules.groupBy("host", "doc_id", "text_hash").agg(F.count("*").alias("rows"))
     hosts = one.groupBy("host").agg(F.count("*").alias("docs"))
     often = frequent_lines(lines, least_docs=least_docs, share=share, hosts=hosts)
     gone = lines.join(often, ["host", "line"]).groupBy("host", "doc_id", "text_hash").agg(F.sum("words").alias("removed"))
-    gone = gone.join(one.select("host", F.col("doc_id"), "text_hash", "rows"), ["host", "text_hash", "doc_id"]).select(F.col("host").alias("h_"), F.col("text_hash").alias("t_"), F.col("doc_id").alias("d_"), F.floor(F.col("removed") / F.col("rows")).alias("removed"))
-    both = rules.join(gone, (F.col("host") == F.col("h_")) & (F.col("text_hash") == F.col("t_")) & F.col("doc_id").eqNullSafe(F.col("d_")), "left")
+    gone = gone.withColumnRenamed("host", "h_").withColumnRenamed("text_hash", "t_").withColumnRenamed("doc_id", "d_")
+    same = (F.col("host") == F.col("h_")) & (F.col("text_hash") == F.col("t_")) & F.col("doc_id").eqNullSafe(F.col("d_"))
+    # rows that repeat a document have its lines summed over all of them
+    gone = materialize(gone.join(one, same).select("h_", "t_", "d_", F.floor(F.col("removed") / F.col("rows")).alias("removed")), "removed")
+    discard(lines)
+    both = rules.join(gone, same, "left")
     removed = F.coalesce("removed", F.lit(0)).cast("long")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     depleted = (removed > F.col("n_words") * most_removed) | (F.col("n_words") - removed < least_kept)
@@ -103,15 +122,19 @@ def quality(docs: DataFrame, *, least_docs: int = LEAST_DOCS, share: float = SHA
 
 def without_frequent_lines(docs: DataFrame, *, least_docs: int = LEAST_DOCS, share: float = SHARE) -> DataFrame:
     """docs with the lines above the limits taken out of text; all columns are kept."""
-    lines = materialize(document_lines(docs), "lines")
-    hosts = lines.select("host", "doc_id", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("docs"))
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), host(F.col("source")).alias("host"), hashed_lines(F.coalesce("text", F.lit(""))).alias("hashed"))
+    lines = materialize(document_lines(hashed), "lines")
+    hosts = docs.select(host(F.col("source")).alias("host"), "doc_id", F.xxhash64("text").alias("text_hash")).distinct().groupBy("host").agg(F.count("*").alias("docs"))
     often = frequent_lines(lines, least_docs=least_docs, share=share, hosts=hosts)
+    id_, hash_, host_, gone_ = free_names(docs, "id_", "hash_", "host_", "gone_")
     # a document's own lines at most
-    gone = lines.join(often, ["host", "line"]).groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("gone_"))
-    gone = gone.withColumnRenamed("doc_id", "id_").withColumnRenamed("text_hash", "hash_")
-    both = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("id_")) & (F.xxhash64(docs["text"]) == F.col("hash_")), "left")
-    kept = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(F.col("gone_"), F.xxhash64(normal_line(x))))
-    text = F.when(F.col("gone_").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    gone = lines.join(often, ["host", "line"]).groupBy("host", "doc_id", "text_hash").agg(F.collect_set("line").alias(gone_))
+    gone = gone.withColumnRenamed("doc_id", id_).withColumnRenamed("text_hash", hash_).withColumnRenamed("host", host_)
+    same = docs["doc_id"].eqNullSafe(gone[id_]) & (F.xxhash64(docs["text"]) == gone[hash_]) & (host(docs["source"]) == gone[host_])
+    both = docs.join(gone, same, "left")
+    line_hash = lambda x: F.xxhash64(split_words(normal(x)))
+    kept = F.filter(F.split(docs["text"], "\n"), lambda x: ~F.array_contains(gone[gone_], line_hash(x)))
+    text = F.when(gone[gone_].isNull(), docs["text"]).otherwise(F.array_join(kept, "\n"))
     return both.select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns])
 
 
