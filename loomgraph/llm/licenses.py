@@ -3,10 +3,14 @@
 A text matches a template when a run of its words, twice as long as the template and wherever its lines break, holds at
 least ``containment`` of the template's distinct words: alpha = ceil(containment * size) of them. The words that name
 the license (NAMES) have to be among them; a template of fewer than SHORT words without a name has to be held whole.
-Template words are ordered by the number of texts that hold them, rarest first. Then
+A run ends where the text does; a text of fewer words is one run. Template words are ordered by the number of texts that
+hold them, rarest first. Then
 
 - prefix filter: a matching run holds one of the template's first size - alpha + 1 words, so only the places of these
-  are looked at, with as many words on either side as a run may reach;
+  are looked at;
+- length filter: with as many words on either side as a run may reach, and no more;
+- positional filter: with the word at place r of the order, at most size - r words of the template can be held besides
+  the rarer ones that stand around it;
 - these words together hold alpha words of the template, and the names.
 
 Each run of a candidate is then counted exactly, so nothing that matches is missed and nothing else is found. The
@@ -31,22 +35,28 @@ from loomgraph.llm.common import materialize
 
 #: Words that are searched one after another, and their labels (fixed values).
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-#: Label and text of the templates.
+#: Label and text of the templates: notices and sentences of well-known licenses (fixed values).
 TEMPLATES = (
     ("apache-2.0", "licensed under the apache license version 2.0"),
+    ("apache-2.0", "licensed under the apache license version 2.0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at"),
     ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software"),
     ("gpl", "this work is licensed under the gnu general public license version 3"),
     ("gpl", "free software you can redistribute it under the terms of the gnu general public license"),
+    ("lgpl", "you can redistribute it and or modify it under the terms of the gnu lesser general public license"),
     ("cc-by-nc", "licensed under cc by nc 4.0"),
     ("cc-by", "this work is licensed under a creative commons attribution license"),
+    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4.0 international license"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license"),
-    ("reserved", "all rights reserved"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"),
 )
 CONTAINMENT = 0.8
 #: Words of templates without which it is another license; distinct words of a template that is short.
-NAMES, SHORT = frozenset(("apache", "2", "mit", "gnu", "cc", "nc", "creative", "commons", "attribution", "mozilla")), 10
+NAMES, SHORT = frozenset(("apache", "2", "mit", "gnu", "lesser", "cc", "nc", "creative", "commons", "attribution", "sharealike", "mozilla", "unencumbered")), 10
 #: Not a word, after lower-casing.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -71,23 +81,29 @@ def template_words(text: str) -> list[str]:
     return sorted(set(re.findall(r"[a-z0-9]+", text)))
 
 
+def alpha_of(words: list[str], containment: float) -> int:
+    """Words of a template that a run has to hold."""
+    named = any(w in NAMES for w in words)
+    return len(words) if not named and len(words) < SHORT else math.ceil(containment * len(words) - 1e-9)
+
+
 def scan(docs: DataFrame, *, templates: tuple[tuple[str, str], ...] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
     """(doc_id, text_hash, template, label, share): every template that a text matches, with its largest share."""
     sets = [(i, label, template_words(text)) for i, (label, text) in enumerate(templates)]
     vocabulary = sorted({w for _, _, words in sets for w in words})
     spans = [2 * len(re.findall(r"[a-z0-9]+", text)) for _, text in templates]
     names = [[w for w in words if w in NAMES] for _, _, words in sets]
-    alphas = [len(words) if not named and len(words) < SHORT else math.ceil(containment * len(words) - 1e-9) for (_, _, words), named in zip(sets, names, strict=True)]
+    alphas = [alpha_of(words, containment) for _, _, words in sets]
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.split(lowered(F.col("text")), GAP).alias("words"))
     held = keyed.select(F.array_intersect(F.array(*map(F.lit, vocabulary)), "words").alias("held")).where(F.size("held") >= min(alphas))
     counts = {r["word"]: r["count"] for r in held.select(F.explode("held").alias("word")).groupBy("word").count().collect()}  # a row for a template word at most
     index, prefix = [], set()
     for i, label, own in sets:
         own = sorted(own, key=lambda w: (counts.get(w, 0), w))
-        for word in own[: len(own) - alphas[i] + 1]:
+        for r, word in enumerate(own[: len(own) - alphas[i] + 1]):
             prefix.add(word)
-            index.append((word, i, label, own, names[i], len(own), alphas[i], spans[i]))
-    table = docs.sparkSession.createDataFrame(index, "word string, template int, label string, own array<string>, names array<string>, size int, alpha int, span int")
+            index.append((word, i, label, r, own, own[:r], names[i], len(own), alphas[i], spans[i]))
+    table = docs.sparkSession.createDataFrame(index, "word string, template int, label string, r int, own array<string>, rarer array<string>, names array<string>, size int, alpha int, span int")
 
     # each place of a prefix word, with the words around it: far enough for the longest template
     rare, far = F.array(*map(F.lit, sorted(prefix))), max(spans) - 1
@@ -98,6 +114,7 @@ def scan(docs: DataFrame, *, templates: tuple[tuple[str, str], ...] = TEMPLATES,
     met = anchors.select("doc_id", "text_hash", "x.word", "x.at", "x.around").join(F.broadcast(table), "word")  # of the templates' size
     first = F.greatest(F.col("at") - F.col("span") + 1, F.lit(0))
     met = met.withColumn("around", F.slice("around", first + 1, F.col("at") - first + F.col("span")))
+    met = met.where(F.size(F.array_intersect("rarer", "around")) + F.col("size") - F.col("r") >= F.col("alpha"))
     met = met.where(F.size(F.array_intersect("own", "around")) >= F.col("alpha")).where(F.size(F.array_intersect("names", "around")) == F.size("names"))
 
     def share(i: Column) -> Column:
@@ -159,21 +176,26 @@ def license_report(docs: DataFrame, **options) -> DataFrame:
 
 
 def report_sql() -> str:
-    """license_report for DuckDB, by comparing every line with every template (so without runs over lines, and without names)."""
+    """license_report for DuckDB: every run of every text that has the words is compared with every template."""
     upper, lower = "".join(map(chr, range(65, 91))), "".join(map(chr, range(97, 123)))
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-    rows = ", ".join(f"({i}, '{label}', {template_words(text)!r}, {math.ceil(CONTAINMENT * len(template_words(text)) - 1e-9)})" for i, (label, text) in enumerate(TEMPLATES))
+    rows = []
+    for i, (label, text) in enumerate(TEMPLATES):
+        own = template_words(text)
+        names = [w for w in own if w in NAMES]
+        rows.append(f"({i}, '{label}', {own!r}, {names!r}::VARCHAR[], {alpha_of(own, CONTAINMENT)}, {2 * len(re.findall('[a-z0-9]+', text))})")
     hits = []
     for phrase, label in PHRASES.items():
         test = " AND ".join(f"ws[i + {k}] = '{p}'" for k, p in enumerate(phrase.split(" ")))
         hits.append(f"list_transform(list_filter(range(1, len(ws) + 1), lambda i: coalesce({test}, false)), lambda i: {{'place': i - 1, 'label': '{label}'}})")
     return f"""
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{upper}', '{lower}') AS t FROM documents),
-w AS (SELECT doc_id, t, regexp_extract_all(t, '{word}') AS ws FROM d),
+w AS (SELECT doc_id, regexp_extract_all(t, '{word}') AS ws FROM d),
 b AS (SELECT doc_id, len(ws) AS n_words, list_concat({hits[0]}, list_concat({hits[1]}, {hits[2]})) AS hits FROM w),
-lines AS (SELECT doc_id, list_distinct(regexp_extract_all(l, '{word}')) AS own FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d)),
-templates(template, label, words, alpha) AS (VALUES {rows}),
-m AS (SELECT doc_id, label, len(list_intersect(own, words)) / len(words)::DOUBLE AS share FROM lines, templates WHERE len(list_intersect(own, words)) >= alpha),
+templates(template, label, words, names, alpha, span) AS (VALUES {", ".join(rows)}),
+near AS (SELECT doc_id, ws, t.* FROM (SELECT doc_id, ws, list_distinct(ws) AS own FROM w) JOIN templates t ON len(list_intersect(own, words)) >= alpha),
+runs AS (SELECT doc_id, label, words, names, alpha, list_distinct(ws[i : i + span - 1]) AS run FROM (SELECT *, unnest(range(1, greatest(len(ws) - span + 1, 1) + 1)) AS i FROM near)),
+m AS (SELECT doc_id, label, len(list_intersect(run, words)) / len(words)::DOUBLE AS share FROM runs WHERE len(list_intersect(run, words)) >= alpha AND list_has_all(run, names)),
 g AS (SELECT doc_id, list(DISTINCT label) AS more, max(share) AS share FROM m GROUP BY doc_id)
 SELECT b.doc_id, n_words::BIGINT AS n_words, len(hits)::BIGINT AS n_base,
   list_min(list_transform(hits, lambda h: h.place))::BIGINT AS first_word, list_max(list_transform(hits, lambda h: h.place))::BIGINT AS last_word,
