@@ -13,24 +13,35 @@ is a bijection for any a and b; F is taken from SHA-256 of key, kind, round and
 - iban: country and letters stay, digits of the account are permuted, check digits are made again;
 - ip: all four octets; ssn: areas 001-899 but 666, groups 01-99, serials 0001-9999;
 - phone: country code stays (+1, or what stands before the first separator), other digits are permuted;
-- date: days of 1900-2099, 29 February among themselves, printed in the same layout;
-- secret: 32 or more hexadecimal digits of assigned tokens, eight at a time; capitals if all letters are;
-- email: a keyed name at a keyed host below ``.invalid``, by the lower-cased address.
-
-Null texts stay null; empty texts and texts without candidates stay as they are. Repeated rows give repeated results.
+- date: days of the same two centuries (1900-2099 and so on, years 100 to 9899), 29 February among themselves, printed
+  in the same layout;
+- secret: 32 or more hexadecimal digits of assigned tokens, eight at a time and then the rest; capitals if all letters are;
+- token: well-known prefixes of access tokens stay, and so does the layout; small letters, capitals and digits after them
+  are permuted among themselves;
+- password: as token, for what is assigned to a password, secret, token or the like and has letters and digits;
+- email: by the lower-cased address; letters and digits of the name are permuted within its layout, and so are those of
+  the host up to its last dot.
+
+Letters and digits of tokens, passwords and addresses are permuted in runs of at most 20 at a time; what was permuted
+before takes part in the key of what follows, so the whole stays a bijection. A value of one character of a kind is
+only shifted. Null texts stay null; empty texts and texts without candidates stay as they are. Repeated rows give
+repeated results. The key has to be given: who has it can undo all of this.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomgraph.llm.common import free_names
 from loomgraph.llm.licenses import let
 
 ROUNDS = 8
-KEY = "change me"
+#: Setting that holds the key, and the key of demonstrations, which hides nothing.
+KEY_SETTING, DEMONSTRATION_KEY = "spark.loomgraph.pseudonymKey", "a demonstration, not a secret"
 START, STOP = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 NUMBER_START, NUMBER_STOP = r"(?<![\p{L}\p{N}_.+/-])", r"(?![\p{L}\p{N}_]|[./-]\p{N})"
 #: An address may follow // or a blank and /, or another one and a dash; a path, a prefix length or a range may follow it.
@@ -44,6 +55,8 @@ PATTERNS = {
     "email": START + r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,4}\.[A-Za-z]{2,24}" + STOP,
     "secret": r"(?=[0-9a-fA-F]{32})(?<=(?i:token|secret|passwd|password|api_key|apikey|key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?=[a-fA-F]*[0-9])[0-9a-fA-F]{32,}" + STOP,
     # 32 and more hexadecimal digits are no account: no country whose letters are A to F has such long ones
+    "token": START + r"(?:gh[pousr]_[A-Za-z0-9]{20,255}|(?:AKIA|ASIA)[0-9A-Z]{16}|AIza[0-9A-Za-z_-]{35}|sk-[A-Za-z0-9_-]{20,255}|xox[abprs]-[0-9A-Za-z-]{10,255})(?![A-Za-z0-9_])",
+    "password": r"(?=\S{6})(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey|access_key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?![\s\"'=:]|[0-9a-fA-F]{32,}(?![\p{L}\p{N}_]))(?=[^\s\"',;<>]*[0-9])(?=[^\s\"',;<>]*[A-Za-z])[^\s\"',;<>]{6,255}",
     "iban": START + r"(?![0-9A-F]{32,}(?![\p{L}\p{N}_]))[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + STOP,
     "ip": IP_START + r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}" + IP_STOP,
     "date": rf"(?:{ISO_START}{ISO}{ISO_STOP}|{LOCAL_START}[0-9]{{1,2}}([/.])[0-9]{{1,2}}\1[0-9]{{4}}{LOCAL_STOP})",
@@ -53,15 +66,18 @@ PATTERNS = {
 }
 #: The kinds in the order in which a found value is tried, each by its own characters.
 SHAPES = {
-    "email": "@",
+    "email": r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+$",
+    "token": r"^(?:gh[pousr]_|AKIA|ASIA|AIza|sk-|xox[abprs]-)[A-Za-z0-9_-]{10,}$",
     "secret": r"^[0-9a-fA-F]{32,}$",
-    "iban": r"^[A-Z]{2}[0-9]{2}",
+    "iban": r"^[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?$",
     "ip": r"^(?:[0-9]{1,3}\.){3}[0-9]{1,3}$",
     "date": r"^(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([/.])[0-9]{1,2}\1[0-9]{4})$",
     "card": r"^(?:[0-9]{13,19}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})$",
     "ssn": r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$",
-    "phone": r"^[+(0-9]",
+    "phone": r"^[+(0-9][0-9(). +-]*$",
+    "password": "",
 }
+TOKEN_PREFIX = "^(?:gh[pousr]_|AKIA|ASIA|AIza|sk-|xox[abprs]-)"
 ANY = "|".join(PATTERNS.values())
 
 
@@ -75,7 +91,7 @@ def digest(key: str, *parts: Column | str) -> Column:
     return F.conv(F.substring(F.sha2(text, 256), 1, 12), 16, 10).cast("long")
 
 
-def feistel(left: Column, right: Column, a: Column | int, b: Column | int, key: str, kind: str) -> Column:
+def feistel(left: Column, right: Column, a: Column | int, b: Column | int, key: str, kind: Column | str) -> Column:
     """struct(l, r): the pair's place in the keyed permutation of [0, a) x [0, b)."""
     a, b = long(a), long(b)
 
@@ -94,13 +110,54 @@ def padded(number: Column, width: Column | int) -> Column:
     return F.lpad(number.cast("string"), width, F.lit("0"))
 
 
-def permute_digits(digits: Column, key: str, kind: str) -> Column:
-    """A string of 2 to 36 digits, permuted among those of its length."""
+def permute_digits(digits: Column, key: str, kind: Column | str) -> Column:
+    """A string of 1 to 36 digits, permuted among those of its length."""
     n = F.length(digits)
     half = (n / 2).cast("int")
     size = lambda k: F.rpad(F.lit("1"), k + 1, F.lit("0")).cast("long")
-    pair = feistel(F.substring(digits, F.lit(1), half), F.substring(digits, half + 1, n - half), size(half), size(n - half), key, kind)
-    return let(pair, lambda p: F.concat(padded(p.getField("l"), half), padded(p.getField("r"), n - half)))
+    left = F.when(half > 0, F.substring(digits, F.lit(1), half)).otherwise("0")
+    pair = feistel(left, F.substring(digits, half + 1, n - half), size(half), size(n - half), key, kind)
+    return let(pair, lambda p: F.concat(F.when(half > 0, padded(p.getField("l"), half)).otherwise(""), padded(p.getField("r"), n - half)))
+
+
+def permute_letters(letters: Column, key: str, kind: Column) -> Column:
+    """A string of small letters or capitals, permuted among those of its length and case, 20 letters at a time."""
+    low, high = "abcdefghijklmnopqrstuvwxyz", "0123456789ABCDEFGHIJKLMNOP"  # as digits of base 26
+
+    def run(i: Column) -> Column:
+        own = F.translate(F.lower(F.substring(letters, i * 20 + 1, F.lit(20))), low, high)
+        n = F.length(own)
+        half = (n / 2).cast("int")
+        number = lambda x: F.conv(F.concat(F.lit("0"), x), 26, 10).cast("long")
+        size = lambda k: F.pow(F.lit(26.0), k).cast("long")
+        show = lambda v, k: F.when(k > 0, F.lpad(F.conv(v.cast("string"), 10, 26), k, F.lit("0"))).otherwise("")
+        pair = feistel(number(F.substring(own, F.lit(1), half)), number(F.substring(own, half + 1, n - half)), size(half), size(n - half), key, F.concat_ws(":", kind, i.cast("string"), F.substring(letters, F.lit(1), i * 20)))
+        return let(pair, lambda p: F.translate(F.concat(show(p.getField("l"), half), show(p.getField("r"), n - half)), high, low))
+
+    made = F.array_join(F.transform(F.sequence(F.lit(0), F.ceil(F.length(letters) / 20).cast("int") - 1), run), "")
+    cased = F.when(letters.rlike("^[A-Z]"), F.upper(made)).otherwise(made)
+    return F.when(F.length(letters) == 0, F.lit("")).otherwise(cased)
+
+
+def permute_long_digits(digits: Column, key: str, kind: Column) -> Column:
+    """A string of any number of digits, 20 at a time."""
+
+    def run(i: Column) -> Column:
+        own = F.substring(digits, i * 20 + 1, F.lit(20))
+        return permute_digits(own, key, F.concat_ws(":", kind, i.cast("string"), F.substring(digits, F.lit(1), i * 20)))
+
+    made = F.array_join(F.transform(F.sequence(F.lit(0), F.ceil(F.length(digits) / 20).cast("int") - 1), run), "")
+    return F.when(F.length(digits) == 0, F.lit("")).otherwise(made)
+
+
+def permute_classes(value: Column, key: str, kind: str) -> Column:
+    """Small letters, capitals and digits of a value, each permuted among themselves; other characters stay."""
+    part = lambda c: F.regexp_replace(value, f"[^{c}]", "")
+    small, large, digits = part("a-z"), part("A-Z"), part("0-9")
+    seed = F.lit(kind)
+    out = into_layout(value, permute_letters(small, key, F.concat_ws(":", seed, F.lit("small"))), "[a-z]")
+    out = into_layout(out, permute_letters(large, key, F.concat_ws(":", seed, F.lit("large"), small)), "[A-Z]")
+    return into_layout(out, permute_long_digits(digits, key, F.concat_ws(":", seed, F.lit("digits"), small, large)), "[0-9]")
 
 
 def into_layout(layout: Column, chars: Column, kind: str) -> Column:
@@ -192,44 +249,66 @@ def date(value: Column, key: str) -> Column:
     leap = (month == 2) & (day == 29)
     # day of a year without 29 February, from 0
     ordinary = F.date_diff(F.make_date(F.lit(2001), month, F.when(leap, 28).otherwise(day)), F.lit("2001-01-01").cast("date"))
-    index = ((year - 1904) / 4).cast("int")
-    usual = feistel(year - 1900, ordinary, 200, 365, key, "date")
-    rare = feistel((index / 7).cast("int"), index % 7, 7, 7, key, "leap day")
-    plain = lambda p: F.struct((p.getField("l") + 1900).cast("int").alias("y"), F.date_add(F.lit("2001-01-01").cast("date"), p.getField("r").cast("int")).alias("d"))
-    other = lambda p: F.struct((1904 + 4 * (p.getField("l") * 7 + p.getField("r"))).cast("int").alias("y"), F.lit("2000-02-29").cast("date").alias("d"))
+    start = (F.floor((year - 1900) / 200) * 200 + 1900).cast("int")  # two centuries from here
+    gap = F.when((start + 100) % 400 == 0, 0).otherwise(1)  # 1 if the second century's first year is no leap year
+    late = year > start + 100 + F.when(gap == 0, -1).otherwise(0)
+    index = ((year - start) / 4).cast("int") - 1 - F.when(late, gap).otherwise(0)
+    wide = F.when(gap == 0, 7).otherwise(8)  # 49 or 48 leap years
+    usual = feistel(year - start, ordinary, 200, 365, key, "date")
+    rare = feistel((index / wide).cast("int"), index % wide, F.when(gap == 0, 7).otherwise(6), wide, key, "leap day")
+    plain = lambda p: F.struct((p.getField("l") + start).cast("int").alias("y"), F.date_add(F.lit("2001-01-01").cast("date"), p.getField("r").cast("int")).alias("d"))
+
+    def other(p: Column) -> Column:
+        i = p.getField("l") * wide + p.getField("r")
+        return F.struct((start + 4 * (i + 1 + F.when(i >= 24, gap).otherwise(0))).cast("int").alias("y"), F.lit("2000-02-29").cast("date").alias("d"))
 
     def show(x: Column) -> Column:
         y, m, d = x.getField("y"), F.month(x.getField("d")), F.day(x.getField("d"))
-        wide = lambda i, v: F.when(F.length(F.get(parts, F.lit(i))) == 2, padded(v, 2)).otherwise(v.cast("string"))
+        two = lambda i, v: F.when(F.length(F.get(parts, F.lit(i))) == 2, padded(v, 2)).otherwise(v.cast("string"))
         first, second = F.when(swapped, m).otherwise(d), F.when(swapped, d).otherwise(m)
-        gap = F.regexp_extract(value, "[/.]", 0)
-        return F.when(iso, F.concat_ws("-", y.cast("string"), padded(m, 2), padded(d, 2))).otherwise(F.concat(wide(0, first), gap, wide(1, second), gap, y.cast("string")))
+        dot = F.regexp_extract(value, "[/.]", 0)
+        return F.when(iso, F.concat_ws("-", padded(y, 4), padded(m, 2), padded(d, 2))).otherwise(F.concat(two(0, first), dot, two(1, second), dot, padded(y, 4)))
 
-    return F.when(real.isNotNull() & year.between(1900, 2099), let(F.when(leap, let(rare, other)).otherwise(let(usual, plain)), show))
+    return F.when(real.isNotNull() & year.between(100, 9899), let(F.when(leap, let(rare, other)).otherwise(let(usual, plain)), show))
 
 
 def secret(value: Column, key: str) -> Column:
-    """Blocks of eight digits are permuted one by one (a rest stays with a digest's digits), in whatever case they are."""
+    """Blocks of eight digits and then the rest are permuted one by one, in whatever case they are."""
     low, n = F.lower(value), F.length(value)
-    blocks = F.sequence(F.lit(0), (n / 8).cast("int") - 1)
+    blocks = F.sequence(F.lit(0), F.ceil(n / 8).cast("int") - 1)
 
     def block(i: Column) -> Column:
-        number = lambda at: F.conv(F.substring(low, i * 8 + at, F.lit(4)), 16, 10).cast("long")
-        pair = feistel(number(1), number(5), 65536, 65536, key, "secret")
-        return let(pair, lambda p: F.concat(*[F.lpad(F.lower(F.hex(p.getField(f))), 4, "0") for f in "lr"]))
-
-    rest = F.substring(F.sha2(F.concat(F.lit(key), F.lit(":secret:"), low), 256), F.lit(1), n % 8)
-    made = F.concat(F.array_join(F.transform(blocks, block), ""), rest)
+        own = F.substring(low, i * 8 + 1, F.lit(8))
+        half = (F.length(own) / 2).cast("int")
+        rest = F.length(own) - half
+        number = lambda x: F.conv(F.concat(F.lit("0"), x), 16, 10).cast("long")
+        size = lambda k: F.pow(F.lit(16.0), k).cast("long")
+        pair = feistel(number(F.substring(own, F.lit(1), half)), number(F.substring(own, half + 1, rest)), size(half), size(rest), key, "secret")
+        show = lambda v, k: F.when(k > 0, F.lpad(F.lower(F.hex(v)), k, F.lit("0"))).otherwise("")
+        return let(pair, lambda p: F.concat(show(p.getField("l"), half), show(p.getField("r"), rest)))
+
+    made = F.array_join(F.transform(blocks, block), "")
     return F.when(value.rlike("[A-F]") & ~value.rlike("[a-f]"), F.upper(made)).otherwise(made)
 
 
 def email(value: Column, key: str) -> Column:
-    name = F.sha2(F.concat(F.lit(key), F.lit(":email:"), F.lower(value)), 256)
-    host = F.sha2(F.concat(F.lit(key), F.lit(":host:"), F.lower(F.substring_index(value, "@", -1))), 256)
-    return F.concat(F.lit("u"), F.substring(name, 1, 12), F.lit("@h"), F.substring(host, 1, 8), F.lit(".invalid"))
+    low = F.lower(value)
+    host = F.substring_index(low, "@", -1)
+    top = F.concat(F.lit("."), F.substring_index(host, ".", -1))
+    inner = F.substring(host, F.lit(1), F.length(host) - F.length(top))
+    return F.concat(permute_classes(F.substring_index(low, "@", 1), key, "email"), F.lit("@"), permute_classes(inner, key, "host"), top)
+
+
+def token(value: Column, key: str) -> Column:
+    prefix = F.regexp_extract(value, TOKEN_PREFIX, 0)
+    return F.concat(prefix, permute_classes(F.substring(value, F.length(prefix) + 1, F.length(value)), key, "token"))
 
 
-MAKERS: dict[str, Callable[[Column, str], Column]] = {"email": email, "secret": secret, "iban": iban, "ip": ip, "date": date, "card": card, "ssn": ssn, "phone": phone}
+def password(value: Column, key: str) -> Column:
+    return permute_classes(value, key, "password")
+
+
+MAKERS: dict[str, Callable[[Column, str], Column]] = {"email": email, "token": token, "password": password, "secret": secret, "iban": iban, "ip": ip, "date": date, "card": card, "ssn": ssn, "phone": phone}
 
 
 def pseudonym(value: Column, key: str) -> Column:
@@ -242,19 +321,30 @@ def pseudonym(value: Column, key: str) -> Column:
     return let(made, lambda m: F.struct(F.when(m.isNotNull(), kind).alias("kind"), F.coalesce(m, value).alias("text")))
 
 
-def pseudonymize(docs: DataFrame, *, key: str = KEY) -> DataFrame:
-    """docs with pseudonyms in text, and a new column found_ (the kinds of the values replaced, in order)."""
+def key_of(spark: SparkSession) -> str:
+    """The key that the session's ``KEY_SETTING`` holds; without one, that of demonstrations, with a warning."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        logging.getLogger(__name__).warning("%s is unset: pseudonyms with the key of demonstrations can be undone by anyone", KEY_SETTING)
+    return key or DEMONSTRATION_KEY
+
+
+def pseudonymize(docs: DataFrame, *, key: str, kinds: str = "found_") -> DataFrame:
+    """docs with pseudonyms in text, and a last column kinds: the kinds of the values replaced, in order. If docs has a
+    column of this name, the new one's is longer by underscores."""
     none = F.array().cast("array<string>")
+    made_, text_, kinds_ = free_names(docs, "made_", "text_", kinds)
     made = F.transform(F.regexp_extract_all("text", F.lit(ANY), F.lit(0)), lambda v: pseudonym(v, key))
     # every pattern needs a digit or an @
-    found = docs.withColumn("made_", F.when(F.col("text").rlike("[0-9@]"), made))
-    text = F.array_join(F.zip_with(F.split("text", ANY, -1), F.col("made_.text"), lambda gap, new: F.concat(gap, F.coalesce(new, F.lit("")))), "")
-    kinds = F.filter(F.col("made_.kind"), lambda k: k.isNotNull())
-    out = found.withColumn("new_", F.when(F.coalesce(F.size("made_"), F.lit(0)) <= 0, F.col("text")).otherwise(text)).withColumn("found_", F.coalesce(kinds, none))
-    return out.select(*[F.col("new_").alias(c) if c == "text" else F.col(c) for c in docs.columns], "found_")
+    found = docs.withColumn(made_, F.when(F.col("text").rlike("[0-9@]"), made))
+    news = F.transform(made_, lambda m: m.getField("text"))
+    text = F.array_join(F.zip_with(F.split("text", ANY, -1), news, lambda gap, new: F.concat(gap, F.coalesce(new, F.lit("")))), "")
+    own = F.filter(F.transform(made_, lambda m: m.getField("kind")), lambda k: k.isNotNull())
+    out = found.withColumn(text_, F.when(F.coalesce(F.size(made_), F.lit(0)) <= 0, F.col("text")).otherwise(text)).withColumn(kinds_, F.coalesce(own, none))
+    return out.select(*[F.col(text_).alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns], kinds_)
 
 
-def private_values(docs: DataFrame, *, key: str = KEY) -> DataFrame:
+def private_values(docs: DataFrame, *, key: str) -> DataFrame:
     """doc_id, n_private (values replaced), kinds (distinct, sorted, comma-joined) and the new text of each row."""
     out = pseudonymize(docs.select("doc_id", "text"), key=key)
     return out.select("doc_id", F.size("found_").cast("long").alias("n_private"), F.array_join(F.array_sort(F.array_distinct("found_")), ",").alias("kinds"), "text")

@@ -51,7 +51,7 @@ def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.private_values(table(spark, sf_dir, "documents"))
+    return pii.private_values(table(spark, sf_dir, "documents"), key=pii.key_of(spark))
 
 
 def op9_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -79,6 +79,31 @@ def test_neighbours(spark):
     assert ann.nearest(vectors.limit(0), is_query=F.col("vec_id") == 0).count() == 0
 
 
+def test_neighbours_of_several_lengths(spark):
+    rng = np.random.default_rng(4)
+    lengths = {16: 900, 24: 1, 8: 700, 3: 40}
+    rows, vectors = [], {}
+    for size, n in lengths.items():
+        for v in rng.normal(size=(n, size)) * (1e30 if size == 3 else 1):
+            vectors[len(rows)] = v
+            rows.append((len(rows), v.tolist(), "x"))
+    rows.append((7, rng.normal(size=16).tolist(), "x"))  # an id with two vectors
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rep string")
+    settings = ann.Settings(books=8, words=64, sample=2000, block=300, queries=20, rerank=64)
+    found = ann.nearest(table, is_query=F.col("vec_id") % 20 == 0, settings=settings).toPandas()
+    hits = wanted = 0
+    for q in range(0, len(vectors), 20):
+        near = {i: float(v @ vectors[q]) for i, v in vectors.items() if len(v) == len(vectors[q]) and i not in (q, 7)}
+        best = sorted(near, key=lambda i: (-near[i], i))[:20]
+        own = found[(found.query_id == q) & (found.vec_id != 7)]
+        assert set(own.vec_id) <= set(near) and np.allclose(own.score, [near[i] for i in own.vec_id], rtol=1e-12)
+        assert len(found[found.query_id == q]) == min(20, len(near) + (len(vectors[q]) == 16))
+        hits, wanted = hits + len(set(best) & set(own.vec_id)), wanted + len(best)
+        if len(near) < 64:  # an exact space
+            assert own.sort_values("rank").vec_id.tolist() == best
+    assert hits / wanted >= 0.9
+
+
 def test_pseudonyms(spark):
     texts = {
         1: "card 4111111111111111, 4111 1111 1111 1111 and not 4111111111111112", 2: "call +1 (942) 555-3625 or 212-555-1234", 3: "at 169.122.221.182 not 300.1.1.1", 4: "ssn 123-45-6789 not 000-12-1234",
@@ -86,7 +111,7 @@ def test_pseudonyms(spark):
         9: None, 10: "", 11: "clean text 12.5 and 2024", 12: "again 4111111111111111", 13: "x " * 50000 + "169.122.221.182",
     }
     docs = spark.createDataFrame([(*r, "k") for r in texts.items()], "doc_id long, text string, kind string")
-    out = {r.doc_id: r for r in pii.private_values(docs).collect()}
+    out = {r.doc_id: r for r in pii.private_values(docs, key="k").collect()}
     assert {i: out[i].n_private for i in texts} == {1: 2, 2: 2, 3: 1, 4: 1, 5: 2, 6: 3, 7: 1, 8: 2, 9: 0, 10: 0, 11: 0, 12: 1, 13: 1}
     first = out[1].text.split()[1].rstrip(",")
     luhn = lambda s: sum((d * 2 - 9 * (d > 4)) if i % 2 else d for i, d in enumerate(map(int, reversed(s)))) % 10
@@ -100,8 +125,8 @@ def test_pseudonyms(spark):
     assert len({w.strip(".") for w in out[8].text.split() if "@" in w}) == 1
     assert pii.private_values(docs, key="other").where("doc_id = 12").first()["text"] != out[12].text
     days = spark.range(3000).select(F.col("id").alias("doc_id"), F.date_add(F.lit("1996-01-01").cast("date"), F.col("id").cast("int")).cast("string").alias("text"))
-    assert pii.private_values(days).select("text").distinct().count() == 3000
-    assert pii.pseudonymize(docs).columns == [*docs.columns, "found_"] and pii.private_values(docs.limit(0)).count() == 0
+    assert pii.private_values(days, key="k").select("text").distinct().count() == 3000
+    assert pii.pseudonymize(docs, key="k").columns == [*docs.columns, "found_"] and pii.private_values(docs.limit(0), key="k").count() == 0
 
 
 def test_private_values_in_common_surroundings(spark):
@@ -113,7 +138,7 @@ def test_private_values_in_common_surroundings(spark):
         10: (f"http://300.1.2.3/x 1.2.3.4.5 Chrome/120.0.0.0 1980-02-30T00:00:00 1980-01-02-3 {low} AE12{low[4:].upper()}", []),
     }
     docs = spark.createDataFrame([(i, t) for i, (t, _) in texts.items()], "doc_id long, text string")
-    out = {r.doc_id: r for r in pii.private_values(docs).collect()}
+    out = {r.doc_id: r for r in pii.private_values(docs, key="k").collect()}
     for i, (text, values) in texts.items():
         assert out[i].n_private == len(values) and len(out[i].text) > 0 and not any(v in out[i].text for v in values), text
     assert out[10].text == texts[10][0] and out[1].text.startswith("http://") and out[1].text.endswith("/x") and out[4].text.count("T00:00:00Z") == 2
