@@ -27,9 +27,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Private values in text are replaced; n_chars follows the text."""
-    out = pii.pseudonymize(docs)
+    out = pii.pseudonymize(docs, key=pii.key_of(spark))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("found_") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        changed = F.size(out.columns[-1]) > 0
+        out = out.withColumn("n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
 
