@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import SPACED, WordHasher, broadcast_if_small, discard, materialize, mix, rows_per_batch, text_slices
+from loomgraph.llm.common import SPACED, WordHasher, broadcast_if_small, discard, free_names, materialize, mix, rows_per_batch, text_slices
 from loomgraph.llm.graph import components
 
 #: Pieces beyond those needed, as a share of them.
@@ -292,18 +292,23 @@ def linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, measure: Measure
 
 def _blocks(members: DataFrame) -> DataFrame:
     """Pairs (x, y) of blocks of members (group, id, linked, n, band, sketch): all of a small group, and of a large one
-    blocks of one band with each other and with those of the next. y is null where x meets itself alone."""
-    parts = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / WEIGHT)).alias("parts")
-    sized = members.join(members.groupBy("group").agg(parts), "group")
+    blocks of one band with each other and with those of the next. y is null where x meets itself alone.
+
+    Large groups are few, as each has many members, and so are their bands: members meet them without being dealt by
+    group. The pairs of a group's band are dealt by their first block."""
+    size = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / WEIGHT)).alias("parts")
+    wide = materialize(members.groupBy("group").agg(size).where("parts > 1").select("group", F.lit(True).alias("large")), "large")
+    sized = members.join(broadcast_if_small(wide), "group", "left")
     record = F.collect_list(F.struct("id", "linked", "n", "sketch")).alias("x")
-    small = sized.where("parts = 1").groupBy("group").agg(record).select("x", F.lit(None).cast("array<struct<id: bigint, linked: bigint, n: bigint, sketch: binary>>").alias("y"))
-    large = sized.where("parts > 1").drop("parts")
-    counted = large.join(large.groupBy("group", "band").agg(parts), ["group", "band"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
-    # else a group's band stays in the task that counted it
-    blocks = materialize(counted.repartition("group", "band", "part").groupBy("group", "band", "part").agg(record), "blocks")
+    small = sized.where("large is null").groupBy("group").agg(record).select("x", F.lit(None).cast("array<struct<id: bigint, linked: bigint, n: bigint, sketch: binary>>").alias("y"))
+    large = sized.where("large").drop("large")
+    bands = materialize(large.groupBy("group", "band").agg(size), "bands")
+    cut = large.join(broadcast_if_small(bands), ["group", "band"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    blocks = materialize(cut.repartition("group", "band", "part").groupBy("group", "band", "part").agg(record), "blocks")
     left = blocks.select("group", F.col("band").alias("at"), F.col("part").alias("p"), "x")
     right = blocks.select("group", "band", F.col("part").alias("q"), F.col("x").alias("y"), F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("at"))
-    met = left.join(right, ["group", "at"]).where("band > at or p <= q").select("x", "y")
+    right = right.join(broadcast_if_small(bands.withColumnRenamed("band", "at")), ["group", "at"]).withColumn("p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    met = left.join(right.where("band > at or p <= q"), ["group", "at", "p"]).select("x", "y")
     return small.unionByName(met)
 
 
@@ -437,13 +442,14 @@ def keep_one(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     with. Texts without words are linked with nothing, so each row of them stays, and so do rows whose doc_id is null.
     """
     found = _placed(docs.select("doc_id", "text"), measure).where("first is not null and doc_id is not null")
-    gone = found.where("first.doc_id <> doc_id or first.text_hash <> text_hash").select(F.col("doc_id").alias("id_"), F.col("text_hash").alias("hash_")).distinct()
+    id_, hash_ = free_names(docs, "id_", "hash_")
+    gone = found.where("first.doc_id <> doc_id or first.text_hash <> text_hash").select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_)).distinct()
     away = materialize(gone, "away")
-    left = docs.join(broadcast_if_small(away), (docs["doc_id"] == F.col("id_")) & (F.xxhash64(docs["text"]) == F.col("hash_")), "left_anti").select(*docs.columns)
+    left = docs.join(broadcast_if_small(away), (docs["doc_id"] == F.col(id_)) & (F.xxhash64(docs["text"]) == F.col(hash_)), "left_anti").select(*docs.columns)
     if not docs.groupBy("doc_id").count().where("doc_id is not null and count > 1").head(1):
         return left
     blank = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]") | F.col("doc_id").isNull()
-    one = left.where(~blank).withColumn("hash_", F.xxhash64("text")).dropDuplicates(["doc_id", "hash_"])
+    one = left.where(~blank).withColumn(hash_, F.xxhash64("text")).dropDuplicates(["doc_id", hash_])
     return left.where(blank).unionByName(one.select(*docs.columns))
 
 
