@@ -66,6 +66,16 @@ def test_components(spark, k, percent):
     assert sorted(tuple(r) for r in found.collect()) == brute(rows, k, percent)
 
 
+def test_components_by_blocks_alone(spark, monkeypatch):
+    """Without the likeliest candidates, and with blocks of three sets."""
+    monkeypatch.setattr(jaccard, "LIKELY", 0)
+    monkeypatch.setattr(jaccard, "BLOCK", 3)
+    rows = near_copies(7)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = jaccard.similar_components(docs, jaccard.Measure(5, 80))
+    assert sorted(tuple(r) for r in found.collect()) == brute(rows, 5, 80)
+
+
 def test_one_of_each_group_stays(spark):
     rows = [(1, "a b c d e f g"), (2, "A b c d e f g"), (2, "A b c d e f g"), (3, ""), (4, None), (5, "other words here stand alone"), (None, "a b c d e f g")]
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
