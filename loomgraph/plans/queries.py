@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgraph.functions import vocabulary
-from loomgraph.functions.shared import shared_dir
+from loomgraph.functions.shared import materialize, shared_dir
 from loomgraph.operators import graph, quality, records, repository, sheets
 from loomgraph.plans.adapters import TRADE_SQL, digits, document_files, landed, table, trade_graph, turns
 from loomgraph.sources import readers, writers
@@ -228,18 +228,19 @@ def c7_c8_files(spark: SparkSession, d: str) -> DataFrame:
     return repository.build_files(landed(spark, d)).drop("mimetype")
 
 
-DATASETS = f"""{LANDED_FILES}, v AS (SELECT {CONCEPT} AS concept, '10.5281/zenodo.' || o_orderkey AS doi, o_orderkey AS recid, CASE WHEN o_orderkey % 3 > 0 THEN o_orderstatus ELSE '1.0' END AS label, {ORCID} AS orcid, o_orderpriority, CASE WHEN o_orderkey % 7 > 0 THEN o_orderpriority ELSE '' END AS title, CASE WHEN o_orderkey % 11 > 0 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '2024-05-06' END AS published FROM {OC}),
+DATASETS = f"""{LANDED_FILES}, v AS (SELECT {CONCEPT} AS concept, '10.5281/zenodo.' || o_orderkey AS doi, o_orderkey AS recid, CASE WHEN o_orderkey % 3 > 0 THEN o_orderstatus ELSE '1.0' END AS label, {ORCID} AS orcid, o_orderpriority, c_mktsegment AS seg, CASE WHEN o_orderkey % 7 > 0 THEN o_orderpriority ELSE '' END AS title, CASE WHEN o_orderkey % 11 > 0 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '2024-05-06' END AS published FROM {OC}),
 ds AS (SELECT *, lag(doi) OVER w AS prev, lead(doi) OVER w AS next, nullif(last_value(doi) OVER (PARTITION BY concept ORDER BY label, recid ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), doi) AS latest FROM v WINDOW w AS (PARTITION BY concept ORDER BY label, recid)),
 fs AS (SELECT version_doi, string_agg(checksum, ',' ORDER BY pos) AS files FROM (SELECT version_doi, checksum, min(pos) AS pos FROM lf GROUP BY ALL) GROUP BY version_doi)"""
 
 
 def dataset_contracts(spark: SparkSession, d: str) -> DataFrame:
-    own = landed(spark, d)
+    """Orders as datasets, with texts in HTML, organisations of some creators, and some files as images."""
+    own = materialize(landed(spark, d), "landed")
     versions = repository.build_versions(own, "2024-05-06").withColumnRenamed("concept_doi", "concept").withColumn("input_pos", F.col("recid"))
-    versions = repository.version_links(repository.order_versions(versions))
-    files = repository.dedup_in_version(repository.build_files(own))
-    creators = repository.build_creators(own).withColumn("ror_id", F.lit(None).cast("string"))
-    return repository.dataset_inputs(versions, creators, files, repository.preview_images(files))
+    versions = repository.version_links(repository.order_versions(versions)).withColumn("description", F.concat(F.lit("<p>About <b>"), "title", F.lit("</b></p>")))
+    files = materialize(repository.dedup_in_version(repository.build_files(own)), "files")
+    creators = repository.build_creators(own).withColumn("ror_id", F.when(F.col("affiliation") != "BUILDING", F.concat(F.lit("https://ror.org/"), "affiliation")))
+    return repository.dataset_inputs(versions, creators, files, repository.preview_images(files, is_image=F.col("download_url").rlike("^https://l/[0-9]*0$")))
 
 
 @query(f"WITH {DATASETS} SELECT doi, published AS publication_date, label AS version_label, orcid AS creators, prev AS previous_version_doi, next AS next_version_doi, latest AS latest_version_doi, files FROM ds LEFT JOIN fs ON version_doi = doi")
@@ -251,7 +252,8 @@ def c17_dataset_inputs(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {DATASETS}
 SELECT doi AS record_id, 'profile' AS key, unnest(['{P["Base"]}', '{P["Versionable"]}']) AS value FROM ds UNION SELECT doi, 'name', title FROM ds UNION SELECT doi, 'dateCreated', published FROM ds UNION SELECT doi, 'creator', orcid FROM ds
 UNION SELECT doi, 'keyword', o_orderpriority FROM ds UNION SELECT doi, 'version', label FROM ds UNION SELECT doi, 'previousVersion', prev FROM ds WHERE prev IS NOT NULL UNION SELECT doi, 'nextVersion', next FROM ds WHERE next IS NOT NULL
-UNION SELECT doi, 'latestVersion', latest FROM ds WHERE latest IS NOT NULL UNION SELECT version_doi, 'hasPart', checksum FROM lf UNION SELECT doi, 'landingPageLocation', 'https://doi.org/' || doi FROM ds""")
+UNION SELECT doi, 'latestVersion', latest FROM ds WHERE latest IS NOT NULL UNION SELECT version_doi, 'hasPart', checksum FROM lf UNION SELECT doi, 'landingPageLocation', 'https://doi.org/' || doi FROM ds
+UNION SELECT doi, 'creatorAffiliation', 'https://ror.org/' || seg FROM ds WHERE seg <> 'BUILDING' UNION SELECT doi, 'description', trim('About ' || title) FROM ds UNION SELECT version_doi, 'previewImage', download_url FROM lf WHERE l_partkey % 3 > 0 AND l_partkey % 10 = 0""")
 def r1_dataset_records(spark: SparkSession, d: str) -> DataFrame:
     return records.dataset_records(dataset_contracts(spark, d))[1].select("record_id", "key", "value")
 
