@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from loomgraph.functions.vocabulary import BACKLINK_RULES, PROFILES
 from loomgraph.operators import quality, sheets
-from loomgraph.plans.adapters import table
+from loomgraph.plans.adapters import landed, table
 from loomgraph.plans.experiment import build_experiment_graph
 from loomgraph.plans.more_queries import PARTS, TESTS, test_lines
-from loomgraph.plans.queries import scratch, values
+from loomgraph.plans.queries import CONCEPT, OC, scratch, values
+from loomgraph.plans.repository import build_repository_graph
 from loomgraph.sources import readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,3 +164,28 @@ er AS (SELECT 'INCOMPLETE_FILES' AS error_type, 'Vh5205_C-' || u AS test_id FROM
 SELECT 'type' AS scope, error_type, NULL AS test_id, count(*) AS n FROM er GROUP BY error_type UNION ALL SELECT 'test', error_type, test_id, count(*) FROM er WHERE test_id IS NOT NULL GROUP BY error_type, test_id""")
 def l18_l11_experiment_errors(spark: SparkSession, d: str) -> DataFrame:
     return sheets.error_report(experiment_job(spark, d)["errors"])
+
+
+# ---- the repository job
+
+VISITED = """e AS (SELECT DISTINCT a.concept AS src, b.concept AS dst FROM o a JOIN o b ON b.k = a.k + 1),
+w AS (SELECT DISTINCT concept AS node, 0 AS depth FROM o WHERE status = 'F' UNION SELECT dst, depth + 1 FROM w JOIN e ON src = node WHERE depth < 2),
+visited AS (SELECT node, min(depth) AS depth FROM w GROUP BY node),
+mine AS (SELECT * FROM o WHERE concept IN (SELECT node FROM visited))"""
+
+
+@query(f"""WITH RECURSIVE o AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderstatus AS status, {CONCEPT} AS concept FROM {OC}), {VISITED}
+SELECT 'asked, ' || CASE status WHEN 'F' THEN 'ok' ELSE 'failed' END AS what, count(*) AS n FROM o GROUP BY ALL UNION ALL SELECT 'visited at ' || depth, count(*) FROM visited GROUP BY depth UNION ALL SELECT 'dataset', count(*) FROM mine
+UNION ALL SELECT 'file', count(DISTINCT l_partkey) FROM mine JOIN lineitem ON l_orderkey = k UNION ALL SELECT 'publication', count(DISTINCT c) FROM mine WHERE k % 4 > 0
+UNION ALL SELECT 'hasPart', count(*) FROM (SELECT DISTINCT k, l_partkey FROM mine JOIN lineitem ON l_orderkey = k) UNION ALL SELECT 'references', count(DISTINCT c) FROM mine WHERE k % 4 > 0
+UNION ALL SELECT 'namedReference', 2 * count(*) FROM e WHERE src <> dst AND src IN (SELECT node FROM visited) AND dst IN (SELECT node FROM visited)""")
+def plan_repository_graph(spark: SparkSession, d: str) -> DataFrame:
+    """The repository job over all orders, asked for by their DOIs where they are finished: what it asked, visited and made."""
+    own = table(spark, d, "orders").join(table(spark, d, "customer").select("c_custkey"), F.col("o_custkey") == F.col("c_custkey"))
+    dois = own.select(F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("10.5281/zenodo."), "o_orderkey")).otherwise(F.concat(F.lit("10.9/x"), "o_orderkey")).alias("doi"))
+    out = build_repository_graph(landed(spark, d), dois, "2024-05-06", max_depth=2)
+    count = lambda t, what: t.groupBy(what.alias("what")).agg(F.count("*").alias("n"))
+    asked = count(out["outcomes"], F.concat(F.lit("asked, "), "status"))
+    visited = count(out["visited"], F.concat(F.lit("visited at "), F.col("depth").cast("string")))
+    kept = out["attributes"].where(F.col("key").isin("hasPart", "references", "namedReference"))
+    return asked.union(visited).union(count(out["records"], F.col("kind"))).union(count(kept, F.col("key")))
