@@ -56,7 +56,8 @@ PATTERNS = {
     "secret": r"(?=[0-9a-fA-F]{32})(?<=(?i:token|secret|passwd|password|api_key|apikey|key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?=[a-fA-F]*[0-9])[0-9a-fA-F]{32,}" + STOP,
     # 32 and more hexadecimal digits are no account: no country whose letters are A to F has such long ones
     "token": START + r"(?:gh[pousr]_[A-Za-z0-9]{20,255}|(?:AKIA|ASIA)[0-9A-Z]{16}|AIza[0-9A-Za-z_-]{35}|sk-[A-Za-z0-9_-]{20,255}|xox[abprs]-[0-9A-Za-z-]{10,255})(?![A-Za-z0-9_])",
-    "password": r"(?=\S{6})(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey|access_key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?![\s\"'=:]|[0-9a-fA-F]{32,}(?![\p{L}\p{N}_]))(?=[^\s\"',;<>]*[0-9])(?=[^\s\"',;<>]*[A-Za-z])[^\s\"',;<>]{6,255}",
+    # what stands before is looked at in three steps, from cheap to dear
+    "password": r"(?<=[=:\"'\s])(?<=[=:]\s{0,3}[\"']?)(?=\S{6})(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey|access_key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?![\s\"'=:]|[0-9a-fA-F]{32,}(?![\p{L}\p{N}_]))(?=[^\s\"',;<>]*[0-9])(?=[^\s\"',;<>]*[A-Za-z])[^\s\"',;<>]{6,255}",
     "iban": START + r"(?![0-9A-F]{32,}(?![\p{L}\p{N}_]))[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + STOP,
     "ip": IP_START + r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}" + IP_STOP,
     "date": rf"(?:{ISO_START}{ISO}{ISO_STOP}|{LOCAL_START}[0-9]{{1,2}}([/.])[0-9]{{1,2}}\1[0-9]{{4}}{LOCAL_STOP})",
