@@ -1,4 +1,4 @@
-"""Classifiers by held-out accuracy, neighbours by recall, pseudonyms by their properties, and the pipeline."""
+"""Classifiers by held-out accuracy, neighbours by recall, and pseudonyms by their properties."""
 
 import random
 
@@ -6,7 +6,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from loomgraph.llm import ann, pii, quality_model, toxicity
 
 SMALL = "/root/testdata/sf0.001"
@@ -144,14 +143,3 @@ def test_private_values_in_common_surroundings(spark):
     assert out[10].text == texts[10][0] and out[1].text.startswith("http://") and out[1].text.endswith("/x") and out[4].text.count("T00:00:00Z") == 2
     small, capital = out[7].text.split(" ")[0].removeprefix("API_KEY="), out[7].text.split("'")[1]
     assert small.upper() == capital and small == small.lower() and len(out[8].text) == len(texts[8][0])
-
-
-def test_pipeline(spark):
-    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    now = docs
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        out = stage(spark, now, SMALL)
-        assert sorted(out.columns) == sorted(docs.columns)
-        now = spark.createDataFrame(out.collect(), docs.schema)
-    last = corpus_pipeline.STAGES[-1][1](spark, now, SMALL)
-    assert last.count() == now.count() > 0 and last.where("n_tokens <> size(ids)").count() == 0
