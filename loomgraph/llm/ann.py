@@ -36,12 +36,12 @@ class Settings:
     """books and words: of the code; beam: codes kept while encoding; sample: vectors that fit the books at most;
     rerank: distinct candidates scored exactly for each query; block and queries: vectors in a block of either kind."""
 
-    books: int = 16
-    words: int = 256
+    books: int = 32
+    words: int = 128
     beam: int = 4
     sample: int = 8192
     rounds: int = 6
-    rerank: int = 256
+    rerank: int = 512
     block: int = 32768
     queries: int = 512
     seed: int = 5
