@@ -37,7 +37,8 @@ def new_path(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it again: cuts the lineage and survives lost executors."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out
@@ -51,17 +52,27 @@ def discard(*tables: DataFrame) -> None:
 
 
 @contextlib.contextmanager
-def rows_per_batch(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Arrow batches of so many rows for what runs inside: for tables whose rows are large."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session for what runs inside."""
     before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.set(name, before)
 
 
+def rows_per_batch(spark: SparkSession, rows: int) -> contextlib.AbstractContextManager[None]:
+    """Arrow batches of so many rows for what runs inside: for tables whose rows are large."""
+    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def small_batches(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """Arrow batches of 4 MB for what runs inside, or of one row where that is longer: texts are held twice, by the
+    executor and by its Python worker, and numbers have small batches anyway."""
+    return setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 def broadcast_if_small(df: DataFrame, rows: int = 200_000) -> DataFrame:
     """A table of a few numbers a row that has been written before: broadcast if it has at most so many rows, else left
     to Spark's own choice of a join."""
@@ -90,7 +101,7 @@ def word_count(text):
     return F.when(flat == "", F.lit(0)).otherwise(F.length(flat) - F.length(F.replace(flat, F.lit(" "), F.lit(""))) + 1).cast("long")
 
 
-def text_slices(texts: pa.Array, max_bytes: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def text_slices(texts: pa.Array, max_bytes: int = 1 << 18) -> Iterator[tuple[int, list[bytes]]]:
     """Runs of whole texts of about max_bytes together, as UTF-8 (null: empty), with the index of their first row."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import SPACED, WordHasher, mix, text_slices
+from loomgraph.llm.common import SPACED, WordHasher, mix, small_batches, text_slices
 
 #: Names of the labellers, in the order of their votes.
 LABELLERS = ("length", "word length", "case", "symbols", "marks", "repeats", "runs", "sentences", "short words")
@@ -209,7 +209,8 @@ def fit(docs: DataFrame, *, settings: Settings = Settings()) -> Model:
                 own, count = np.unique(patterns(reader.votes(texts)), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(count)], ["pattern", "n"])
 
-    counted = docs.select("text").mapInArrow(run, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n")).toPandas().sort_values("pattern")  # 3 ** 9 rows at most
+    with small_batches(docs.sparkSession):
+        counted = docs.select("text").mapInArrow(run, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n")).toPandas().sort_values("pattern")  # 3 ** 9 rows at most
     if not len(counted):
         return Model(np.zeros(s.buckets, np.float32), 0.0, 0.5, {})
     votes = expand(counted["pattern"].to_numpy())
