@@ -15,6 +15,7 @@ labels of both kinds every score is 0.5.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -62,26 +63,50 @@ class Model:
     thresholds: dict[str, float] = field(default_factory=dict)
 
     def pooled(self, words: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Largest response of every filter over each text, at least 0. Filters that reach beyond a text's end see zeros."""
+        """Largest response of every filter over each text, at least 0. Filters that reach beyond a text's end see zeros.
+
+        Every sum runs over embedding columns and filter words in one fixed order, one multiplication and one addition at
+        a time: a matrix product may round by a row's place and neighbours, and a text's score mustn't depend on these."""
         size = np.diff(at)
-        full, text_of = np.flatnonzero(size), np.repeat(np.arange(len(size), dtype=np.int32), size)
+        full = np.flatnonzero(size)
         out = np.zeros((len(size), sum(f.shape[2] for f in self.filters)), np.float32)
-        if len(full):
-            x, to = self.table[words].sum(0), 0
-            for f, b in zip(self.filters, self.biases, strict=True):
-                total = x @ f[0] + b
-                for k in range(1, len(f)):
-                    total[:-k] += (x[k:] @ f[k]) * (text_of[k:] == text_of[:-k])[:, None]
-                out[full, to : to + f.shape[2]] = np.maximum(np.maximum.reduceat(total, at[full], axis=0), 0)
-                to += f.shape[2]
+        if not len(full):
+            return out
+        x = self.table[words[0]]
+        for more in words[1:]:
+            x += self.table[more]
+        x = np.ascontiguousarray(x.T)  # a line for each embedding column
+        last = at[1:][full] - 1
+        product, to = np.empty(x.shape[1], np.float32), 0
+        for f, b in zip(self.filters, self.biases, strict=True):
+            width, columns, n = f.shape
+            for j in range(n):
+                total = np.full(x.shape[1], b[j], np.float32)
+                for k in range(min(width, x.shape[1])):
+                    stop = x.shape[1] - k
+                    own = np.zeros(stop, np.float32) if k else total
+                    for d in range(columns):
+                        np.multiply(x[d, k:], f[k, d, j], out=product[:stop])
+                        own += product[:stop]
+                    if k:
+                        for back in range(k):  # places from which word k of the filter lies beyond the text's end
+                            past = last - back
+                            own[past[(past >= 0) & (past < stop)]] = 0
+                        total[:stop] += own
+                out[full, to + j] = np.maximum(np.maximum.reduceat(total, at[full]), 0)
+            to += n
         return out
 
     def logits(self, words: np.ndarray, at: np.ndarray) -> np.ndarray:
-        return self.pooled(words, at) @ self.out + self.bias
+        pooled = self.pooled(words, at)
+        z = np.full(len(pooled), self.bias, np.float64)
+        for j, weight in enumerate(self.out.tolist()):  # in a fixed order as well
+            z += pooled[:, j].astype(np.float64) * weight
+        return z
 
     def score(self, words: np.ndarray, at: np.ndarray) -> np.ndarray:
-        z = np.clip(self.logits(words, at).astype(np.float64) * self.scale + self.shift, -30, 30)
-        return 1 / (1 + np.exp(-z))
+        z = np.clip(self.logits(words, at) * self.scale + self.shift, -30, 30)
+        return np.array([1 / (1 + math.exp(-v)) for v in z.tolist()], np.float64)
 
 
 def _hashed(texts: list[bytes], hasher: WordHasher, rows: int, prefixes: tuple[tuple[int, bool], ...]) -> tuple[np.ndarray, np.ndarray]:

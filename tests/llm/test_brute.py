@@ -59,6 +59,22 @@ def test_convolution_and_pooling_equal_plain_loops():
     assert np.allclose(model.score(words, at), [plain_score(model, t) for t in texts], atol=1e-4)
 
 
+def test_toxicity_scores_depend_on_the_text_alone(spark):
+    """The same texts in other places, slices, partitions and batches have the same scores to the last bit."""
+    rng, pick = np.random.default_rng(4), random.Random(6)
+    model = random_model(rng, size=8, filters=8)
+    texts = ["", "one", "two words"] + [" ".join(pick.choice(["alpha", "beta", "Gamma", "delta9", "x"]) for _ in range(pick.randrange(60))) for _ in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    alone = {}
+    for i, t in enumerate(texts):
+        words, at = toxicity._hashed([t.encode()], WordHasher(ALNUM), len(model.table), model.prefixes)
+        alone[i] = float(model.score(words, at)[0])
+    for parts, batch in ((1, 10_000), (7, 13), (3, 1)):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+        assert {r.doc_id: r.score for r in toxicity.score(docs.repartition(parts), model).collect()} == alone
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_toxicity_edges(spark):
     """Rows that repeat a doc_id score by their own text; a doc_id with both labels learns as toxic; null lang and doc_id."""
     rows = [(i, f"w{i} vile scum" if i % 4 == 0 else f"w{i} fine day", None if i % 5 == 0 else "en") for i in range(300)]
