@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.llm import ann, bpe, jaccard, licenses, line_rules, mixing, pii, quality_model, token_store, toxicity
+from loomgraph.llm import ann, bpe, conversations, hard_negatives, jaccard, licenses, line_rules, merge_queue, mixing, pii, quality_model, token_store, toxicity
 from loomgraph.llm.common import new_path, table
 
 
@@ -62,6 +62,21 @@ def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.quality(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op11_merge_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge_queue.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept, dropped = conversations.damage(table(spark, sf_dir, "conversations"))
+    return conversations.repair_report(kept, known=dropped)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.mine(vectors, is_anchor=F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_license_scan": op2_license_scan,
@@ -73,6 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pseudonyms": op8_pseudonyms,
     "op9_pareto_mix": op9_pareto_mix,
     "op10_line_frequency": op10_line_frequency,
+    "op11_merge_queue": op11_merge_queue,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 SQL: dict[str, str] = {
@@ -80,4 +98,6 @@ SQL: dict[str, str] = {
     "op6_jaccard_join": jaccard.components_sql(jaccard.Measure(words=3, percent=90)),
     "op9_pareto_mix": mixing.mix_sql(),
     "op10_line_frequency": line_rules.quality_sql(),
+    "op12_conversation_repair": conversations.report_sql(),
+    "op13_hard_negatives": hard_negatives.mine_sql(),
 }
