@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.functions.columns import normalize_orcid, year_of
 from loomgraph.functions.shared import materialize
+from loomgraph.operators.postings import contained, grams, numbered
 from loomgraph.operators.repository import first_per
 
 
@@ -54,56 +55,37 @@ def without(rows: DataFrame, done: DataFrame, key: str = "key") -> DataFrame:
 def resolve_file_refs(refs: DataFrame, files: DataFrame, *, min_length: int = 8) -> tuple[DataFrame, DataFrame]:
     """(resolved, unresolved) of refs (ref) against file records (record_id, name): names that are equal, or hold each other.
 
-    Equal names are joined first. Only the rest is compared by containment, and then only where the holder has all runs
-    of min_length characters of the held: they meet on the held one's rarest run, as the first runs of many names are
-    the same. Shorter texts are compared whole with the
-    runs of their own length on the other side; what has such a run is reduced to the name that wins before they meet,
-    as a text of few characters stands in many. Empty texts stand in all. Ties: the longest name, then the smallest record.
+    Equal names are joined first. Only the rest is compared by containment: texts of at least min_length characters by
+    the postings of their runs (``postings.contained``), shorter ones as runs of their own length of the other side.
+    Names are reduced to the record that wins before they meet, and pairs are ids, so no text is written more often than
+    it has characters. Empty texts stand in all, null ones in none. Ties: the longest name, then the smallest record.
     """
-    asked = refs.select("ref").distinct().withColumn("low", F.lower("ref"))
-    known = files.select("record_id", "name").distinct().withColumn("name_low", F.lower("name"))
-    equal = asked.join(known, asked["low"] == known["name_low"])
-    rest = asked.join(equal.select("ref"), "ref", "left_anti")
-    short_refs, rest = rest.where(F.length("low") < min_length), rest.where(F.length("low") >= min_length)
-
-    def runs(c: Column, n: Column | int = min_length) -> Column:
-        n = F.lit(n) if isinstance(n, int) else n
-        starts = F.sequence(F.lit(1), F.greatest(F.length(c) - n + 1, F.lit(1)))
-        # from an array of the characters: substring() would count from the start of a long text again and again
-        each = F.transform(F.array(F.split(c, "")), lambda chars: F.transform(starts, lambda i: F.array_join(F.slice(chars, i, n), "")))
-        return F.array_distinct(F.get(each, F.lit(0)))
-
-    def short_runs(rows: DataFrame, c: str, short: DataFrame) -> DataFrame:
-        """rows with each run (g) of c that is as long as one of the short texts: min_length lengths at most."""
-        lengths = short.select(F.length("g").alias("n")).distinct()
-        return rows.join(F.broadcast(lengths), F.length(c) >= F.col("n")).withColumn("g", F.explode(runs(F.col(c), F.col("n")))).drop("n")
-
-    best = F.min_by(F.struct("record_id", "name"), F.struct((-F.length("name")).alias("l"), "record_id")).alias("best")  # of each run, before the shuffle
-
-    def met_on_rarest(held: DataFrame, held_text: str, holders: DataFrame, holder_text: str) -> DataFrame:
-        """Rows of both where held_text stands in holder_text: the held's run that fewest holders have is the key."""
-        longest = holders.agg(F.max(F.length(holder_text))).first()[0] or 0
-        wanted = held.where(F.length(held_text) <= longest).select(held_text).distinct().select(held_text, F.explode(runs(F.col(held_text))).alias("g"))
-        given = holders.select(holder_text).distinct().select(holder_text, F.explode(runs(F.col(holder_text))).alias("g"))
-        given = materialize(given.join(wanted.select("g").distinct(), "g", "left_semi"), "runs")
-        counts = given.groupBy("g").agg(F.count("*").alias("n"))
-        best = wanted.join(counts, "g").groupBy(held_text).agg(F.min_by("g", F.struct("n", "g")).alias("g"), F.count("*").alias("hits"))
-        best = best.where(F.col("hits") == F.size(runs(F.col(held_text)))).drop("hits")  # else nothing holds it
-        return best.join(given, "g").where(F.contains(holder_text, held_text)).select(held_text, holder_text).join(held, held_text).join(holders, holder_text)
-
-    long_names = known.where(F.length("name_low") >= min_length)
-    held_ref = met_on_rarest(rest, "low", long_names, "name_low")
-    held_name = met_on_rarest(long_names, "name_low", rest, "low")
-    asked_short = short_refs.select("ref", F.col("low").alias("g"))
-    short_ref = asked_short.join(short_runs(known, "name_low", asked_short).groupBy("g").agg(best), "g").select("ref", "best.*")
-    short_names = known.where(F.length("name_low") < min_length).groupBy(F.col("name_low").alias("g")).agg(best)
-    short_name = short_runs(rest.unionByName(short_refs), "low", short_names).join(short_names, "g").select("ref", "best.*")
-    columns = ("ref", "record_id", "name")
-    every = equal.select(*columns, F.lit(0).alias("rank"))
-    for met in (held_ref, held_name, short_ref, short_name):
-        every = every.union(met.select(*columns, F.lit(1)))
-    found = first_per(every, ["ref"], "rank", F.desc(F.length("name")), "record_id").select("ref", "record_id")
-    return found, asked.join(found, "ref", "left_anti").select("ref")
+    asked = refs.select("ref").where("ref is not null").distinct().withColumn("low", F.lower("ref"))
+    known = files.select("record_id", "name").where("name is not null").withColumn("low", F.lower("name"))
+    winner = F.min_by(F.struct("size", "record_id"), F.struct((-F.col("size")).alias("l"), "record_id")).alias("best")
+    of_name = known.withColumn("size", F.length("name")).groupBy("low").agg(winner)
+    equal = asked.join(of_name, "low").select("ref", "best")
+    rest = materialize(asked.join(equal.select("ref"), "ref", "left_anti"), "open")
+    names, lows = numbered(of_name.withColumnRenamed("low", "text")), numbered(rest.select(F.col("low").alias("text")).distinct())
+    best = names.select("id", "best")
+
+    long = F.length("text") >= min_length
+    held_refs = contained(lows.where(long), names.where(long), min_length).select(F.col("held").alias("id"), F.col("holder").alias("name_id"))
+    held_names = contained(names.where(long), lows.where(long), min_length).select(F.col("holder").alias("id"), F.col("held").alias("name_id"))
+    found = held_refs.unionByName(held_names).join(best.withColumnRenamed("id", "name_id"), "name_id").select("id", "best")
+
+    again = F.min_by("best", F.struct((-F.col("best.size")).alias("l"), "best.record_id")).alias("best")
+    sizes = [t.where(~long).select(F.length("text")).distinct().collect() for t in (lows, names)]  # min_length lengths at most
+    of_refs, of_names = ([r[0] for r in rows] for rows in sizes)
+    short_refs, short_names = (t.where(~long).withColumnRenamed("text", "g") for t in (lows, names))
+    if of_refs:
+        in_names = grams(names, *of_refs).join(short_refs.select("g"), "g", "left_semi").select("id", "g").distinct().join(best, "id").groupBy("g").agg(again)
+        found = found.unionByName(short_refs.join(in_names, "g").select("id", "best"))
+    if of_names:
+        found = found.unionByName(grams(lows, *of_names).select("id", "g").join(short_names.select("g", "best"), "g").groupBy("id").agg(again))
+    of_low = found.groupBy("id").agg(again).join(lows.withColumnRenamed("text", "low"), "id").select("low", "best")
+    every = materialize(equal.unionByName(rest.join(of_low, "low").select("ref", "best")).select("ref", "best.record_id"), "resolved")
+    return every, asked.join(every, "ref", "left_anti").select("ref")
 
 
 def not_yet_linked(links: DataFrame, attributes: DataFrame, keys: tuple[str, ...]) -> DataFrame:

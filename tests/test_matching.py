@@ -1,6 +1,10 @@
 """References to files by names that hold each other."""
 
-from loomgraph.operators import matching
+import random
+
+from pyspark.sql import functions as F
+
+from loomgraph.operators import matching, postings
 
 
 def test_short_names_of_references(spark):
@@ -18,3 +22,39 @@ def test_short_names_of_references(spark):
     empty = spark.createDataFrame([(1, ""), (2, "ab")], "record_id long, name string")
     found, _ = matching.resolve_file_refs(spark.createDataFrame([("zzz",), ("a long reference",), ("xab",)], "ref string"), empty)
     assert {r.ref: r.record_id for r in found.collect()} == {"zzz": 1, "a long reference": 1, "xab": 2}
+
+
+def holds(refs, names):
+    want = {}
+    for r in set(refs):
+        fits = [(n.lower() != r.lower(), -len(n), i) for i, n in names if n is not None and (r.lower() in n.lower() or n.lower() in r.lower())]
+        want[r] = min(fits)[2] if fits else None
+    return want
+
+
+def test_containment_equals_all_pairs(spark):
+    """Few letters, so that tiles repeat and overlap; characters of one to four bytes; repeated names and nulls."""
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choices("abÄ🙂", weights=(5, 5, 1, 1), k=n))
+    names = [(i, word(rng.randrange(40))) for i in range(120)] + [(200, None), (201, "ab" * 200), (202, "ab" * 200)]
+    refs = [n[a : a + rng.randrange(1, 30)] for _, n in names if n for a in (rng.randrange(len(n)),)] + [word(5) + n + word(3) for _, n in names[:30]] + [word(12) for _ in range(30)] + ["ab" * 30]
+    found, missing = matching.resolve_file_refs(spark.createDataFrame([(r,) for r in [*refs, None]], "ref string"), spark.createDataFrame(names, "record_id long, name string"))
+    want = holds(refs, names)
+    assert {r.ref: r.record_id for r in found.collect()} == {r: i for r, i in want.items() if i is not None}
+    assert sorted(r.ref for r in missing.collect()) == sorted(r for r, i in want.items() if i is None)
+
+
+def test_runs_of_a_long_text_are_linear(spark):
+    """A name of 100,000 words: every place once, and postings that carry no text."""
+    words = [f"w{i % 977}ü" for i in range(100_000)]
+    text = " ".join(words)
+    texts = spark.createDataFrame([(1, text), (2, "short"), (3, "")], "id long, text string")
+    runs = postings.grams(texts, 8)
+    assert runs.columns == ["id", "place", "g"]
+    assert runs.agg(F.count("*"), F.countDistinct("place"), F.max(F.length("g"))).first() == (len(text) - 7, len(text) - 7, 8)
+    some = {r.place: r.g for r in runs.where("place % 99991 < 3").collect()}
+    assert some and all(text[p : p + 8] == g for p, g in some.items())
+    files = spark.createDataFrame([(1, text), (2, "another name")], "record_id long, name string")
+    refs = [" ".join(words[50_000:50_040]), text + "!", words[3] + "  " + words[4], text[-60:]]
+    found, missing = matching.resolve_file_refs(spark.createDataFrame([(r,) for r in refs], "ref string"), files)
+    assert {r.ref for r in found.collect()} == {refs[0], refs[1], refs[3]} and [r.ref for r in missing.collect()] == [refs[2]]
