@@ -52,21 +52,23 @@ def without(rows: DataFrame, done: DataFrame, key: str = "key") -> DataFrame:
     return rows.join(done.select(key), key, "left_anti")
 
 
-def resolve_file_refs(refs: DataFrame, files: DataFrame, *, min_length: int = 8) -> tuple[DataFrame, DataFrame]:
+def resolve_file_refs(refs: DataFrame, files: DataFrame, *, by: str | None = None, min_length: int = 8) -> tuple[DataFrame, DataFrame]:
     """(resolved, unresolved) of refs (ref) against file records (record_id, name): names that are equal, or hold each other.
 
+    by names a column of both, if a ref may only mean files of its own collection; it comes along.
     Equal names are joined first. Only the rest is compared by containment: texts of at least min_length characters by
     the postings of their runs (``postings.contained``), shorter ones as runs of their own length of the other side.
     Names are reduced to the record that wins before they meet, and pairs are ids, so no text is written more often than
     it has characters. Empty texts stand in all, null ones in none. Ties: the longest name, then the smallest record.
     """
-    asked = refs.select("ref").where("ref is not null").distinct().withColumn("low", F.lower("ref"))
-    known = files.select("record_id", "name").where("name is not null").withColumn("low", F.lower("name"))
+    scope = (F.col(by) if by else F.lit("")).alias("scope")
+    asked = refs.select(scope, "ref").where("ref is not null").distinct().withColumn("low", F.lower("ref"))
+    known = files.select(scope, "record_id", "name").where("name is not null").withColumn("low", F.lower("name"))
     winner = F.min_by(F.struct("size", "record_id"), F.struct((-F.col("size")).alias("l"), "record_id")).alias("best")
-    of_name = known.withColumn("size", F.length("name")).groupBy("low").agg(winner)
-    equal = asked.join(of_name, "low").select("ref", "best")
-    rest = materialize(asked.join(equal.select("ref"), "ref", "left_anti"), "open")
-    names, lows = numbered(of_name.withColumnRenamed("low", "text")), numbered(rest.select(F.col("low").alias("text")).distinct())
+    of_name = known.withColumn("size", F.length("name")).groupBy("scope", "low").agg(winner)
+    equal = asked.join(of_name, ["scope", "low"]).select("scope", "ref", "best")
+    rest = materialize(asked.join(equal.select("scope", "ref"), ["scope", "ref"], "left_anti"), "open")
+    names, lows = numbered(of_name.withColumnRenamed("low", "text")), numbered(rest.select("scope", F.col("low").alias("text")).distinct())
     best = names.select("id", "best")
 
     long = F.length("text") >= min_length
@@ -79,13 +81,16 @@ def resolve_file_refs(refs: DataFrame, files: DataFrame, *, min_length: int = 8)
     of_refs, of_names = ([r[0] for r in rows] for rows in sizes)
     short_refs, short_names = (t.where(~long).withColumnRenamed("text", "g") for t in (lows, names))
     if of_refs:
-        in_names = grams(names, *of_refs).join(short_refs.select("g"), "g", "left_semi").select("id", "g").distinct().join(best, "id").groupBy("g").agg(again)
-        found = found.unionByName(short_refs.join(in_names, "g").select("id", "best"))
+        in_names = grams(names, *of_refs).join(short_refs.select("scope", "g"), ["scope", "g"], "left_semi").select("scope", "id", "g").distinct().join(best, "id").groupBy("scope", "g").agg(again)
+        found = found.unionByName(short_refs.join(in_names, ["scope", "g"]).select("id", "best"))
     if of_names:
-        found = found.unionByName(grams(lows, *of_names).select("id", "g").join(short_names.select("g", "best"), "g").groupBy("id").agg(again))
-    of_low = found.groupBy("id").agg(again).join(lows.withColumnRenamed("text", "low"), "id").select("low", "best")
-    every = materialize(equal.unionByName(rest.join(of_low, "low").select("ref", "best")).select("ref", "best.record_id"), "resolved")
-    return every, asked.join(every, "ref", "left_anti").select("ref")
+        found = found.unionByName(grams(lows, *of_names).select("scope", "id", "g").join(short_names.select("scope", "g", "best"), ["scope", "g"]).groupBy("id").agg(again))
+    of_low = found.groupBy("id").agg(again).join(lows.withColumnRenamed("text", "low"), "id").select("scope", "low", "best")
+    hit = equal.unionByName(rest.join(of_low, ["scope", "low"]).select("scope", "ref", "best"))
+    hit = materialize(hit.select("scope", "ref", "best.record_id"), "resolved")
+    missing = asked.join(hit, ["scope", "ref"], "left_anti")
+    own = [F.col("scope").alias(by)] if by else []
+    return hit.select(*own, "ref", "record_id"), missing.select(*own, "ref")
 
 
 def not_yet_linked(links: DataFrame, attributes: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -93,10 +98,22 @@ def not_yet_linked(links: DataFrame, attributes: DataFrame, keys: tuple[str, ...
     return links.join(attributes.where(F.col("key").isin(*keys)).select("record_id", "value"), ["record_id", "value"], "left_anti")
 
 
+def salted_join(left: DataFrame, right: DataFrame, key: str, *, how: str = "inner", rows: int = 1_000_000) -> DataFrame:
+    """left and right by key, a hot key in parts: of a key with more than ``rows`` rows on the left, each part of about that
+    many meets a copy of the key's right rows. Null keys meet nothing. how: inner or left."""
+    salt, salts = "salt_", "salts_"
+    hot = left.groupBy(key).agg(F.ceil(F.count("*") / rows).alias(salts)).where(f"{salts} > 1")
+    hot = materialize(hot, "hot-keys")  # few: each stands for so many rows
+    parts = F.coalesce(F.col(salts), F.lit(1).cast("long"))
+    dealt = left.join(hot, key, "left").withColumn(salt, F.pmod(F.xxhash64(*left.columns), parts)).drop(salts)
+    copied = right.join(hot, key, "left").withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop(salts)
+    return dealt.join(copied, [key, salt], how).drop(salt)
+
+
 def fill_common(tests: DataFrame, common: DataFrame, columns: tuple[str, ...], key: str = "collection") -> DataFrame:
     """tests whose blank columns take the collection's common value. common: one row for each collection."""
     shared = common.select(key, *[F.col(c).alias(f"common_{c}") for c in columns])
-    met = tests.join(shared, key, "left")
+    met = salted_join(tests, shared, key, how="left")
     for c in columns:
         met = met.withColumn(c, F.coalesce(F.nullif(F.col(c), F.lit("")), F.col(f"common_{c}"))).drop(f"common_{c}")
     return met

@@ -1,7 +1,7 @@
 """Postings of character runs: where each run of n characters stands in which text, and containment joins by them.
 
-A posting is (run, id, place) and never carries its text, so what is written is linear in the texts' lengths. Texts are
-first cut into chunks that overlap by n - 1 characters, so a run costs its chunk's length at most, however long the text.
+A posting is (run, id, place) and never carries its text, so what is written is linear in the texts' lengths. Texts may belong to a scope, and then meet those of
+their own alone. They are first cut into chunks that overlap by n - 1 characters, so a run costs its chunk's length at most, however long the text.
 """
 
 from __future__ import annotations
@@ -21,21 +21,21 @@ def numbered(rows: DataFrame) -> DataFrame:
 
 
 def grams(texts: DataFrame, *sizes: int) -> DataFrame:
-    """id, place (from 0) and g: all runs of these numbers of characters of texts (id, text). Texts that are shorter have
+    """id, place (from 0) and g: all runs of these numbers of characters of texts (id, text, perhaps scope). Texts that are shorter have
     none; for 0 each text has the empty run once."""
-    large = [n for n in sizes if n]
-    empty = texts.where("text is not null").select("id", F.lit(0).cast("long").alias("place"), F.lit("").alias("g"))
+    large, scope = [n for n in sizes if n], [c for c in texts.columns if c == "scope"]
+    empty = texts.where("text is not null").select(*scope, "id", F.lit(0).cast("long").alias("place"), F.lit("").alias("g"))
     if not large:
         return empty if sizes else empty.limit(0)
     # the look-ahead takes what a chunk shares with the next one
     chunks = F.regexp_extract_all("text", F.lit(f"(?s)(?=(.{{1,{CHUNK + max(large) - 1}}})).{{1,{CHUNK}}}"), F.lit(1))
-    cut = texts.where(F.length("text") >= min(large)).select("id", F.posexplode(chunks).alias("k", "chunk"))
-    runs = cut.select("id", "k", "chunk", F.explode(F.sequence(F.lit(1), F.least(F.lit(CHUNK), F.length("chunk")))).alias("i"))
+    cut = texts.where(F.length("text") >= min(large)).select(*scope, "id", F.posexplode(chunks).alias("k", "chunk"))
+    runs = cut.select(*scope, "id", "k", "chunk", F.explode(F.sequence(F.lit(1), F.least(F.lit(CHUNK), F.length("chunk")))).alias("i"))
     n = F.lit(large[0])
     if len(large) > 1:
         runs, n = runs.select("*", F.explode(F.array(*map(F.lit, large))).alias("n")), F.col("n")
     runs = runs.where(F.col("i") + n - 1 <= F.length("chunk"))
-    found = runs.select("id", (F.col("k").cast("long") * CHUNK + F.col("i") - 1).alias("place"), F.substring("chunk", F.col("i"), n).alias("g"))
+    found = runs.select(*scope, "id", (F.col("k").cast("long") * CHUNK + F.col("i") - 1).alias("place"), F.substring("chunk", F.col("i"), n).alias("g"))
     return found.unionByName(empty) if 0 in sizes else found
 
 
@@ -47,19 +47,19 @@ def tiles(texts: DataFrame, n: int) -> DataFrame:
 
 
 def contained(held: DataFrame, holders: DataFrame, n: int) -> DataFrame:
-    """held and holder: ids of texts of which one stands in the other. Both have id and text; held texts have at least n
-    characters.
+    """held and holder: ids of texts of which one stands in the other. Both have scope, id and text; held texts
+    have at least n characters.
 
     A held text is covered by tiles of n characters. Holders' runs that are no tile are left out before anything is
     written. The tile that stands in the fewest places gives the places where the text may start; there it does if, and
     only if, each of its tiles stands at its own distance from that place. So places are compared, and no text is."""
     longest = holders.agg(F.max(F.length("text"))).first()[0] or 0
     own = materialize(tiles(held.where(F.length("text") <= longest), n), "tiles")
-    postings = materialize(grams(holders, n).join(own.select("g").distinct(), "g", "left_semi"), "postings")
-    counts = postings.groupBy("g").agg(F.count("*").alias("n"))
-    seen = own.join(counts, "g", "left").groupBy("id").agg(F.min_by(F.struct("g", "place"), F.struct("n", "place")).alias("best"), F.count("*").alias("tiles"), F.count("n").alias("hits"))
-    rarest = seen.where("tiles = hits").select(F.col("id").alias("held"), "tiles", F.col("best.g").alias("g"), F.col("best.place").alias("at"))
-    starts = rarest.join(postings, "g").select("held", "tiles", F.col("id").alias("holder"), (F.col("place") - F.col("at")).alias("start")).where("start >= 0")
+    postings = materialize(grams(holders, n).join(own.select("scope", "g").distinct(), ["scope", "g"], "left_semi"), "postings")
+    counts = postings.groupBy("scope", "g").agg(F.count("*").alias("n"))
+    seen = own.join(counts, ["scope", "g"], "left").groupBy("scope", "id").agg(F.min_by(F.struct("g", "place"), F.struct("n", "place")).alias("best"), F.count("*").alias("tiles"), F.count("n").alias("hits"))
+    rarest = seen.where("tiles = hits").select("scope", F.col("id").alias("held"), "tiles", F.col("best.g").alias("g"), F.col("best.place").alias("at"))
+    starts = rarest.join(postings, ["scope", "g"]).select("held", "tiles", F.col("id").alias("holder"), (F.col("place") - F.col("at")).alias("start")).where("start >= 0")
     wanted = starts.join(own.select(F.col("id").alias("held"), "place", "g"), "held").select("held", "tiles", F.col("holder").alias("id"), "start", (F.col("start") + F.col("place")).alias("place"), "g")
     met = wanted.join(postings, ["id", "place", "g"]).groupBy("held", F.col("id").alias("holder"), "start").agg(F.count("*").alias("n"), F.first("tiles").alias("tiles"))
     return met.where("n = tiles").select("held", "holder").distinct()

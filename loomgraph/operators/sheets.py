@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,23 +53,25 @@ def classify_files(files: DataFrame, *, test_prefix: str = "Vh5205_") -> DataFra
     )
 
 
-def pick_files(classified: DataFrame) -> DataFrame:
-    """One file for each test and type: the last whose type comes first in its name, else the first."""
+def pick_files(classified: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One file for each test and type (of each collection, if by names its column): the last whose type comes first in
+    its name, else the first."""
     own = classified.where("test_id is not null")
-    return first_per(own, ["test_id", "file_type"], F.desc("type_first"), F.desc(F.when(F.col("type_first"), F.col("pos"))), F.when(~F.col("type_first"), F.col("pos")))
+    return first_per(own, [*by, "test_id", "file_type"], F.desc("type_first"), F.desc(F.when(F.col("type_first"), F.col("pos"))), F.when(~F.col("type_first"), F.col("pos")))
 
 
-def test_collections(picked: DataFrame) -> tuple[DataFrame, DataFrame]:
+def test_collections(picked: DataFrame, by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(collections, errors): tests with all three files, as columns; others with the types they lack."""
-    wide = picked.groupBy("test_id").pivot("file_type", list(TEST_FILES)).agg(F.first("record_id"))
+    wide = picked.groupBy(*by, "test_id").pivot("file_type", list(TEST_FILES)).agg(F.first("record_id"))
     missing = F.array_compact(F.array(*[F.when(F.col(t).isNull(), t) for t in TEST_FILES]))
     judged = wide.withColumn("missing", missing)
     errors = judged.where(F.size("missing") > 0).select("test_id", F.lit(None).cast("string").alias("filename"), F.lit("INCOMPLETE_FILES").alias("error_type"), F.concat(F.lit("missing: "), F.array_join("missing", ", ")).alias("message"))
     return judged.where(F.size("missing") == 0).drop("missing"), errors
 
 
-def complementary_files(files: DataFrame) -> DataFrame:
-    """One row of record ids, a column for each kind ('' where there is none): the last file of the first kind that fits."""
+def complementary_files(files: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row of record ids (for each collection that has any, if by names its column), a column for each kind ('' where
+    there is none): the last file of the first kind that fits."""
     kind = F.lower(F.nullif(F.regexp_extract("name", r"(?i)^Vh[0-9]+_Complementary_(.+)\.lis", 1), F.lit("")))
     chosen = None
     for name, parts in COMPLEMENTARY:
@@ -76,14 +80,14 @@ def complementary_files(files: DataFrame) -> DataFrame:
             test = F.contains(kind, F.lit(part)) if test is None else test | F.contains(kind, F.lit(part))
         chosen = F.when(test, name) if chosen is None else chosen.when(test, name)
     own = files.withColumn("what", chosen).where("what is not null")
-    one = own.agg(*[F.max_by(F.when(F.col("what") == n, F.col("record_id")), F.when(F.col("what") == n, F.col("pos"))).alias(n) for n, _ in COMPLEMENTARY])
-    return one.select(*[F.coalesce(n, F.lit("")).alias(n) for n, _ in COMPLEMENTARY])
+    one = own.groupBy(*by).agg(*[F.max_by(F.when(F.col("what") == n, F.col("record_id")), F.when(F.col("what") == n, F.col("pos"))).alias(n) for n, _ in COMPLEMENTARY])
+    return one.select(*by, *[F.coalesce(n, F.lit("")).alias(n) for n, _ in COMPLEMENTARY])
 
 
-def common_file(files: DataFrame) -> DataFrame:
-    """record_id of the last file that holds what is common to all tests, or null."""
+def common_file(files: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """record_id of the last file that holds what is common to all tests (of a collection), or null."""
     own = files.where(F.col("name").rlike(r"(?i)^Vh[0-9]+_MD-TR_Common-to-all\.lis"))
-    return own.agg(F.max_by("record_id", "pos").alias("record_id"))
+    return own.groupBy(*by).agg(F.max_by("record_id", "pos").alias("record_id"))
 
 
 def sheet_lines(sheets: DataFrame) -> DataFrame:
@@ -161,9 +165,9 @@ def fetch_errors(collections: DataFrame, sheets: DataFrame) -> DataFrame:
     return gone.select("test_id", F.col("md_tr").alias("filename"), F.lit("FETCH_ERROR").alias("error_type"), F.lit("content not found").alias("message"))
 
 
-def first_tests(tests: DataFrame, order: str = "pos") -> DataFrame:
-    """The first test of each material, which speaks for it."""
-    return first_per(tests.where("material_id <> ''"), ["material_id"], order)
+def first_tests(tests: DataFrame, order: str = "pos", by: Sequence[str] = ()) -> DataFrame:
+    """The first test of each material (of each collection), which speaks for it."""
+    return first_per(tests.where("material_id <> ''"), [*by, "material_id"], order)
 
 
 def with_duration(tests: DataFrame) -> DataFrame:
@@ -176,14 +180,16 @@ def with_keywords(tests: DataFrame, fallback: Column) -> DataFrame:
     return tests.withColumn("keywords", F.when(F.size(own) > 0, own).otherwise(fallback))
 
 
-def images(attributes: DataFrame) -> DataFrame:
-    """kind and value of the images among file records: checksums of microscope images (sem), addresses of previews."""
+def images(attributes: DataFrame, *, of_records: bool = False) -> DataFrame:
+    """kind and value of the images among file records: checksums of microscope images (sem), addresses of previews; with
+    of_records also the record_id of each."""
     wide = attributes.where(F.col("key").isin("name", "mimeType", "dataObjectLocation")).groupBy("record_id").pivot("key", ["name", "mimeType", "dataObjectLocation"]).agg(F.min("value"))
     name, mime = F.lower("name"), F.coalesce("mimeType", F.lit(""))
     sem = (name.endswith(".tif") | F.contains(mime, F.lit("image/tiff"))) & name.rlike("sem|dendrite|microstructure|interdentritic")
     preview = (name.rlike(r"\.jpe?g$") | F.contains(mime, F.lit("image/jpeg"))) & name.rlike("location|optical|overview|test[- ]piece")
     kinds = F.array_compact(F.array(F.when(sem, F.struct(F.lit("sem").alias("kind"), F.col("record_id").alias("value"))), F.when(preview, F.struct(F.lit("preview").alias("kind"), F.col("dataObjectLocation").alias("value")))))
-    return wide.select(F.explode(kinds).alias("i")).select("i.*").where("value is not null").distinct()
+    found = wide.select("record_id", F.explode(kinds).alias("i")).select("record_id", "i.*").where("value is not null")
+    return found if of_records else found.drop("record_id").distinct()
 
 
 def error_report(errors: DataFrame) -> DataFrame:

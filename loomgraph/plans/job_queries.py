@@ -76,7 +76,8 @@ def a6_n10_registry_rules(spark: SparkSession, d: str) -> DataFrame:
 
 def experiment_job(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """Users as tests: their events are the lines of a sheet. Suppliers are images and drawings, nations complement the
-    tests, regions are the datasets. Some tests lack a file, and some sheets haven't landed."""
+    tests, regions are the datasets: three of them have parts, and some drawings are parts of two. Some tests lack a file,
+    and some sheets haven't landed."""
     u, s, n, r = (table(spark, d, "events").select(F.col("user_id").alias("u")).distinct(), *(table(spark, d, t) for t in ("supplier", "nation", "region")))
     text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
     file = lambda t, record_id, name: t.select(record_id.alias("record_id"), name.alias("name"))
@@ -99,6 +100,11 @@ def experiment_job(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         .union(pair(r, dataset, "creatorAffiliation", text("https://ror.org/", F.col("r_regionkey"))))
         .union(pair(r, dataset, "keyword", F.col("r_name")))
     )
+    part = lambda t, dataset_no, record_id: pair(t, text("10.5281/zenodo.", dataset_no), "hasPart", record_id)
+    for kind_of_file, some in (("m", u), ("c", u), ("l", u.where("u % 7 <> 0"))):
+        attributes = attributes.union(part(some, user % 3, text(f"md5:{kind_of_file}", user)))
+    attributes = attributes.union(part(s, supplier % 3, text("md5:s", supplier))).union(part(s.where("s_suppkey % 10 = 0"), (supplier + 1) % 3, text("md5:s", supplier)))
+    attributes = attributes.union(part(n, F.least(F.floor(nation / 8), F.lit(2)), text("md5:n", nation)))
     line = lambda category, entry, information: F.concat_ws("\t", category, entry, F.lit(""), F.lit(""), F.lit(""), F.lit(""), information, F.lit("*"))
     lines = test_lines(spark, d).select(F.col("key").alias("u"), "line_no", line(F.col("categorization"), F.col("entry"), F.col("information")).alias("line"))
     e = table(spark, d, "events")
@@ -106,8 +112,8 @@ def experiment_job(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     lines = lines.union(e.where("event_id % 13 = 0").select(F.col("user_id").cast("string"), "event_id", drawing))
     content = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\r\n")  # the lines of one sheet
     landed = lines.groupBy("u").agg(content.alias("content")).where("cast(u as bigint) % 11 <> 0").select(text("md5:m", F.col("u")).alias("key"), "content")
-    common = "\r\n".join("\t".join(["x", entry, "", "", "", "", value, "*"]) for entry, value in (("Material Identifier", "common material"), ("Test standard", "common:1")))
-    landed = landed.union(n.where("n_nationkey % 8 = 7").select(text("md5:n", nation), F.lit(common)))
+    common = F.concat_ws("\r\n", line(F.lit("x"), F.lit("Material Identifier"), text("common material ", nation)), line(F.lit("x"), F.lit("Test standard"), F.lit("common:1")))
+    landed = landed.union(n.where("n_nationkey % 8 = 7").select(text("md5:n", nation), common))
     return build_experiment_graph(own, attributes, landed)
 
 
@@ -121,32 +127,34 @@ def seconds_text(s: str) -> str:
 CHOSEN = ", ".join(f"max('md5:n' || n_nationkey) FILTER (WHERE n_nationkey % 8 = {i}) AS {name}" for i, name in ((0, "heat"), (1, "chem"), (3, "acquisition_creep"), (5, "primary_data")))
 JOB = f"""{TESTS},
 us AS (SELECT DISTINCT user_id AS u FROM events),
-other AS (SELECT {CHOSEN} FROM nation),
-g AS (SELECT key::BIGINT AS u, 'Vh5205_C-' || key AS tid, a, b, temperature, stress, extension, coalesce(material, 'common material') AS material, coalesce(standard || ':2019', 'common:1') AS standard,
+other AS (SELECT least(n_nationkey // 8, 2) AS ds, {CHOSEN} FROM nation GROUP BY 1),
+drawn AS (SELECT s_suppkey % 3 AS ds, s_suppkey FROM supplier UNION ALL SELECT (s_suppkey + 1) % 3, s_suppkey FROM supplier WHERE s_suppkey % 10 = 0),
+parts AS (SELECT u % 3 AS ds, 'md5:m' || u AS part FROM us UNION ALL SELECT u % 3, 'md5:c' || u FROM us UNION ALL SELECT u % 3, 'md5:l' || u FROM us WHERE u % 7 <> 0 UNION ALL SELECT ds, 'md5:s' || s_suppkey FROM drawn UNION ALL SELECT least(n_nationkey // 8, 2), 'md5:n' || n_nationkey FROM nation),
+g AS (SELECT key::BIGINT AS u, key::BIGINT % 3 AS ds, 'Vh5205_C-' || key AS tid, a, b, temperature, stress, extension, coalesce(material, 'common material ' || (8 * (key::BIGINT % 3) + 7)) AS material, coalesce(standard || ':2019', 'common:1') AS standard,
   date_diff('second', a::TIMESTAMP, b::TIMESTAMP) AS s FROM t WHERE key::BIGINT % 7 <> 0 AND key::BIGINT % 11 <> 0),
 ok AS (SELECT * FROM g WHERE a IS NOT NULL AND b IS NOT NULL),
 asked AS (SELECT DISTINCT 'Vh5205_C-' || user_id AS tid, 'Form' || (event_id % 300) || '.pdf' AS ref FROM events WHERE event_id % 13 = 0),
-hit AS (SELECT tid, 'md5:s' || s_suppkey AS value FROM asked JOIN ok USING (tid) JOIN supplier ON s_suppkey % 4 = 2 AND ref = 'Form' || s_suppkey || '.pdf'),
+hit AS (SELECT tid, 'md5:s' || s_suppkey AS value FROM asked JOIN ok USING (tid) JOIN drawn ON drawn.ds = ok.ds AND s_suppkey % 4 = 2 AND ref = 'Form' || s_suppkey || '.pdf'),
 files AS (SELECT 'md5:m' || u AS record_id, 'Vh5205_MD-TR_C-' || u || '.LIS' AS name FROM us UNION ALL SELECT 'md5:c' || u, 'Vh5205_C-' || u || '-Creep.LIS' FROM us UNION ALL SELECT 'md5:l' || u, 'Vh5205_C-' || u || '-Loading.LIS' FROM us WHERE u % 7 <> 0
   UNION ALL SELECT 'md5:s' || s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN 'SEM-' || s_suppkey || '.tif' WHEN 1 THEN 'overview ' || s_suppkey || '.jpg' WHEN 2 THEN 'Form' || s_suppkey || '.pdf' ELSE 'notes ' || s_suppkey || '.txt' END FROM supplier
   UNION ALL SELECT 'md5:n' || n_nationkey, CASE WHEN n_nationkey % 8 = 7 THEN 'Vh12_MD-TR_Common-to-all.LIS' ELSE 'Vh12_Complementary_' || ({list(PARTS)!r})[(n_nationkey % 8) + 1] || '.LIS' END FROM nation),
-people AS (SELECT 'creator' AS key, 'https://orcid.org/' || r_name AS value FROM region UNION ALL SELECT 'creatorAffiliation', 'https://ror.org/' || r_regionkey FROM region),
-first AS (SELECT *, material || '_' || chem AS rid FROM ok, other QUALIFY row_number() OVER (PARTITION BY material ORDER BY tid) = 1),
+people AS (SELECT r_regionkey AS ds, 'creator' AS key, 'https://orcid.org/' || r_name AS value FROM region UNION ALL SELECT r_regionkey, 'creatorAffiliation', 'https://ror.org/' || r_regionkey FROM region),
+first AS (SELECT *, material || '_' || chem AS rid FROM ok JOIN other USING (ds) QUALIFY row_number() OVER (PARTITION BY ds, material ORDER BY tid) = 1),
 words AS (SELECT tid, unnest([material, split_part(standard, ':', 1)]) AS value FROM ok),
 x AS (
-  SELECT record_id, 'name' AS key, name AS value FROM files UNION ALL SELECT 'md5:s' || s_suppkey, 'dataObjectLocation', 'https://p/' || s_suppkey FROM supplier
+  SELECT '10.5281/zenodo.' || ds AS record_id, 'hasPart' AS key, part AS value FROM parts UNION ALL SELECT record_id, 'name', name FROM files UNION ALL SELECT 'md5:s' || s_suppkey, 'dataObjectLocation', 'https://p/' || s_suppkey FROM supplier
   UNION ALL SELECT '10.5281/zenodo.' || r_regionkey, k, CASE k WHEN 'creator' THEN 'https://orcid.org/' || r_name WHEN 'creatorAffiliation' THEN 'https://ror.org/' || r_regionkey ELSE r_name END FROM region, (VALUES ('creator'), ('creatorAffiliation'), ('keyword')) v(k)
   UNION ALL SELECT tid, k, CASE k WHEN 'applicableStandard' THEN standard WHEN 'testID' THEN tid WHEN 'specifiedTemperature' THEN temperature::VARCHAR WHEN 'initialStress' THEN stress::VARCHAR WHEN 'testDuration' THEN {seconds_text("s")}
       WHEN 'percentageCreepExtension' THEN CASE WHEN extension > 0 THEN extension::VARCHAR END WHEN 'usesMaterial' THEN material || '_' || chem WHEN 'name' THEN 'Creep Test ' || tid WHEN 'dateCreated' THEN replace(a, ' ', 'T')
       WHEN 'description' THEN 'Creep test at ' || temperature::VARCHAR || '°C, ' || stress::VARCHAR || ' MPa' END
-    FROM ok, other, (VALUES ('applicableStandard'), ('testID'), ('specifiedTemperature'), ('initialStress'), ('testDuration'), ('percentageCreepExtension'), ('usesMaterial'), ('name'), ('dateCreated'), ('description')) v(k)
+    FROM ok JOIN other USING (ds), (VALUES ('applicableStandard'), ('testID'), ('specifiedTemperature'), ('initialStress'), ('testDuration'), ('percentageCreepExtension'), ('usesMaterial'), ('name'), ('dateCreated'), ('description')) v(k)
   UNION ALL SELECT tid, 'profile', p FROM ok, (VALUES ('{PROFILES["CreepExperiment"]}'), ('{PROFILES["Base"]}'), ('{PROFILES["Versionable"]}')) v(p)
-  UNION ALL SELECT tid, 'hasData', unnest(['md5:c' || u, 'md5:l' || u, primary_data]) FROM ok, other UNION ALL SELECT tid, 'hasMetadata', unnest(['md5:m' || u, acquisition_creep]) FROM ok, other
-  UNION ALL SELECT tid, 'references', value FROM hit UNION ALL SELECT tid, key, value FROM ok, people UNION ALL SELECT tid, 'keyword', value FROM words
+  UNION ALL SELECT tid, 'hasData', unnest(['md5:c' || u, 'md5:l' || u, primary_data]) FROM ok JOIN other USING (ds) UNION ALL SELECT tid, 'hasMetadata', unnest(['md5:m' || u, acquisition_creep]) FROM ok JOIN other USING (ds)
+  UNION ALL SELECT tid, 'references', value FROM hit UNION ALL SELECT tid, key, value FROM ok JOIN people USING (ds) UNION ALL SELECT tid, 'keyword', value FROM words
   UNION ALL SELECT rid, k, CASE k WHEN 'materialID' THEN material WHEN 'hasChemicalComposition' THEN chem WHEN 'hasHeatTreatment' THEN heat WHEN 'name' THEN 'Material ' || material END FROM first, (VALUES ('materialID'), ('hasChemicalComposition'), ('hasHeatTreatment'), ('name')) v(k)
   UNION ALL SELECT rid, 'profile', p FROM first, (VALUES ('{PROFILES["Material"]}'), ('{PROFILES["Base"]}')) v(p)
-  UNION ALL SELECT rid, 'semImage', 'md5:s' || s_suppkey FROM first, supplier WHERE s_suppkey % 4 = 0 UNION ALL SELECT rid, 'previewImage', 'https://p/' || s_suppkey FROM first, supplier WHERE s_suppkey % 4 = 1
-  UNION ALL SELECT rid, 'references', value FROM first JOIN hit USING (tid) UNION ALL SELECT rid, key, value FROM first, people UNION ALL SELECT rid, 'keyword', value FROM first JOIN words USING (tid)),
+  UNION ALL SELECT rid, 'semImage', 'md5:s' || s_suppkey FROM first JOIN drawn USING (ds) WHERE s_suppkey % 4 = 0 UNION ALL SELECT rid, 'previewImage', 'https://p/' || s_suppkey FROM first JOIN drawn USING (ds) WHERE s_suppkey % 4 = 1
+  UNION ALL SELECT rid, 'references', value FROM first JOIN hit USING (tid) UNION ALL SELECT rid, key, value FROM first JOIN people USING (ds) UNION ALL SELECT rid, 'keyword', value FROM first JOIN words USING (tid)),
 attributes AS (SELECT DISTINCT record_id, key, value FROM x WHERE value IS NOT NULL),
 ids AS (SELECT record_id FROM files UNION SELECT '10.5281/zenodo.' || r_regionkey FROM region UNION SELECT tid FROM ok UNION SELECT rid FROM first),
 rules(f, b) AS (VALUES {values(BACKLINK_RULES)})"""
@@ -160,7 +168,7 @@ def l18_experiment_graph(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {JOB}, landed AS (SELECT user_id, event_id FROM events WHERE user_id % 7 <> 0 AND user_id % 11 <> 0),
 er AS (SELECT 'INCOMPLETE_FILES' AS error_type, 'Vh5205_C-' || u AS test_id FROM us WHERE u % 7 = 0 UNION ALL SELECT 'FETCH_ERROR', 'Vh5205_C-' || u FROM us WHERE u % 7 <> 0 AND u % 11 = 0 UNION ALL SELECT 'PARSE_ERROR', tid FROM g WHERE a IS NULL OR b IS NULL
   UNION ALL SELECT 'VALUE_ERROR', 'Vh5205_C-' || user_id FROM landed WHERE event_id % 7 = 3 AND event_id % 2 = 1
-  UNION ALL SELECT 'UNRESOLVED_FILE', NULL FROM (SELECT DISTINCT ref FROM asked JOIN ok USING (tid)) WHERE ref NOT IN (SELECT 'Form' || s_suppkey || '.pdf' FROM supplier WHERE s_suppkey % 4 = 2))
+  UNION ALL SELECT 'UNRESOLVED_FILE', NULL FROM (SELECT DISTINCT ds, ref FROM asked JOIN ok USING (tid)) WHERE (ds, ref) NOT IN (SELECT (ds, 'Form' || s_suppkey || '.pdf') FROM drawn WHERE s_suppkey % 4 = 2))
 SELECT 'type' AS scope, error_type, NULL AS test_id, count(*) AS n FROM er GROUP BY error_type UNION ALL SELECT 'test', error_type, test_id, count(*) FROM er WHERE test_id IS NOT NULL GROUP BY error_type, test_id""")
 def l18_l11_experiment_errors(spark: SparkSession, d: str) -> DataFrame:
     return sheets.error_report(experiment_job(spark, d)["errors"])

@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from loomgraph.operators import sheets
+from loomgraph.functions.vocabulary import PROFILES
+from loomgraph.operators import matching, sheets
 from loomgraph.plans.experiment import build_experiment_graph
 
 JOB, PARAMETERS, MATERIAL = "Metadata --> Test info --> Test job details", "Metadata --> Test info --> Test parameters", "Metadata --> Material history and condition"
@@ -75,6 +76,41 @@ def test_experiment_graph(spark):
     assert {(r.error_type, r.test_id) for r in out["errors"].collect()} == {("INCOMPLETE_FILES", "Vh5205_C-79")}
 
 
+def test_experiments_of_two_datasets_stay_apart(spark):
+    """Each dataset's tests get its own creators, images, complements and drawings; a nested part counts, a shared file in both."""
+    own, rows, parts = [], [], []
+    for i, creators in ((1, "A"), (2, "B")):
+        names = {f"{i}m": f"Vh5205_MD-TR_C-{i}8.LIS", f"{i}b": f"Vh5205_C-{i}8-Creep.LIS", f"{i}c": f"Vh5205_C-{i}8-Loading.LIS", f"{i}h": "Vh5205_Complementary_Heat-treatment.LIS", f"{i}e": "Vh5205_Complementary_Ch.-Comp.-measured.LIS", f"{i}f": "FormA.pdf", f"{i}g": f"SEM-{i}.tif"}
+        own += [(f"md5:{k}", "", "file") for k in names] + [(f"10.5281/zenodo.{i}", "", "dataset")]
+        rows += [(f"md5:{k}", "name", n, "string") for k, n in names.items()] + [(f"10.5281/zenodo.{i}", "creator", creators, "string")]
+        parts += [(f"10.5281/zenodo.{i}", "hasPart", f"md5:{k}", "string") for k in names if k[1] != "g"]
+        parts += [(f"md5:{i}f", "hasPart", f"md5:{i}g", "string"), (f"md5:{i}g", "hasPart", f"10.5281/zenodo.{i}", "string")]  # a part's part, and a circle
+    own.append(("md5:s", "", "file"))
+    rows.append(("md5:s", "name", "overview.jpg", "string"))
+    rows.append(("md5:s", "dataObjectLocation", "https://p/s", "string"))
+    parts += [("10.5281/zenodo.1", "hasPart", "md5:s", "string"), ("10.5281/zenodo.2", "hasPart", "md5:s", "string")]
+    records = spark.createDataFrame(own, "record_id string, pid string, kind string")
+    attributes = spark.createDataFrame(rows + parts, "record_id string, key string, value string, value_type string")
+    out = build_experiment_graph(records, attributes, spark.createDataFrame([("md5:1m", SHEET), ("md5:2m", SHEET.replace("C-78", "C-28"))], "key string, content string"))
+    pairs = {}
+    for r in out["attributes"].collect():
+        pairs.setdefault(r.record_id, set()).add((r.key, r.value))
+    tests = {k: {v for key, v in p if key == "creator"} for k, p in pairs.items() if ("profile", PROFILES["CreepExperiment"]) in p}
+    assert sorted(map(sorted, tests.values())) == [["A"], ["B"]]
+    for i, creator in ((1, "A"), (2, "B")):
+        material = pairs[f"CMSX-6_md5:{i}e"]
+        assert {("creator", creator), ("hasHeatTreatment", f"md5:{i}h"), ("semImage", f"md5:{i}g"), ("previewImage", "https://p/s"), ("references", f"md5:{i}f")} <= material
+        assert not {v for _, v in material} & {f"md5:{3 - i}h", f"md5:{3 - i}g", f"md5:{3 - i}f"}
+
+
+def test_salted_join_splits_hot_keys(spark):
+    left = spark.createDataFrame([("hot", i) for i in range(500)] + [("cold", 1), (None, 2), ("alone", 3)], "k string, i long")
+    right = spark.createDataFrame([("hot", "x"), ("hot", "y"), ("cold", "z"), ("other", "w"), (None, "n")], "k string, v string")
+    for how in ("inner", "left"):
+        found = matching.salted_join(left, right, "k", how=how, rows=40)
+        assert sorted(map(repr, found.collect())) == sorted(map(repr, left.join(right, "k", how).select(*found.columns).collect()))
+
+
 def test_bad_bytes(spark, tmp_path):
     from loomgraph.sources import readers
 
