@@ -22,15 +22,18 @@ def infer_backlinks(attributes: DataFrame, records: DataFrame, rules: object = B
 
 
 def with_backlinks(attributes: DataFrame, records: DataFrame, rules: object = BACKLINK_RULES, *, fixpoint: bool = False) -> DataFrame:
-    """attributes and what follows from them; with fixpoint, also what follows from that, until nothing is new."""
-    now = as_set(attributes.unionByName(infer_backlinks(attributes, records, rules)))
-    while fixpoint:  # each round is written, so the next starts from rows and not from all rounds before
-        now = materialize(now, "backlinks")
-        more = infer_backlinks(now, records, rules).join(now, ["record_id", "key", "value", "value_type"], "left_anti")
-        if not more.head(1):
-            break
-        now = now.unionByName(more)
-    return now
+    """attributes and what follows from them; with fixpoint, also what follows from that, until nothing is new.
+
+    Each rule has one premise, so what is new can only follow from what was new in the round before: that alone meets the
+    rules and the receivers (semi-naive evaluation). Rounds are written, and end as there are finitely many triples."""
+    if not fixpoint:
+        return as_set(attributes.unionByName(infer_backlinks(attributes, records, rules)))
+    triple = ["record_id", "key", "value", "value_type"]
+    known = new = materialize(as_set(attributes), "backlinks")
+    while new.head(1):
+        new = materialize(infer_backlinks(new, records, rules).join(known.select(triple), triple, "left_anti"), "backlinks")
+        known = known.unionByName(new, allowMissingColumns=True)
+    return known
 
 
 def invert_named_references(attributes: DataFrame, records: DataFrame) -> DataFrame:

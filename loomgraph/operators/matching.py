@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.functions.columns import normalize_orcid, year_of
 from loomgraph.functions.shared import materialize
-from loomgraph.operators.postings import contained, grams, numbered
-from loomgraph.operators.repository import first_per
+from loomgraph.operators.postings import contained, grams, holders_of, numbered
 
 
 def folded(c: Column) -> Column:
@@ -20,12 +19,21 @@ def ror_from_export(creators: DataFrame, exports: DataFrame) -> DataFrame:
 
     exports: recid, exp_pos, name, orcid, aff_pos, id_pos, scheme, identifier. A creator's name equals an export name or
     stands in it, or both have one ORCID; the first row with an organisation identifier wins. Empty names match nothing.
+
+    Export rows are reduced to the first of each name and of each ORCID of a record. Names meet by postings of their runs
+    within the record (``postings.holders_of``), so a record with thousands of authors costs its names' lengths and the
+    matches there are.
     """
-    own = creators.select("recid", "pos", folded(F.col("name")).alias("own_name"), normalize_orcid(F.col("orcid")).alias("own_orcid"))
-    known = exports.where("scheme = 'ror' and identifier <> ''").select("recid", "exp_pos", "aff_pos", "id_pos", "identifier", folded(F.col("name")).alias("exp_name"), normalize_orcid(F.col("orcid")).alias("exp_orcid"))
-    named = (F.col("own_name") != "") & F.contains("exp_name", "own_name")
-    met = own.join(known, "recid").where(F.coalesce(named, F.lit(False)) | F.coalesce(F.col("own_orcid") == F.col("exp_orcid"), F.lit(False)))
-    return first_per(met, ["recid", "pos"], "exp_pos", "aff_pos", "id_pos").select("recid", "pos", F.concat(F.lit("https://ror.org/"), "identifier").alias("ror"))
+    own = creators.select("recid", "pos", folded(F.col("name")).alias("text"), normalize_orcid(F.col("orcid")).alias("orcid"))
+    row = F.struct("exp_pos", "aff_pos", "id_pos", "identifier")
+    known = exports.where("scheme = 'ror' and identifier <> '' and recid is not null").select("recid", row.alias("row"), folded(F.col("name")).alias("text"), normalize_orcid(F.col("orcid")).alias("orcid"))
+    by_orcid = known.where("orcid is not null").groupBy("recid", "orcid").agg(F.min("row").alias("of_orcid"))
+    held = numbered(own.where("text <> '' and recid is not null").select(F.col("recid").alias("scope"), "text").distinct())
+    holders = numbered(known.where("text is not null").groupBy(F.col("recid").alias("scope"), "text").agg(F.min("row").alias("row")))
+    met = holders_of(held, holders).join(holders.select(F.col("id").alias("holder"), "row"), "holder").groupBy("held").agg(F.min("row").alias("of_name"))
+    by_name = held.join(met, held["id"] == met["held"]).select(F.col("scope").alias("recid"), "text", "of_name")
+    found = own.join(by_orcid, ["recid", "orcid"], "left").join(by_name, ["recid", "text"], "left").groupBy("recid", "pos").agg(F.min(F.least("of_orcid", "of_name")).alias("row"))
+    return found.where("row is not null").select("recid", "pos", F.concat(F.lit("https://ror.org/"), "row.identifier").alias("ror"))
 
 
 def ror_from_history(creators: DataFrame, affiliations: DataFrame) -> DataFrame:
@@ -33,12 +41,30 @@ def ror_from_history(creators: DataFrame, affiliations: DataFrame) -> DataFrame:
 
     affiliations: orcid, seq, organization, organization_id, start_date, end_date. One name holds the other; the stay
     overlaps the year give or take one, unreadable years don't count; the first organisation with an identifier wins.
+
+    Names of one ORCID are reduced to the distinct ones and meet by postings. Then stays are dealt to the decades that they
+    touch, within the years that are asked for, and a distinct (name, year) meets the stays of its decade alone; creators
+    get the answer of their name and year. So one ORCID's creators and stays never meet one by one.
     """
-    own = creators.select("key", normalize_orcid(F.col("orcid")).alias("orcid"), F.lower("affiliation").alias("own"), "year").where("orcid is not null and own is not null")
-    known = affiliations.where("organization <> '' and organization_id <> ''").select(normalize_orcid(F.col("orcid")).alias("orcid"), "seq", F.lower("organization").alias("org"), "organization_id", year_of(F.col("start_date")).alias("first"), year_of(F.col("end_date")).alias("last"))
-    met = own.join(known, "orcid").where(F.contains("org", "own") | F.contains("own", "org"))
-    met = met.where("coalesce(first <= year + 1, true) and coalesce(last >= year - 1, true)")
-    return first_per(met, ["key"], "seq").select("key", F.concat(F.lit("https://ror.org/"), "organization_id").alias("ror"))
+    own = creators.select("key", normalize_orcid(F.col("orcid")).alias("scope"), F.lower("affiliation").alias("own"), F.col("year").cast("int").alias("year")).where("scope is not null and own is not null")
+    known = affiliations.where("organization <> '' and organization_id <> ''").select(normalize_orcid(F.col("orcid")).alias("scope"), F.struct("seq", "organization_id").alias("stay"), F.lower("organization").alias("org"), (year_of(F.col("start_date")) - 1).alias("lo"), (year_of(F.col("end_date")) + 1).alias("hi")).where("scope is not null")
+    names, orgs = numbered(own.select("scope", F.col("own").alias("text")).distinct()), numbered(known.select("scope", F.col("org").alias("text")).distinct())
+    one = holders_of(names, orgs).select(F.col("held").alias("name_id"), F.col("holder").alias("org_id"))
+    other = holders_of(orgs, names).select(F.col("holder").alias("name_id"), F.col("held").alias("org_id"))
+    pairs = one.union(other).distinct()
+    asked = own.select("scope", F.col("own").alias("text"), "year").distinct().join(names, ["scope", "text"]).select(F.col("id").alias("name_id"), "year")
+    asked = materialize(asked.join(pairs, "name_id"), "asked")  # a name's organisations, not its stays
+    stays = known.withColumnRenamed("org", "text").join(orgs, ["scope", "text"]).select(F.col("id").alias("org_id"), "stay", "lo", "hi")
+    span = asked.agg(F.min("year").alias("first"), F.max("year").alias("last"))  # one row
+    dealt = stays.crossJoin(F.broadcast(span)).withColumns({"from": F.greatest("lo", "first"), "to": F.least("hi", "last")}).where("from <= to")
+    decade = lambda c: F.floor(F.col(c) / 10)
+    binned = dealt.select("org_id", "stay", "from", "to", F.explode(F.sequence(decade("from"), decade("to"))).alias("decade"))
+    dated = asked.where("year is not null").withColumn("decade", decade("year")).join(binned, ["org_id", "decade"]).where("year between from and to")
+    undated = asked.where("year is null").join(stays.groupBy("org_id").agg(F.min("stay").alias("stay")), "org_id")
+    best = dated.select("name_id", "year", "stay").union(undated.select("name_id", "year", "stay")).groupBy("name_id", "year").agg(F.min("stay").alias("stay"))
+    answers = best.join(names.select(F.col("id").alias("name_id"), "scope", F.col("text").alias("own")), "name_id").withColumn("same_year", F.coalesce("year", F.lit(-1))).drop("year")
+    met = own.withColumn("same_year", F.coalesce("year", F.lit(-1))).join(answers, ["scope", "own", "same_year"])
+    return met.groupBy("key").agg(F.min("stay").alias("stay")).select("key", F.concat(F.lit("https://ror.org/"), "stay.organization_id").alias("ror"))
 
 
 def first_source(rows: DataFrame, first: DataFrame, second: DataFrame, key: str = "key", value: str = "ror") -> DataFrame:

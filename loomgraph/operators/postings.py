@@ -63,3 +63,16 @@ def contained(held: DataFrame, holders: DataFrame, n: int) -> DataFrame:
     wanted = starts.join(own.select(F.col("id").alias("held"), "place", "g"), "held").select("held", "tiles", F.col("holder").alias("id"), "start", (F.col("start") + F.col("place")).alias("place"), "g")
     met = wanted.join(postings, ["id", "place", "g"]).groupBy("held", F.col("id").alias("holder"), "start").agg(F.count("*").alias("n"), F.first("tiles").alias("tiles"))
     return met.where("n = tiles").select("held", "holder").distinct()
+
+
+def holders_of(held: DataFrame, holders: DataFrame, n: int = 8) -> DataFrame:
+    """held and holder: as ``contained``, with held texts of any length: those of fewer than n characters meet the runs of
+    their own length. An empty text stands in all of its scope."""
+    long = F.length("text") >= n
+    found = contained(held.where(long), holders.where(long), n)
+    sizes = [r[0] for r in held.where(~long).select(F.length("text")).distinct().collect()]  # n lengths at most
+    if not sizes:
+        return found
+    short = held.where(~long).select("scope", F.col("id").alias("held"), F.col("text").alias("g"))
+    runs = grams(holders, *sizes).select("scope", F.col("id").alias("holder"), "g").join(short.select("scope", "g").distinct(), ["scope", "g"], "left_semi").distinct()
+    return found.unionByName(short.join(runs, ["scope", "g"]).select("held", "holder"))

@@ -100,10 +100,65 @@ def traverse(seeds: DataFrame, edges: DataFrame, *, max_depth: int = 3) -> DataF
     return visited
 
 
+def trimmed(edges: DataFrame, passes: int = 2) -> DataFrame:
+    """edges without those that start at a node nothing leads to or end at one that leads nowhere, so often."""
+    for _ in range(passes):
+        starts, ends = edges.select(F.col("src").alias("node")).distinct(), edges.select(F.col("dst").alias("node")).distinct()
+        edges = edges.join(ends.withColumnRenamed("node", "src"), "src", "left_semi").join(starts.withColumnRenamed("node", "dst"), "dst", "left_semi").select("src", "dst")
+    return materialize(edges, "trimmed")
+
+
+def strong_components(edges: DataFrame) -> DataFrame:
+    """node and component (its largest node) of the nodes on circles of edges (src, dst); other nodes may be missing, or be
+    components of their own.
+
+    Forward and backward reach, from one node of every component at once: each node takes the largest node that reaches it
+    as its colour, and of each colour what reaches its own name within the colour is that node's component. These nodes and
+    edges between colours leave, and the rest goes round again. Only what changed last is sent on, edges that can't lie on
+    a circle are trimmed first, and each step is written to the shared folder; steps grow with the longest of the
+    shortest ways that trimming leaves. Null ends and loops are left out.
+    """
+    left = materialize(edges.select("src", "dst").where("src is not null and dst is not null and src <> dst").distinct(), "edges")
+    parts = [left.select(F.col("src").alias("node"), F.col("src").alias("component")).limit(0)]
+    while True:
+        left = trimmed(left)
+        if not left.head(1):
+            break
+        # forward: the largest node that reaches each
+        ends = left.select(F.col("src").alias("node")).union(left.select("dst")).distinct()
+        colours = materialize(ends.select("node", F.col("node").alias("colour"), F.lit(True).alias("changed")), "colours")
+        while colours.where("changed").head(1):
+            come = left.join(colours.where("changed").select(F.col("node").alias("src"), "colour"), "src").groupBy(F.col("dst").alias("node")).agg(F.max("colour").alias("come"))
+            newer = colours.drop("changed").join(come, "node", "left").select("node", F.greatest("colour", "come").alias("colour"), F.coalesce(F.col("come") > F.col("colour"), F.lit(False)).alias("changed"))
+            colours = materialize(newer, "colours")
+        # backward: what reaches its colour's name without leaving the colour
+        of = lambda end: colours.select(F.col("node").alias(end), F.col("colour").alias(f"{end}_colour"))
+        within = materialize(left.join(of("src"), "src").join(of("dst"), "dst").where("src_colour = dst_colour").select("src", "dst", F.col("src_colour").alias("component")), "within")
+        reached = frontier = materialize(colours.where("node = colour").select("node", F.col("colour").alias("component")), "reached")
+        while True:
+            near = within.join(frontier.select(F.col("node").alias("dst")), "dst", "left_semi").select(F.col("src").alias("node"), "component").distinct()
+            frontier = materialize(near.join(reached.select("node"), "node", "left_anti"), "reached")
+            if not frontier.head(1):
+                break
+            reached = reached.unionByName(frontier)
+        parts.append(reached)
+        gone = reached.select("node")
+        left = within.join(gone.withColumnRenamed("node", "src"), "src", "left_anti").join(gone.withColumnRenamed("node", "dst"), "dst", "left_anti").select("src", "dst")
+        left = materialize(left, "edges")
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def traversal_report(visited: DataFrame, edges: DataFrame, *, max_depth: int = 3) -> DataFrame:
-    """src, dst, depth and reason of every edge from a visited node: visited, already visited (a circle or another way),
-    or skipped beyond max_depth."""
+    """src, dst, depth and reason of every edge from a visited node: visited; cycle, where the edge leads back to what led to
+    it; another way, where it leads to a node that was visited otherwise; or max depth, where it was skipped."""
     met = edges.select("src", "dst").distinct().join(visited.select(F.col("node").alias("src"), "depth"), "src")
-    met = met.join(visited.select(F.col("node").alias("dst"), F.col("depth").alias("dst_depth")), "dst", "left")
-    reason = F.when(F.col("dst_depth").isNull(), "max depth").when(F.col("dst_depth") == F.col("depth") + 1, "visited").otherwise("already visited")
+    met = materialize(met.join(visited.select(F.col("node").alias("dst"), F.col("depth").alias("dst_depth")), "dst", "left"), "met")
+    parts = strong_components(met.where("dst_depth is not null"))
+    of = lambda end: parts.select(F.col("node").alias(end), F.col("component").alias(f"{end}_part"))
+    met = met.join(of("src"), "src", "left").join(of("dst"), "dst", "left")
+    circle = (F.col("src") == F.col("dst")) | F.coalesce(F.col("src_part") == F.col("dst_part"), F.lit(False))
+    reason = F.when(F.col("dst_depth").isNull(), "max depth").when(F.col("dst_depth") == F.col("depth") + 1, "visited").when(circle, "cycle").otherwise("another way")
     return met.select("src", "dst", "depth", reason.alias("reason"))

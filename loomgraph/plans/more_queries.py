@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomgraph.functions import columns, vocabulary
@@ -332,9 +332,25 @@ def g7_traverse(spark: SparkSession, d: str) -> DataFrame:
     return references.traverse(*trade_edges(spark, d), max_depth=3)
 
 
-@query(f"WITH RECURSIVE {REACHED} SELECT e.src, e.dst, a.depth::INT AS depth, CASE WHEN b.depth IS NULL THEN 'max depth' WHEN b.depth = a.depth + 1 THEN 'visited' ELSE 'already visited' END AS reason FROM e JOIN best a ON a.node = e.src LEFT JOIN best b ON b.node = e.dst")
+LED = REACHED.replace("UNION SELECT 'c:' || c_custkey", "UNION SELECT a, b FROM orders_in_turn UNION SELECT 'c:' || c_custkey")
+
+
+@query(f"""WITH RECURSIVE orders_in_turn AS (
+  SELECT 'o:' || o_orderkey AS a, 'o:' || coalesce(lead(o_orderkey) OVER c, CASE WHEN o_custkey % 2 = 0 THEN first(o_orderkey) OVER c END) AS b FROM orders
+  WINDOW c AS (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+{LED.replace("SELECT a, b FROM orders_in_turn", "SELECT a, b FROM orders_in_turn WHERE b IS NOT NULL")},
+met AS (SELECT e.src, e.dst, a.depth, b.depth AS dst_depth FROM e JOIN best a ON a.node = e.src LEFT JOIN best b ON b.node = e.dst),
+again AS (SELECT src, dst FROM met WHERE dst_depth <= depth),
+led AS (SELECT DISTINCT dst AS start, dst AS node FROM again UNION SELECT start, met.dst FROM led JOIN met ON src = node WHERE dst_depth IS NOT NULL)
+SELECT met.src, met.dst, depth::INT AS depth, CASE WHEN dst_depth IS NULL THEN 'max depth' WHEN dst_depth = depth + 1 THEN 'visited' WHEN led.start IS NOT NULL THEN 'cycle' ELSE 'another way' END AS reason
+FROM met LEFT JOIN led ON start = met.dst AND node = met.src""")
 def g8_traversal_report(spark: SparkSession, d: str) -> DataFrame:
+    """Besides the edges of g7, a customer's orders lead to one another in turn, and the last to the first for every other."""
     seeds, found = trade_edges(spark, d)
+    turn = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    first = F.when(F.col("o_custkey") % 2 == 0, F.min("o_orderkey").over(Window.partitionBy("o_custkey")))
+    led = table(spark, d, "orders").withColumn("next", F.coalesce(F.lead("o_orderkey").over(turn), first)).where("next is not null")
+    found = found.union(led.select(F.concat(F.lit("o:"), "o_orderkey"), F.concat(F.lit("o:"), "next")))
     return references.traversal_report(references.traverse(seeds, found, max_depth=3), found, max_depth=3)
 
 
@@ -349,6 +365,18 @@ def n1_backlinks(spark: SparkSession, d: str) -> DataFrame:
     return graph.infer_backlinks(attributes, own).select("record_id", "key", "value")
 
 
+CHAIN = (*vocabulary.BACKLINK_RULES, ("isPartOf", "holds"), ("holds", "heldBy"), ("isReferencedBy", "mentions"), ("mentions", "isMentionedBy"), ("isCitedBy", "cites"))
+
+
+@query(f"""WITH RECURSIVE {TRADE_SQL}, rules(f, b) AS (VALUES {values(CHAIN)}),
+back AS (SELECT DISTINCT record_id, key, value FROM attributes UNION SELECT back.value, b, back.record_id FROM back JOIN rules ON key = f WHERE back.value IN (SELECT record_id FROM records))
+SELECT record_id, key, value FROM back""")
+def n1_fixpoint(spark: SparkSession, d: str) -> DataFrame:
+    """Rules whose conclusions are premises of others, until nothing is new."""
+    own, attributes = trade_graph(spark, d)
+    return graph.with_backlinks(attributes, own, CHAIN, fixpoint=True).select("record_id", "key", "value").distinct()
+
+
 TRADE_EDGES = f"{TRADE_SQL}, edges AS (SELECT DISTINCT record_id AS src, key, value AS dst FROM attributes WHERE key <> 'profile' AND value IN (SELECT record_id FROM records))"
 
 

@@ -151,3 +151,15 @@ def test_later_graph_replaces_records(spark):
     a = lambda x, v: spark.createDataFrame([(x, "name", v, "string")], "record_id string, key string, value string, value_type string")
     _, merged = records.merge_graphs([(r("x"), a("x", "old")), (r("x"), a("x", "new"))])
     assert [tuple(x) for x in merged.collect()] == [("x", "name", "new", "string")]
+
+
+def test_only_new_attributes_meet_the_rules(spark, monkeypatch):
+    """A chain of rules: what a round infers from is what the round before found."""
+    rules = tuple((f"k{i}", f"k{i + 1}") for i in range(4))
+    own = spark.createDataFrame([("a",), ("b",), ("c",)], "record_id string")
+    attributes = spark.createDataFrame([("a", "k0", "b", "string"), ("c", "k2", "a", "string"), ("a", "other", "b", "string")], "record_id string, key string, value string, value_type string")
+    sizes, infer = [], graph.infer_backlinks
+    monkeypatch.setattr(graph, "infer_backlinks", lambda new, *more: sizes.append(new.count()) or infer(new, *more))
+    found = {(r.record_id, r.key, r.value) for r in graph.with_backlinks(attributes, own, rules, fixpoint=True).collect()}
+    assert found == {("a", "k0", "b"), ("b", "k1", "a"), ("a", "k2", "b"), ("b", "k3", "a"), ("a", "k4", "b"), ("c", "k2", "a"), ("a", "k3", "c"), ("c", "k4", "a"), ("a", "other", "b")}
+    assert sizes == [3, 2, 2, 1, 1]
