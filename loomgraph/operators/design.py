@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import functools
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -75,7 +74,17 @@ def apply_design(docs: DataFrame, design: Design) -> tuple[DataFrame, DataFrame]
 
 
 def run_designs(docs: DataFrame, designs: Sequence[Design]) -> tuple[DataFrame, DataFrame]:
-    """Every design applied to every document."""
-    made = [apply_design(docs, d) for d in designs]
-    union = lambda tables: functools.reduce(DataFrame.unionByName, tables)
-    return union([r for r, _ in made]), as_set(union([a for _, a in made]))
+    """Every design applied to every document. Records and attributes each read the documents once: what all designs make
+    of a document is one array, exploded."""
+
+    def each(make: Callable[[Design, Column], Column]) -> Column:
+        """An array of what each design that doesn't skip the document makes of it."""
+        made = [F.when(~F.coalesce(d.skip, F.lit(False)), make(d, d.record_id.cast("string"))) if d.skip is not None else make(d, d.record_id.cast("string")) for d in designs]
+        return F.filter(F.array(*made), lambda m: m.isNotNull())
+
+    pid = lambda d: F.lit("") if d.pid is None else F.coalesce(d.pid.cast("string"), F.lit(""))
+    record = lambda d, i: F.struct(i.alias("record_id"), pid(d).alias("pid"), F.lit(d.kind).alias("kind"))
+    own = lambda d, i: F.struct(i.alias("record_id"), pairs(d.entries).alias("pairs"))
+    records = docs.select(F.explode(each(record)).alias("r")).select("r.record_id", "r.pid", "r.kind")
+    made = docs.select(F.explode(each(own)).alias("r")).select("r.record_id", F.explode("r.pairs").alias("p")).select("record_id", "p.*")
+    return records, as_set(made.where("record_id is not null and value is not null"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,10 +12,11 @@ from loomgraph.functions import columns, vocabulary
 from loomgraph.operators import design, graph, matching, quality, records, references, sheets
 from loomgraph.plans import queries as first
 from loomgraph.plans.adapters import TRADE_SQL, digits, table, trade_graph
+from loomgraph.sources import search_index, snapshot
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-comma, values, P = first.comma, first.values, vocabulary.PROFILES
+comma, values, scratch, P = first.comma, first.values, first.scratch, vocabulary.PROFILES
 
 
 def query(sql: str) -> Callable:
@@ -406,6 +408,15 @@ def n6_search(spark: SparkSession, d: str) -> DataFrame:
     return graph.search(own, attributes, "URGENT", ("other",)).union(graph.search(own, attributes, "o:1")).distinct()
 
 
+@query(f"WITH {TRADE_SQL}, t(asked) AS (VALUES ('URGENT'), ('o:1'), ('#00'), ('5'), ('-S'), ('not there'), ('2-HIGH')), v AS (SELECT record_id, value FROM attributes WHERE record_id IN (SELECT record_id FROM records) UNION SELECT record_id, record_id FROM records) SELECT DISTINCT asked, record_id FROM t JOIN v ON contains(lower(value), lower(asked))")
+def n6_search_index(spark: SparkSession, d: str) -> DataFrame:
+    """One index of all ids and values, and several searches in it."""
+    path = scratch(spark, "search")
+    search_index.write_index(*trade_graph(spark, d), path)
+    found = [search_index.search_index(spark, path, t).select(F.lit(t).alias("asked"), "record_id") for t in ("URGENT", "o:1", "#00", "5", "-S", "not there", "2-HIGH")]
+    return functools.reduce(DataFrame.union, found)
+
+
 @query(f"WITH {TRADE_SQL} SELECT value AS profile, count(DISTINCT record_id) AS n FROM attributes WHERE key = 'profile' GROUP BY value")
 def n7_count_by_profile(spark: SparkSession, d: str) -> DataFrame:
     return graph.count_by_profile(trade_graph(spark, d)[1])
@@ -439,6 +450,19 @@ def r6_merge_graphs(spark: SparkSession, d: str) -> DataFrame:
     return records.merge_graphs([(own, attributes), (newer, changed)])[1].select("record_id", "key", "value")
 
 
+@query(f"WITH {TRADE_SQL}, k AS (SELECT 'c:' || c_custkey AS record_id FROM customer WHERE c_custkey % 2 = 0) SELECT record_id, key, value FROM attributes WHERE record_id IN (SELECT record_id FROM records) AND record_id NOT IN (SELECT record_id FROM k) UNION SELECT record_id, 'name', 'new' FROM k UNION SELECT 'z:' || c_custkey, 'name', 'first' FROM customer")
+def r6_upsert_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """The graph as a snapshot, into which changed customers are put, and then records that it never had."""
+    path, (own, attributes) = scratch(spark, "snapshot"), trade_graph(spark, d)
+    snapshot.write_snapshot(own, attributes, path, buckets=16)
+    newer = own.where("kind = 'c' and cast(substring(record_id, 3, 20) as bigint) % 2 = 0")
+    named = lambda t, name: t.select("record_id", F.lit("name").alias("key"), F.lit(name).alias("value"), F.lit("string").alias("value_type"))
+    snapshot.upsert_graph(spark, path, newer, named(newer, "new"))
+    other = table(spark, d, "customer").select(F.concat(F.lit("z:"), "c_custkey").alias("record_id"), F.lit("").alias("pid"), F.lit("z").alias("kind"))
+    snapshot.upsert_graph(spark, path, other, named(other, "first"))
+    return snapshot.read_snapshot(spark, path)[1].select("record_id", "key", "value").distinct()
+
+
 # ---- test sheets
 
 SHEET_FILES = "sf AS (SELECT *, CASE l_linenumber % 4 WHEN 0 THEN 'Creep' WHEN 1 THEN 'MD-TR' WHEN 2 THEN 'Loading' ELSE 'notes' END AS t, l_orderkey * 1000000 + l_linenumber * 100000 + l_partkey AS pos FROM lineitem), cf AS (SELECT pos || '' AS record_id, pos, CASE WHEN l_partkey % 3 = 0 THEN 'Vh5205_' || t || '_C-' || l_suppkey || '.LIS' WHEN l_partkey % 3 = 1 THEN 'Vh5205_C-' || l_suppkey || '-' || t || '.lis' ELSE 'Vh5205_C-' || l_suppkey || '-' || t || '.json' END AS name, l_suppkey, t, l_partkey FROM sf), cl AS (SELECT DISTINCT record_id, pos, name, CASE WHEN t <> 'notes' THEN 'Vh5205_C-' || l_suppkey END AS test_id, CASE WHEN t <> 'notes' THEN replace(lower(t), '-', '_') END AS file_type, CASE WHEN t <> 'notes' THEN l_partkey % 3 = 0 END AS type_first FROM cf WHERE l_partkey % 3 < 2)"

@@ -21,3 +21,15 @@ def test_a_malformed_path_fails_the_job(spark):
     entries = [design.Entry("k", F.try_variant_get("doc", "$.[k", "string"))]
     with pytest.raises(Exception, match="(?i)path"):
         design.apply_design(documents(spark), design.Design(F.col("id"), entries))[1].collect()
+
+
+def test_many_designs_read_the_documents_once(spark, tmp_path):
+    spark.range(20).select("id", F.concat(F.lit("n"), "id").alias("name")).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    designs = [design.Design(F.concat(F.lit(p), "id"), [design.Entry("name", F.col("name")), design.Entry("even", F.when(F.col("id") % 2 == 0, F.lit("yes")))], skip=F.col("id") % k == 0, kind=p) for p, k in (("a", 2), ("b", 3), ("c", 50))]
+    records, attributes = design.run_designs(docs, designs)
+    for made in (records, attributes):
+        assert made._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    apart = [design.apply_design(docs, d) for d in designs]
+    for found, wanted in ((records, [r for r, _ in apart]), (attributes, [a for _, a in apart])):
+        assert sorted(map(tuple, found.collect())) == sorted(tuple(r) for w in wanted for r in w.collect())
