@@ -55,14 +55,20 @@ def otherwise(a: Column, b: Column) -> Column:
 
 
 def parse_timestamp(c: Column) -> Column:
-    """A timestamp without zone from the first layout that fits. Two-digit years from 69 on are 19xx."""
+    """A timestamp without zone from the first layout that fits. Two-digit years from 69 on are 19xx.
+
+    The look of a text leaves one layout that may fit (two, where it has a.m. or p.m.), so it is parsed once at most."""
+    text = F.trim(c)
     century = lambda t: F.when(t >= F.lit("2069-01-01").cast("timestamp_ntz"), t - F.make_ym_interval(F.lit(100), F.lit(0))).otherwise(t)
-    found = []
-    for layout in TIMESTAMP_LAYOUTS:
-        value = F.try_to_timestamp(F.trim(c), F.lit(layout)).cast("timestamp_ntz")
+
+    def read(layout: str) -> Column:
+        value = F.try_to_timestamp(text, F.lit(layout)).cast("timestamp_ntz")
         # as an array's only element, so that it is parsed once
-        found.append(value if "yyyy" in layout else F.get(F.transform(F.array(value), century), F.lit(0)))
-    return F.coalesce(*found)
+        return value if "yyyy" in layout else F.get(F.transform(F.array(value), century), F.lit(0))
+
+    dashed, spaced, short, seconds, long, joined = map(read, TIMESTAMP_LAYOUTS)
+    look = F.when(~text.rlike(r"^[+-]?[0-9]+[.-][0-9]+[.-][0-9]+ [0-9]"), F.lit(None).cast("timestamp_ntz")).when(F.contains(text, F.lit("-")), dashed).when(text.rlike("[A-Za-z]"), F.coalesce(spaced, joined))
+    return look.when(text.rlike(r"^[0-9]+\.[0-9]+\.[0-9]{2} "), short).when(text.rlike(":[0-9]*:"), seconds).otherwise(long)
 
 
 def parse_number(c: Column) -> Column:

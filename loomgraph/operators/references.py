@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from loomgraph.functions.shared import materialize
+from loomgraph.functions.shared import materialize, shared_dir
 from loomgraph.functions.vocabulary import GENERAL_TYPES, RESOURCE_TYPES, pairs_table
 
 
@@ -85,19 +87,36 @@ def cross_references(routed: DataFrame, latest: DataFrame) -> DataFrame:
 def traverse(seeds: DataFrame, edges: DataFrame, *, max_depth: int = 3) -> DataFrame:
     """node and depth of all that seeds (node) reach over edges (src, dst) in at most max_depth steps.
 
-    One join and one anti join a level; each level is written to the shared folder, and only counts come to the driver.
-    Circles end, as a node keeps its smallest depth. The frontier is distinct before it meets the edges.
+    Edges by their start and visited nodes are tables in the shared folder, bucketed alike. A level reads both where they
+    lie: only the nodes that it comes to are dealt, once, to the buckets of those visited before, and are appended there.
+    Circles end, as a node keeps its smallest depth; only counts come to the driver.
     """
-    own = edges.select("src", "dst").where("src is not null and dst is not null").distinct()
-    visited = materialize(seeds.select("node").where("node is not null").distinct().withColumn("depth", F.lit(0)), "visited")
-    frontier = visited
-    for depth in range(1, max_depth + 1):
-        near = frontier.select(F.col("node").alias("src")).join(own, "src").select(F.col("dst").alias("node")).distinct()
-        frontier = materialize(near.join(visited.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth)), "frontier")
-        if not frontier.head(1):
-            break
-        visited = visited.unionByName(frontier)
-    return visited
+    spark = seeds.sparkSession
+    buckets, run = int(spark.conf.get("spark.sql.shuffle.partitions")), uuid.uuid4().hex
+    tables = {name: f"{name}_{run}" for name in ("edges", "visited")}
+    place = {name: f"{shared_dir(spark)}/{table}" for name, table in tables.items()}
+
+    def put(rows: DataFrame, name: str, by: str) -> None:
+        rows.write.mode("append").bucketBy(buckets, by).option("path", place[name]).saveAsTable(tables[name])
+
+    try:
+        put(edges.select("src", "dst").where("src is not null and dst is not null").distinct(), "edges", "src")
+        put(seeds.select("node").where("node is not null").distinct().withColumn("depth", F.lit(0)), "visited", "node")
+        for depth in range(1, max_depth + 1):
+            frontier = level(spark.table(tables["visited"]), spark.table(tables["edges"]), depth)
+            put(frontier, "visited", "node")
+            if not spark.table(tables["visited"]).where(F.col("depth") == depth).head(1):
+                break
+    finally:
+        for table in tables.values():
+            spark.sql(f"DROP TABLE IF EXISTS {table}")  # names alone: the files lie outside of the warehouse and stay
+    return spark.read.schema(StructType([StructField("node", seeds.schema["node"].dataType), StructField("depth", IntegerType())])).parquet(place["visited"])
+
+
+def level(visited: DataFrame, edges: DataFrame, depth: int) -> DataFrame:
+    """node and depth of what edges lead to from the nodes of the level before, without what has been visited."""
+    near = visited.where(F.col("depth") == depth - 1).select(F.col("node").alias("src")).join(edges, "src").select(F.col("dst").alias("node")).distinct()
+    return near.join(visited.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth))
 
 
 def trimmed(edges: DataFrame, passes: int = 2) -> DataFrame:

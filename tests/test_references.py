@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from loomgraph.operators import references
 
 
@@ -57,3 +59,29 @@ def test_report_tells_circles_from_other_ways(spark):
     plain = spark.createDataFrame([("a", "b"), ("a", "c"), ("b", "d"), ("c", "d"), ("b", "c")], "src string, dst string")
     visited = references.traverse(spark.createDataFrame([("a",)], "node string"), plain)
     assert {(r.src, r.dst) for r in references.traversal_report(visited, plain).collect() if r.reason == "another way"} == {("b", "c")}
+
+
+def test_levels_leave_edges_and_visited_where_they_lie(spark, monkeypatch):
+    """In the plan of level 3 the nodes it comes to are dealt once, and nothing else; the rows are those of a plain search."""
+    plans, level = [], references.level
+
+    def seen(visited, edges, depth):
+        out = level(visited, edges, depth)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(references, "level", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        edges = [(i, (i * 7 + k) % 500) for i in range(500) for k in range(3)] + [(None, 1), (1, None)]
+        found = references.traverse(spark.createDataFrame([(3,), (3,), (None,), (77,)], "node long"), spark.createDataFrame(edges, "src long, dst long").repartition(3))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    depth, frontier = {3: 0, 77: 0}, {3, 77}
+    for d in (1, 2, 3):
+        frontier = {b for a, b in edges if a in frontier and b is not None} - depth.keys()
+        depth |= dict.fromkeys(frontier, d)
+    assert {r.node: r.depth for r in found.collect()} == depth and found.count() == len(depth)
+    assert plans[2].count("Exchange ") == 1 and "SortMergeJoin" in plans[2], plans[2]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith(("edges_", "visited_"))]
