@@ -258,15 +258,15 @@ def r1_dataset_records(spark: SparkSession, d: str) -> DataFrame:
     return records.dataset_records(dataset_contracts(spark, d))[1].select("record_id", "key", "value")
 
 
-@query(f"WITH {LANDED_FILES} SELECT version_doi, recid, pos, checksum, size FROM lf")
+@query(f"WITH {LANDED_FILES} SELECT version_doi, recid, pos, checksum, filename, size, 'text/csv' AS mimetype, download_url FROM lf")
 def a1_landed_records(spark: SparkSession, d: str) -> DataFrame:
     """Landed JSON written and read again, shredded to files."""
     path = scratch(spark, "landed")
     landed(spark, d).write.option("ignoreNullFields", False).json(path)
-    return repository.build_files(readers.read_records(spark, path)).select("version_doi", "recid", "pos", "checksum", "size")
+    return repository.build_files(readers.read_records(spark, path))
 
 
-@query("SELECT lpad(s_suppkey::VARCHAR, 16, '0') AS orcid, k * 1000000 AS seq, n_name AS organization, CASE WHEN k = 0 THEN 'g' || n_nationkey END AS organization_id, (1990 + s_suppkey % 9 + k)::VARCHAR AS start_date FROM supplier JOIN nation ON s_nationkey = n_nationkey, (VALUES (0), (1)) t(k)")
+@query("SELECT lpad(s_suppkey::VARCHAR, 16, '0') AS orcid, k * 1000000 AS seq, n_name AS organization, CASE WHEN k = 0 THEN 'g' || n_nationkey END AS organization_id, (1990 + s_suppkey % 9 + k)::VARCHAR AS start_date, (1992 + s_suppkey % 9 + k)::VARCHAR AS end_date FROM supplier JOIN nation ON s_nationkey = n_nationkey, (VALUES (0), (1)) t(k)")
 def a3_affiliations(spark: SparkSession, d: str) -> DataFrame:
     """Researchers' organisations written as JSON and read again."""
     path, own = scratch(spark, "affiliations"), table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
@@ -278,17 +278,17 @@ def a3_affiliations(spark: SparkSession, d: str) -> DataFrame:
         return F.array(F.struct(F.struct(F.col("n_name").alias("name"), group.alias("disambiguated_organization")).alias("organization"), year(start).alias("start_date"), year(start + 2).alias("end_date")))
 
     own.select(digits(F.col("s_suppkey")).alias("orcid"), entry(0).alias("employment-summary"), entry(1).alias("education-summary")).write.json(path)
-    return readers.read_affiliations(spark, path).drop("end_date")
+    return readers.read_affiliations(spark, path)
 
 
-@query("SELECT n_regionkey::BIGINT AS recid, n_name AS name, 'ror' AS scheme, '0' || n_nationkey AS identifier FROM nation")
+@query("SELECT n_regionkey::BIGINT AS recid, (row_number() OVER (PARTITION BY n_regionkey ORDER BY n_name) - 1)::INT AS exp_pos, n_name AS name, lpad(n_nationkey::VARCHAR, 16, '0') AS orcid, 0 AS aff_pos, 0 AS id_pos, 'ror' AS scheme, '0' || n_nationkey AS identifier FROM nation")
 def a2_exports(spark: SparkSession, d: str) -> DataFrame:
     """Structured affiliations written as JSON and read again."""
     path, own = scratch(spark, "exports"), table(spark, d, "nation")
     identifier = F.struct(F.lit("ror").alias("scheme"), F.concat(F.lit("0"), "n_nationkey").alias("identifier"))
     creator = F.struct(F.struct(F.col("n_name").alias("name"), F.array(F.struct(F.lit("orcid").alias("scheme"), digits(F.col("n_nationkey")).alias("identifier"))).alias("identifiers")).alias("person_or_org"), F.array(F.struct(F.lit("x").alias("name"), F.array(identifier).alias("identifiers"))).alias("affiliations"))
     own.groupBy(F.col("n_regionkey").cast("long").alias("id")).agg(F.sort_array(F.collect_list(creator)).alias("creators")).select("id", F.struct("creators").alias("metadata")).write.json(path)
-    return readers.read_exports(spark, path).select("recid", "name", "scheme", "identifier")
+    return readers.read_exports(spark, path)
 
 
 @query("SELECT DISTINCT p_brand AS brand, p_type AS type, count(*) AS n FROM part GROUP BY ALL")
@@ -333,3 +333,16 @@ def a9_resolve_pid(spark: SparkSession, d: str) -> DataFrame:
 def a10_pid_mapping(spark: SparkSession, d: str) -> DataFrame:
     mapping = table(spark, d, "customer").where("c_custkey % 2 = 0").select(F.concat(F.lit("c:"), "c_custkey").alias("record_id"), F.concat(F.lit("h/"), "c_custkey").alias("pid"))
     return writers.apply_pid_mapping(*trade_graph(spark, d), mapping)[1].select("record_id", "key", "value")
+
+
+@query("""WITH m AS (SELECT 'c:' || c_custkey AS record_id, 'h/' || c_custkey AS pid FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT 'x:' || s_suppkey, 'h/x' FROM supplier),
+r AS (SELECT 'o:' || o_orderkey AS record_id FROM orders UNION ALL SELECT 'c:' || c_custkey FROM customer UNION ALL SELECT 'n:' || n_nationkey FROM nation UNION ALL SELECT 'r:' || n_regionkey FROM (SELECT DISTINCT r_regionkey AS n_regionkey FROM region))
+SELECT 'pid' AS what, record_id, coalesce(pid, '') AS pid, 1 AS n FROM r LEFT JOIN m USING (record_id) UNION ALL SELECT 'records', '', '', count(*) FROM r UNION ALL SELECT 'mapped', '', '', count(*) FROM r JOIN m USING (record_id) UNION ALL SELECT 'unknown', '', '', count(*) FROM m WHERE record_id NOT IN (SELECT record_id FROM r)""")
+def a10_mapped_records(spark: SparkSession, d: str) -> DataFrame:
+    """The records with registered identifiers, and the counts of the mapping, which also has ids of no record."""
+    pair = lambda t, record_id, pid: t.select(F.concat(*record_id).alias("record_id"), pid.alias("pid"))
+    known = pair(table(spark, d, "customer").where("c_custkey % 2 = 0"), (F.lit("c:"), "c_custkey"), F.concat(F.lit("h/"), "c_custkey"))
+    mapping = known.union(pair(table(spark, d, "supplier"), (F.lit("x:"), "s_suppkey"), F.lit("h/x")))
+    own, _, counts = writers.apply_pid_mapping(*trade_graph(spark, d), mapping)
+    counted = counts.select(F.explode(F.create_map(*[x for c in ("records", "mapped", "unknown") for x in (F.lit(c), F.col(c))])).alias("what", "n"))
+    return own.select(F.lit("pid").alias("what"), "record_id", "pid", F.lit(1).cast("long").alias("n")).union(counted.select("what", F.lit(""), F.lit(""), "n"))
