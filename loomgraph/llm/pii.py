@@ -274,21 +274,28 @@ def date(value: Column, key: str) -> Column:
 
 
 def secret(value: Column, key: str) -> Column:
-    """Blocks of eight digits and then the rest are permuted one by one, in whatever case they are."""
+    """Blocks of eight digits and what is left, each permuted in whatever case they are. The first block's permutation
+    depends on all that follows it, and every other's on its place and the first one's outcome: a block that two secrets
+    share, or that one repeats, looks different each time, and the whole can still be undone with the key."""
     low, n = F.lower(value), F.length(value)
-    blocks = F.sequence(F.lit(0), F.ceil(n / 8).cast("int") - 1)
+    last = F.ceil(n / 8).cast("int") - 1
 
-    def block(i: Column) -> Column:
-        own = F.substring(low, i * 8 + 1, F.lit(8))
+    def block(own: Column, kind: Column) -> Column:
         half = (F.length(own) / 2).cast("int")
         rest = F.length(own) - half
         number = lambda x: F.conv(F.concat(F.lit("0"), x), 16, 10).cast("long")
         size = lambda k: F.pow(F.lit(16.0), k).cast("long")
-        pair = feistel(number(F.substring(own, F.lit(1), half)), number(F.substring(own, half + 1, rest)), size(half), size(rest), key, "secret")
+        pair = feistel(number(F.substring(own, F.lit(1), half)), number(F.substring(own, half + 1, rest)), size(half), size(rest), key, kind)
         show = lambda v, k: F.when(k > 0, F.lpad(F.lower(F.hex(v)), k, F.lit("0"))).otherwise("")
         return let(pair, lambda p: F.concat(show(p.getField("l"), half), show(p.getField("r"), rest)))
 
-    made = F.array_join(F.transform(blocks, block), "")
+    def others(first: Column) -> Column:
+        places = F.slice(F.sequence(F.lit(0), last), F.lit(2), last)
+        each = F.transform(places, lambda i: block(F.substring(low, i * 8 + 1, F.lit(8)), F.concat_ws(":", F.lit("secret"), i.cast("string"), first)))
+        return F.concat(first, F.array_join(each, ""))
+
+    first = block(F.substring(low, F.lit(1), F.lit(8)), F.concat_ws(":", F.lit("secret"), F.sha2(F.substring(low, F.lit(9), n), 256)))
+    made = let(first, others)
     return F.when(value.rlike("[A-F]") & ~value.rlike("[a-f]"), F.upper(made)).otherwise(made)
 
 
