@@ -118,15 +118,18 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, most: float =
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs that the mix takes, each as often as it takes it. Rows that repeat a doc_id and its text share the
-    copies of all of them as evenly as they go."""
+    copies of all of them as evenly as they go; those that differ in another column take what is left over in the order of a
+    hash of all columns (maps aside), so reruns agree."""
     id_, hash_, copies_, rows_, copy_, nth_ = free_names(docs, "id_", "hash_", "copies_", "rows_", "copy_", "nth_")
     taken = mix(docs, **options).groupBy(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_)).agg(F.sum("copies").alias(copies_), F.count("*").alias(rows_)).where(F.col(copies_) > 0)
     both = docs.join(taken, docs["doc_id"].eqNullSafe(taken[id_]) & (F.xxhash64(docs["text"]) == taken[hash_]))
-    many = both.where(F.col(rows_) > 1).withColumn(nth_, F.row_number().over(Window.partitionBy(id_, hash_).orderBy(hash_)))
+    quoted = lambda names: ["`" + c.replace("`", "``") + "`" for c in names]
+    own = F.xxhash64(*quoted(f.name for f in docs.schema if "map<" not in f.dataType.simpleString()))
+    many = both.where(F.col(rows_) > 1).withColumn(nth_, F.row_number().over(Window.partitionBy(id_, hash_).orderBy(own)))
     # the first rows of a group take what is left over
     many = many.withColumn(copies_, F.floor(F.col(copies_) / F.col(rows_)) + F.when(F.col(nth_) <= F.col(copies_) % F.col(rows_), 1).otherwise(0)).where(F.col(copies_) > 0)
-    every = both.where(F.col(rows_) == 1).select(*both.columns).unionByName(many.select(*both.columns))
-    return every.withColumn(copy_, F.explode(F.sequence(F.lit(1), F.col(copies_).cast("int")))).select(*docs.columns)
+    every = both.where(F.col(rows_) == 1).select(*quoted(both.columns)).unionByName(many.select(*quoted(both.columns)))
+    return every.withColumn(copy_, F.explode(F.sequence(F.lit(1), F.col(copies_).cast("int")))).select(*quoted(docs.columns))
 
 
 def mix_sql(*, half: int = HALF, fill: int = FILL, seed: int = 11) -> str:

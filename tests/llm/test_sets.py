@@ -317,3 +317,14 @@ def test_repeated_rows_share_their_copies(spark):
     many = mixing.mixed_documents(docs)
     got = collections.Counter(r.doc_id for r in many.collect())
     assert many.columns == docs.columns and +got == +want and mixing.mixed_documents(docs.limit(0)).count() == 0
+
+
+def test_mixed_rows_that_differ_in_another_column(spark):
+    """Which of the rows with one doc_id and text takes what is left over depends on the rows alone, not on their place."""
+    rows = [(i % 3, "one two three", "en", "ab"[i % 2], i) for i in range(30)] + [(50 + i, f"x y{i}", "en", "a", 1) for i in range(20)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("more.of", F.create_map(F.lit("k"), F.lit(1)))
+    taken = lambda df: sorted((r.doc_id, r.source, r.n_chars) for r in mixing.mixed_documents(df).collect())
+    first = taken(docs)
+    assert taken(docs.repartition(7)) == first and taken(docs.orderBy(F.desc("n_chars")).coalesce(1)) == first
+    share = collections.Counter(first)
+    assert all(max(n) - min(n) <= 1 for n in ([share[(i, "ab"[k % 2], k)] for k in range(30) if k % 3 == i] for i in range(3)))
