@@ -2,7 +2,9 @@
 
 A text matches a template when a run of its words, twice as long as the template and wherever its lines break, holds at
 least ``containment`` of the template's distinct words: alpha = ceil(containment * size) of them. The words that name
-the license (NAMES) have to be among them; a template of fewer than SHORT words without a name has to be held whole.
+the license (NAMES) have to be among them, in a template of fewer than SHORT words "license" as well where it has that;
+such a template without a name has to be held whole. "Attribution" and the restrictions after it (NonCommercial, ShareAlike,
+NoDerivatives) count as one word, so a restricted license isn't taken for the free one.
 A run ends where the text does; a text of fewer words is one run. Template words are ordered by the number of texts that
 hold them, rarest first. Then
 
@@ -48,6 +50,14 @@ TEMPLATES = (
     ("cc-by-nc", "licensed under cc by nc 4.0"),
     ("cc-by", "this work is licensed under a creative commons attribution license"),
     ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4.0 international license"),
+    ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4.0 international license"),
+    ("cc-by-nd", "this work is licensed under a creative commons attribution noderivatives 4.0 international license"),
+    ("cc-by-nc-sa", "this work is licensed under a creative commons attribution noncommercial sharealike 4.0 international license"),
+    ("cc-by-nc-nd", "this work is licensed under a creative commons attribution noncommercial noderivatives 4.0 international license"),
+    ("mit", "spdx license identifier mit"),
+    ("apache-2.0", "spdx license identifier apache 2.0"),
+    ("gpl", "spdx license identifier gpl"),
+    ("bsd", "spdx license identifier bsd"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
     ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
@@ -56,9 +66,11 @@ TEMPLATES = (
 )
 CONTAINMENT = 0.8
 #: Words of templates without which it is another license; distinct words of a template that is short.
-NAMES, SHORT = frozenset(("apache", "2", "mit", "gnu", "lesser", "cc", "nc", "creative", "commons", "attribution", "sharealike", "mozilla", "unencumbered")), 10
+NAMES, SHORT = frozenset(("apache", "2", "mit", "gnu", "lesser", "cc", "nc", "creative", "commons", "attribution", "attributionsa", "attributionnc", "attributionnd", "attributionncsa", "attributionncnd", "mozilla", "unencumbered", "gpl", "bsd")), 10
 #: Not a word, after lower-casing.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Restrictions after "attribution", in the order of their names, and what they add to that word.
+RESTRICTIONS = tuple((f"(attribution(?:nc)?){GAP}{words}", short) for words, short in ((f"non(?:{GAP})?commercial", "nc"), (f"share(?:{GAP})?alike", "sa"), (f"no(?:{GAP})?deriv(?:ative)?s", "nd")))
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -77,8 +89,29 @@ def lowered(text: Column) -> Column:
     return F.lower(plain)
 
 
+def joined(text: Column) -> Column:
+    """Lower-cased text whose "attribution" and restrictions are one word."""
+    out = text
+    for pattern, short in RESTRICTIONS:
+        out = F.regexp_replace(out, pattern, f"$1{short}")
+    return F.when(F.contains(text, F.lit("attribution")), out).otherwise(text)
+
+
+def template_run(text: str) -> list[str]:
+    """Words of a template as they stand, "attribution" and restrictions as one."""
+    for pattern, short in RESTRICTIONS:
+        text = re.sub(pattern, rf"\g<1>{short}", text)
+    return re.findall(r"[a-z0-9]+", text)
+
+
 def template_words(text: str) -> list[str]:
-    return sorted(set(re.findall(r"[a-z0-9]+", text)))
+    return sorted(set(template_run(text)))
+
+
+def names_of(words: list[str]) -> list[str]:
+    """Words of a template that a run can't do without."""
+    named = [w for w in words if w in NAMES]
+    return [w for w in words if w in NAMES or w == "license"] if named and len(words) < SHORT else named
 
 
 def alpha_of(words: list[str], containment: float) -> int:
@@ -91,10 +124,10 @@ def scan(docs: DataFrame, *, templates: tuple[tuple[str, str], ...] = TEMPLATES,
     """(doc_id, text_hash, template, label, share): every template that a text matches, with its largest share."""
     sets = [(i, label, template_words(text)) for i, (label, text) in enumerate(templates)]
     vocabulary = sorted({w for _, _, words in sets for w in words})
-    spans = [2 * len(re.findall(r"[a-z0-9]+", text)) for _, text in templates]
-    names = [[w for w in words if w in NAMES] for _, _, words in sets]
+    spans = [2 * len(template_run(text)) for _, text in templates]
+    names = [names_of(words) for _, _, words in sets]
     alphas = [alpha_of(words, containment) for _, _, words in sets]
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.split(lowered(F.col("text")), GAP).alias("words"))
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.split(joined(lowered(F.col("text"))), GAP).alias("words"))
     held = keyed.select(F.array_intersect(F.array(*map(F.lit, vocabulary)), "words").alias("held")).where(F.size("held") >= min(alphas))
     counts = {r["word"]: r["count"] for r in held.select(F.explode("held").alias("word")).groupBy("word").count().collect()}  # a row for a template word at most
     index, prefix = [], set()
@@ -182,18 +215,20 @@ def report_sql() -> str:
     rows = []
     for i, (label, text) in enumerate(TEMPLATES):
         own = template_words(text)
-        names = [w for w in own if w in NAMES]
-        rows.append(f"({i}, '{label}', {own!r}, {names!r}::VARCHAR[], {alpha_of(own, CONTAINMENT)}, {2 * len(re.findall('[a-z0-9]+', text))})")
+        rows.append(f"({i}, '{label}', {own!r}, {names_of(own)!r}::VARCHAR[], {alpha_of(own, CONTAINMENT)}, {2 * len(template_run(text))})")
+    one = "t"
+    for pattern, short in RESTRICTIONS:
+        one = f"regexp_replace({one}, '{pattern}', '\\1{short}', 'g')"
     hits = []
     for phrase, label in PHRASES.items():
         test = " AND ".join(f"ws[i + {k}] = '{p}'" for k, p in enumerate(phrase.split(" ")))
         hits.append(f"list_transform(list_filter(range(1, len(ws) + 1), lambda i: coalesce({test}, false)), lambda i: {{'place': i - 1, 'label': '{label}'}})")
     return f"""
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{upper}', '{lower}') AS t FROM documents),
-w AS (SELECT doc_id, regexp_extract_all(t, '{word}') AS ws FROM d),
+w AS (SELECT doc_id, regexp_extract_all(t, '{word}') AS ws, regexp_extract_all({one}, '{word}') AS js FROM d),
 b AS (SELECT doc_id, len(ws) AS n_words, list_concat({hits[0]}, list_concat({hits[1]}, {hits[2]})) AS hits FROM w),
 templates(template, label, words, names, alpha, span) AS (VALUES {", ".join(rows)}),
-near AS (SELECT doc_id, ws, t.* FROM (SELECT doc_id, ws, list_distinct(ws) AS own FROM w) JOIN templates t ON len(list_intersect(own, words)) >= alpha),
+near AS (SELECT doc_id, ws, t.* FROM (SELECT doc_id, js AS ws, list_distinct(js) AS own FROM w) JOIN templates t ON len(list_intersect(own, words)) >= alpha),
 runs AS (SELECT doc_id, label, words, names, alpha, list_distinct(ws[i : i + span - 1]) AS run FROM (SELECT *, unnest(range(1, greatest(len(ws) - span + 1, 1) + 1)) AS i FROM near)),
 m AS (SELECT doc_id, label, len(list_intersect(run, words)) / len(words)::DOUBLE AS share FROM runs WHERE len(list_intersect(run, words)) >= alpha AND list_has_all(run, names)),
 g AS (SELECT doc_id, list(DISTINCT label) AS more, max(share) AS share FROM m GROUP BY doc_id)
