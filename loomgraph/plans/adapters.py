@@ -33,7 +33,7 @@ def landed(spark: SparkSession, d: str) -> DataFrame:
     """Orders as landed records, with their lines as files (the lines of one order at most) and customers as creators."""
     line = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
     lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("lines"))
-    rows = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    rows = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(lines.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"), "left")  # both grow with the orders: neither is broadcast
     key = F.col("o_orderkey")
     file = lambda x: F.struct(
         F.concat(F.lit("part"), x["l_partkey"].cast("string"), F.lit(".csv")).alias("key"), x["l_quantity"].cast("bigint").alias("size"),
