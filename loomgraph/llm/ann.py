@@ -4,16 +4,17 @@ A vector is coded as the sum of one word from each of several full-dimensional c
 bounded sample: k-means on what the earlier books leave, then least squares over all books together for the codes found.
 Codes are chosen by beam search over the residuals. With each code its norm factor is stored, |x|^2 / <x, sum of words>,
 which makes the estimate of an inner product exact along x. A query is scored against a block of codes with one lookup
-table for each book; the best of each query are kept while blocks go by, then scored exactly on the original vectors.
+table for each book; a block's best are scored exactly there, on the original vectors, and the nearest of them go on.
+What a block selects depends on its size and not on the table's, so recall doesn't fall as a table grows.
 
 Equal vectors are coded once: each distinct vector has its smallest ids, as many as an answer can hold, so that a vector
 which a third of the rows repeat costs as much as any other and hides no neighbours. All distinct vectors are indexed;
-queries meet all of them, block by block. Blocks have a bounded number of vectors, and one task holds a block of either
-kind. Codes are dealt by block, once; blocks of queries are copied to them.
+queries meet all of them, block by block. Blocks have a bounded number of vectors and of values, and one task holds a
+block of either kind. Codes and vectors are dealt by block; blocks of queries are copied to them.
 
 An inner product needs vectors of one length, so each length is a space of its own, with its own books: a query's
-neighbours have its length. A space of at most ``rerank`` distinct vectors has nothing to select: all go to the exact
-scoring. Vectors that are null, zero, or hold nulls or values that aren't finite take no part, nor do null ids. Ties go
+neighbours have its length. A space of at most ``least`` distinct vectors has nothing to select: all are scored
+exactly. Vectors that are null, zero, or hold nulls or values that aren't finite take no part, nor do null ids. Ties go
 to the smaller id. Rows that repeat an id count once; if their vectors differ, the one with the smallest hash. With fewer candidates than asked for, all come back; an empty table gives an empty answer. Scores are computed in
 double precision on the vectors as they came.
 """
@@ -34,7 +35,8 @@ from loomgraph.llm.common import discard, materialize, rows_per_batch
 @dataclass(frozen=True)
 class Settings:
     """books and words: of the code; beam: codes kept while encoding; sample: vectors that fit the books at most;
-    rerank: distinct candidates scored exactly for each query; block and queries: vectors in a block of either kind."""
+    rerank and least: distinct candidates that a query scores exactly in a block, an eighth of it within these bounds;
+    block and values: vectors and their values in a block; queries: vectors in a block of queries."""
 
     books: int = 32
     words: int = 128
@@ -42,7 +44,9 @@ class Settings:
     sample: int = 8192
     rounds: int = 6
     rerank: int = 512
+    least: int = 64
     block: int = 32768
+    values: int = 1 << 20
     queries: int = 512
     seed: int = 5
 
@@ -116,8 +120,9 @@ def usable(vectors: DataFrame) -> DataFrame:
     return own.where(~F.exists("embedding", bad) & F.exists("embedding", lambda v: v != 0))
 
 
-def _search(distinct: DataFrame, asked: DataFrame, size: int, total: int, s: Settings) -> DataFrame:
-    """query and rep: for each asked rep those that the codes bring nearest. distinct: rep and embedding, of one size."""
+def _search(distinct: DataFrame, asked: DataFrame, size: int, total: int, k: int, s: Settings) -> DataFrame:
+    """query, rep and score: for each asked rep the k nearest in each block among those that the codes bring nearest.
+    distinct: rep and embedding, of one size."""
     spark = distinct.sparkSession
     some = distinct.orderBy(F.xxhash64("rep", F.lit(s.seed))).limit(s.sample).select("embedding").toPandas()["embedding"]
     some = np.array(some.tolist())
@@ -132,13 +137,13 @@ def _search(distinct: DataFrame, asked: DataFrame, size: int, total: int, s: Set
                 decoded = books.value[np.arange(len(books.value)), codes].sum(1)
                 along = (x * decoded).sum(1)
                 factor = np.where(along > 0, (x**2).sum(1) / np.maximum(along, 1e-12), 1.0).astype(np.float32)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(factor)], ["rep", "code", "factor"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(factor)], ["rep", "embedding", "code", "factor"])
 
     queries = distinct.join(asked.select("rep").distinct(), "rep")
-    parts, blocks = -(-queries.count() // s.queries), -(-total // s.block)
+    parts, blocks = -(-queries.count() // s.queries), -(-total // max(1, min(s.block, s.values // size)))
     fan = min(parts, -(-32 // blocks))  # few blocks: each is copied for some queries, so that all executors have work
-    coded = distinct.select("rep", "embedding").mapInArrow(code, "rep long, code binary, factor float")
-    coded = coded.groupBy(F.pmod(F.xxhash64("rep"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("rep", "code", "factor")).alias("codes"))  # about s.block vectors
+    coded = distinct.select("rep", "embedding").mapInArrow(code, "rep long, embedding array<double>, code binary, factor float")
+    coded = coded.groupBy(F.pmod(F.xxhash64("rep"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("rep", "embedding", "code", "factor")).alias("codes"))  # about s.block vectors
     asking = queries.groupBy(F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(parts)).alias("part")).agg(F.collect_list(F.struct("rep", "embedding")).alias("queries"))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<long>"))
     coded, asking = materialize(coded, "codes"), materialize(asking, "queries")
@@ -153,47 +158,29 @@ def _search(distinct: DataFrame, asked: DataFrame, size: int, total: int, s: Set
                 code = np.frombuffer(b"".join(codes.field("code").to_pylist()), np.uint8).reshape(len(rep), -1)
                 up = np.argsort(rep)  # ties go to the smaller id
                 rep, code, factor = rep[up], code[up], codes.field("factor").to_numpy()[up]
+                x = np.ascontiguousarray(codes.field("embedding").flatten().to_numpy().reshape(len(up), size)[up].T)
                 q_rep = own.field("rep").to_numpy()
-                q = (own.field("embedding").flatten().to_numpy() / scale).reshape(len(q_rep), size).astype(np.float32)
-                tables = np.einsum("qd,mkd->mqk", q, own_books, optimize=True)
-                keep = min(s.rerank, len(rep))
+                q = own.field("embedding").flatten().to_numpy().reshape(len(q_rep), size)
+                tables = np.einsum("qd,mkd->mqk", (q / scale).astype(np.float32), own_books, optimize=True)
+                keep = min(len(rep), s.rerank, max(s.least, len(rep) // 8))
+                most = min(k, keep)
                 for at in range(0, len(q), 64):
-                    score = np.zeros((len(q[at : at + 64]), len(rep)), np.float32)
+                    here = q[at : at + 64]
+                    score = np.zeros((len(here), len(rep)), np.float32)
                     for m in range(len(own_books)):
                         score += tables[m, at : at + 64][:, code[:, m]]
                     score *= factor
-                    best = np.argpartition(-score, keep - 1, 1)[:, :keep]
-                    found = np.take_along_axis(score, best, 1)
-                    lists = lambda v: pa.ListArray.from_arrays(np.arange(0, v.size + 1, keep, dtype=np.int32), v.ravel())
-                    yield pa.RecordBatch.from_arrays([pa.array(q_rep[at : at + 64]), lists(rep[best]), lists(found)], ["query", "reps", "scores"])
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Keep the best of each query; its rows come one after another."""
-        now, reps, scores = None, None, None
-
-        def done() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([now]), pa.array([reps], pa.list_(pa.int64()))], ["query", "reps"])
-
-        for batch in batches:
-            for i in range(batch.num_rows):
-                query = batch.column(0)[i].as_py()
-                new_reps, new_scores = (batch.column(c).slice(i, 1).flatten().to_numpy() for c in (1, 2))
-                if query != now:
-                    if now is not None:
-                        yield done()
-                    now, reps, scores = query, new_reps, new_scores
-                else:
-                    reps, scores = np.concatenate((reps, new_reps)), np.concatenate((scores, new_scores))
-                    best = np.lexsort((reps, -scores))[: s.rerank]
-                    reps, scores = reps[best], scores[best]
-        if now is not None:
-            yield done()
-
-    with rows_per_batch(spark, 4):  # a row is two blocks
-        scanned = materialize(met.select("codes", "queries").mapInArrow(scan, "query long, reps array<long>, scores array<float>"), "scanned")
-    merged = scanned.repartition("query").sortWithinPartitions("query").mapInArrow(merge, "query long, reps array<long>")
-    found = materialize(merged.select("query", F.explode("reps").alias("rep")), "found")
-    discard(coded, asking, scanned)
+                    best = np.sort(np.argpartition(-score, keep - 1, 1)[:, :keep], 1)
+                    exact = np.zeros(best.shape)
+                    for d in range(size):  # in the order of dimensions, as dot does
+                        exact += x[d][best] * here[:, d : d + 1]
+                    first = np.argsort(-exact, 1, kind="stable")[:, :most]
+                    reps, scores = (np.take_along_axis(v, first, 1).ravel() for v in (rep[best], exact))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(q_rep[at : at + 64], most)), pa.array(reps), pa.array(scores)], ["query", "rep", "score"])
+
+    with rows_per_batch(spark, 2):  # a row is two blocks
+        found = materialize(met.select("codes", "queries").mapInArrow(scan, "query long, rep long, score double"), "found")
+    discard(coded, asking)
     return found
 
 
@@ -211,19 +198,15 @@ def nearest(vectors: DataFrame, *, is_query: Column, k: int = 20, settings: Sett
     distinct = materialize(distinct, "distinct")
     members = materialize(ids.join(distinct.select("rep", "embedding"), "embedding").select("rep", "vec_id"), "members")
     asked = materialize(own.where(is_query).join(distinct.select("rep", "embedding", "size"), "embedding").select(F.col("vec_id").alias("query_id"), "rep", "size").distinct(), "asked")
-    spaces = distinct.groupBy("size").agg(F.count("*").alias("n")).where(F.col("n") > s.rerank).collect()  # a row for each length of many vectors
+    spaces = distinct.groupBy("size").agg(F.count("*").alias("n")).where(F.col("n") > s.least).collect()  # a row for each length of many vectors
     large = [r["size"] for r in spaces]
     small = distinct.where(~F.col("size").isin(large)) if large else distinct
-    pairs = asked.select(F.col("rep").alias("query"), "size").distinct().join(small.select("rep", "size"), "size").select("query", "rep")  # s.rerank of a size at most
+    queries = distinct.join(asked.select("rep").distinct(), "rep").select(F.col("rep").alias("query"), "size", F.col("embedding").alias("y"))
+    exact = queries.join(small.withColumnRenamed("embedding", "x"), "size").select("query", "rep", dot(F.col("x"), F.col("y")).alias("score"))  # s.least of a size at most
     for r in sorted(spaces):
         here = F.col("size") == r["size"]
         if asked.where(here).head(1):
-            pairs = pairs.unionByName(_search(distinct.where(here), asked.where(here), r["size"], r["n"], s))
-    exact = (
-        pairs.join(distinct.select("rep", F.col("embedding").alias("x")), "rep")
-        .join(distinct.select(F.col("rep").alias("query"), F.col("embedding").alias("y")), "query")
-        .select("query", "rep", dot(F.col("x"), F.col("y")).alias("score"))
-    )
+            exact = exact.unionByName(_search(distinct.where(here), asked.where(here), r["size"], r["n"], k + 1, s))
     # the first k + 1 rows of each distinct query answer all its rows
     expanded = exact.join(members, "rep").withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))).where(F.col("rank") <= k + 1)
     answers = materialize(expanded.select(F.col("query").alias("rep"), "vec_id", "score"), "answers")
