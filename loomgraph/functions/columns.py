@@ -98,7 +98,8 @@ def iso_duration(start: Column, end: Column) -> Column:
 
 
 def number_text(c: Column) -> Column:
-    """A double as text with a decimal point and without an exponent for everyday sizes."""
+    """A double as text with a decimal point and without an exponent for everyday sizes, with all its digits."""
     plain = c.cast("string")
-    wide = F.when(c == F.floor(c), F.concat(F.format_string("%.0f", c), F.lit(".0"))).otherwise(F.rtrim(F.format_string("%.10f", c), F.lit("0")))
-    return F.when((F.abs(c) >= 1e7) & (F.abs(c) < 1e16) | (F.abs(c) < 1e-3) & (F.abs(c) > 1e-4), wide).otherwise(plain)
+    wide = F.rtrim(plain.cast("decimal(38,21)").cast("string"), F.lit("0"))  # 17 digits at most, from the fourth place on
+    wide = F.when(wide.endswith("."), F.concat(wide, F.lit("0"))).otherwise(wide)
+    return F.when((F.abs(c) >= 1e7) & (F.abs(c) < 1e16) | (F.abs(c) < 1e-3) & (F.abs(c) >= 1e-4), wide).otherwise(plain)

@@ -86,3 +86,8 @@ def test_number_text(spark):
     assert one(spark, columns.number_text, 980.0, "double") == "980.0"
     assert one(spark, columns.number_text, 1e7, "double") == "10000000.0"
     assert one(spark, columns.number_text, 0.015, "double") == "0.015"
+
+
+def test_number_text_keeps_all_digits(spark):
+    for x in (0.07 / 100, 0.0001, 0.0009, 0.02 / 30, 12345678.123456789, 123456789012.37, 9007199254740992.0):
+        assert one(spark, columns.number_text, x, "double") == repr(x)
