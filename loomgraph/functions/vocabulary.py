@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Keys of attributes and the identifiers under which they are exported.
 INFO_TYPES = {
@@ -227,10 +228,10 @@ EDGE_KINDS = {
 
 def info_types(spark: SparkSession) -> DataFrame:
     """(name, pid) of every key."""
-    return spark.createDataFrame(list(INFO_TYPES.items()), "name string, pid string")
+    return pairs_table(spark, INFO_TYPES, "name", "pid")
 
 
 def pairs_table(spark: SparkSession, pairs: object, first: str, second: str) -> DataFrame:
-    """A small table of pairs."""
+    """A small table of pairs, marked for broadcast: Spark doesn't know its size, and would deal what it meets by a few hot keys."""
     rows = list(pairs.items()) if isinstance(pairs, dict) else list(pairs)
-    return spark.createDataFrame(rows, f"{first} string, {second} string")
+    return F.broadcast(spark.createDataFrame(rows, f"{first} string, {second} string"))

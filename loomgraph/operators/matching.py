@@ -146,7 +146,7 @@ def fill_common(tests: DataFrame, common: DataFrame, columns: tuple[str, ...], k
 
 
 def resolve_names(attributes: DataFrame, names: DataFrame, *, to: str = "pid") -> DataFrame:
-    """attributes with keys as identifiers (to="pid") or as names (to="name"); unknown keys stay. names: name, pid; small."""
+    """attributes with keys as identifiers (to="pid") or as names (to="name"); unknown keys stay. names: name, pid; small, and broadcast."""
     other = "name" if to == "pid" else "pid"
-    met = attributes.join(names.select(F.col(other).alias("key"), F.col(to).alias("new_key")), "key", "left")
+    met = attributes.join(F.broadcast(names.select(F.col(other).alias("key"), F.col(to).alias("new_key"))), "key", "left")
     return met.select("record_id", F.coalesce("new_key", "key").alias("key"), "value", "value_type")

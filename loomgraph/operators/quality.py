@@ -67,11 +67,11 @@ def check_identity(records: DataFrame, *, fail_fast: bool = False) -> DataFrame:
 def check_profiles(attributes: DataFrame, profile_properties: DataFrame, profile_key: str = "profile") -> DataFrame:
     """record_id, profile_pid, key, n: keys that a declared profile wants more or less often than the record has them.
 
-    profile_properties: profile_pid, key, min_count, max_count (null: any number); small, so that Spark broadcasts it.
+    profile_properties: profile_pid, key, min_count, max_count (null: any number); small, and broadcast.
     Pairs are counted for each record and key before they meet the profiles.
     """
     declared = attributes.where(F.col("key") == profile_key).select("record_id", F.col("value").alias("profile_pid")).distinct()
-    wanted = declared.join(profile_properties, "profile_pid")
+    wanted = declared.join(F.broadcast(profile_properties), "profile_pid")
     counts = attributes.groupBy("record_id", "key").agg(F.count("*").alias("n"))
     met = wanted.join(counts, ["record_id", "key"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     return met.where("n < min_count or n > max_count").select("record_id", "profile_pid", "key", "n")
@@ -80,9 +80,9 @@ def check_profiles(attributes: DataFrame, profile_properties: DataFrame, profile
 def check_values(attributes: DataFrame, value_rules: DataFrame) -> DataFrame:
     """record_id, key, value, problem: values outside the pattern, range or list of their key's basic type.
 
-    value_rules: key, pattern, minimum, maximum, enum (each may be null); small. Nothing is dropped: this reports.
+    value_rules: key, pattern, minimum, maximum, enum (each may be null); small, and broadcast, as few keys have most rows. Nothing is dropped: this reports.
     """
-    met = attributes.join(value_rules, "key")
+    met = attributes.join(F.broadcast(value_rules), "key")
     number = F.col("value").try_cast("double")
     ranged = F.col("minimum").isNotNull() | F.col("maximum").isNotNull()
     outside = ranged & (number.isNull() | F.coalesce(number < F.col("minimum"), F.lit(False)) | F.coalesce(number > F.col("maximum"), F.lit(False)))
