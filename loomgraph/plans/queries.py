@@ -260,9 +260,9 @@ def r1_dataset_records(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {LANDED_FILES} SELECT version_doi, recid, pos, checksum, filename, size, 'text/csv' AS mimetype, download_url FROM lf")
 def a1_landed_records(spark: SparkSession, d: str) -> DataFrame:
-    """Landed JSON written and read again, shredded to files."""
+    """Landed JSON written (compressed: its texts repeat) and read again, shredded to files."""
     path = scratch(spark, "landed")
-    landed(spark, d).write.option("ignoreNullFields", False).json(path)
+    landed(spark, d).write.option("ignoreNullFields", False).option("compression", "gzip").json(path)
     return repository.build_files(readers.read_records(spark, path))
 
 

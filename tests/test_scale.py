@@ -43,3 +43,14 @@ def test_fan_out_of_one_concept_is_dealt_in_parts(spark, monkeypatch, threshold)
     assert out.count() == len(rows) == 198 * 10 + 2
     assert {("d198", 198), ("d199", 199)} <= rows
     assert len(tasks) > 3 and max(tasks) < 1000
+
+
+def test_landed_texts_are_written_compressed(spark):
+    import os
+
+    from loomgraph.functions.shared import shared_dir
+    from loomgraph.plans.queries import a1_landed_records
+
+    a1_landed_records(spark, "/root/testdata/sf0.001")
+    names = [n for folder, _, files in os.walk(shared_dir(spark)) if os.path.basename(folder).startswith("landed-") for n in files if n.startswith("part-")]
+    assert names and all(n.endswith(".json.gz") for n in names)
