@@ -108,7 +108,8 @@ def build_files(records: DataFrame, url_base: str = "https://zenodo.org/records/
 def dedup_in_version(files: DataFrame, version: str = "version_doi") -> DataFrame:
     """One row per checksum in a version: the last file's attributes at the first one's position."""
     rest = [c for c in files.columns if c not in (version, "checksum", "pos")]
-    one = files.groupBy(version, "checksum").agg(F.max_by(F.struct("pos", *rest), "pos").alias("own"), F.min("pos").alias("pos"))
+    dealt = files.repartition(version, "checksum")  # rows are dealt as they are: few repeat, and partial aggregates are wider
+    one = dealt.groupBy(version, "checksum").agg(F.max_by(F.struct("pos", *rest), "pos").alias("own"), F.min("pos").alias("pos"))
     return one.select(version, "checksum", "pos", *[F.col("own")[c].alias(c) for c in rest])
 
 
@@ -185,7 +186,8 @@ def dataset_inputs(versions: DataFrame, creators: DataFrame, files: DataFrame, i
     """Dataset contracts: linked versions with their creators (orcid, ror_id), checksums and preview images, in order."""
     people = creators.groupBy("version_doi").agg(F.array_sort(F.collect_list(F.struct("pos", "orcid", "ror_id"))).alias("p"))
     people = people.select("version_doi", F.transform("p", lambda c: F.struct(c["orcid"].alias("orcid"), c["ror_id"].alias("ror_id"))).alias("creators"))
-    sums = files.groupBy("version_doi").agg(F.array_sort(F.collect_set(F.struct("pos", "checksum"))).alias("f")).select("version_doi", F.transform("f", lambda x: x["checksum"]).alias("files"))
+    listed = files.select("version_doi", "pos", "checksum").repartition("version_doi")  # before they are lists
+    sums = listed.groupBy("version_doi").agg(F.array_sort(F.collect_set(F.struct("pos", "checksum"))).alias("f")).select("version_doi", F.transform("f", lambda x: x["checksum"]).alias("files"))
     met = versions.join(people, "version_doi", "left").join(sums, "version_doi", "left").join(images, "version_doi", "left")
     return met.select(
         F.col("version_doi").alias("doi"), "title", "description", "publication_date", "version_label", "creators", "keywords",

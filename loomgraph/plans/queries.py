@@ -235,10 +235,12 @@ fs AS (SELECT version_doi, string_agg(checksum, ',' ORDER BY pos) AS files FROM
 
 def dataset_contracts(spark: SparkSession, d: str) -> DataFrame:
     """Orders as datasets, with texts in HTML, organisations of some creators, and some files as images."""
-    own = materialize(landed(spark, d), "landed")
+    own = landed(spark, d).withColumn("metadata", F.col("metadata").dropFields("related_identifiers", "grants", "communities"))
+    own = materialize(own, "landed")  # without what no contract says
     versions = repository.build_versions(own, "2024-05-06").withColumnRenamed("concept_doi", "concept").withColumn("input_pos", F.col("recid"))
     versions = repository.version_links(repository.order_versions(versions)).withColumn("description", F.concat(F.lit("<p>About <b>"), "title", F.lit("</b></p>")))
-    files = materialize(repository.dedup_in_version(repository.build_files(own)), "files")
+    files = repository.build_files(own).select("version_doi", "checksum", "pos", "download_url")
+    files = materialize(repository.dedup_in_version(files), "files")
     creators = repository.build_creators(own).withColumn("ror_id", F.when(F.col("affiliation") != "BUILDING", F.concat(F.lit("https://ror.org/"), "affiliation")))
     return repository.dataset_inputs(versions, creators, files, repository.preview_images(files, is_image=F.col("download_url").rlike("^https://l/[0-9]*0$")))
 

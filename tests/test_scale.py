@@ -54,3 +54,9 @@ def test_landed_texts_are_written_compressed(spark):
     a1_landed_records(spark, "/root/testdata/sf0.001")
     names = [n for folder, _, files in os.walk(shared_dir(spark)) if os.path.basename(folder).startswith("landed-") for n in files if n.startswith("part-")]
     assert names and all(n.endswith(".json.gz") for n in names)
+
+
+def test_files_are_dealt_before_they_are_aggregated(spark, capsys):
+    files = spark.createDataFrame([("v", 1, "c", "n")], "version_doi string, pos int, checksum string, filename string")
+    shown = plan(repository.dedup_in_version(files), capsys)
+    assert shown.index("partial_max_by") < shown.index("Exchange")
