@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.functions.shared import materialize
 from loomgraph.functions.vocabulary import BACKLINK_RULES, EDGE_KINDS, INVERSE_RELATIONS, pairs_table
 from loomgraph.operators.design import as_set
 from loomgraph.operators.references import named_reference
@@ -21,19 +20,40 @@ def infer_backlinks(attributes: DataFrame, records: DataFrame, rules: object = B
     return as_set(found)
 
 
+def consequences(rules: object) -> list[tuple[str, bool, bool, str]]:
+    """key, both, turned and derived: what follows from an attribute whose value is a record, by all rules until nothing is new.
+
+    A conclusion has the ends of its premise, turned round; so what follows depends on the key and on whether both ends
+    are records (both) or the value alone, which stops after a step. turned: the conclusion is one of the value's record."""
+    pairs = list(rules.items()) if isinstance(rules, dict) else list(rules)
+    found = []
+    for key in dict.fromkeys(k for k, _ in pairs):
+        first = {(True, b) for k, b in pairs if k == key}
+        seen, new = set(first), first
+        while new:
+            new = {(not turned, b) for turned, k in new for f, b in pairs if f == k} - seen
+            seen |= new
+        found += [(key, False, *state) for state in sorted(first)] + [(key, True, *state) for state in sorted(seen)]
+    return found
+
+
 def with_backlinks(attributes: DataFrame, records: DataFrame, rules: object = BACKLINK_RULES, *, fixpoint: bool = False) -> DataFrame:
     """attributes and what follows from them; with fixpoint, also what follows from that, until nothing is new.
 
-    Each rule has one premise, so what is new can only follow from what was new in the round before: that alone meets the
-    rules and the receivers (semi-naive evaluation). Rounds are written, and end as there are finitely many triples."""
+    Each rule has one premise, so the fixpoint is that of the rules alone (``consequences``): attributes meet it once, with
+    what is known of their ends, and no round is written."""
     if not fixpoint:
         return as_set(attributes.unionByName(infer_backlinks(attributes, records, rules)))
-    triple = ["record_id", "key", "value", "value_type"]
-    known = new = materialize(as_set(attributes), "backlinks")
-    while new.head(1):
-        new = materialize(infer_backlinks(new, records, rules).join(known.select(triple), triple, "left_anti"), "backlinks")
-        known = known.unionByName(new, allowMissingColumns=True)
-    return known
+    follows = consequences(rules)
+    table = F.broadcast(attributes.sparkSession.createDataFrame(follows, "key string, both boolean, turned boolean, derived string"))
+    known, keys = records.select("record_id").distinct(), sorted({f[0] for f in follows})
+    forward = attributes.where(F.col("key").isin(keys)).select("record_id", "key", "value")
+    # merge joins: records grow with the attributes, and a broadcast of them is in the memory of every task
+    ends = forward.join(known.withColumnRenamed("record_id", "value").hint("merge"), "value", "left_semi").join(known.withColumn("is_record", F.lit(True)).hint("merge"), "record_id", "left")
+    met = ends.withColumn("both", F.coalesce("is_record", F.lit(False))).join(table, ["key", "both"])
+    of = lambda a, b: F.when(F.col("turned"), F.col(b)).otherwise(F.col(a))
+    found = met.select(of("record_id", "value").alias("record_id"), F.col("derived").alias("key"), of("value", "record_id").alias("value"), F.lit("string").alias("value_type"))
+    return as_set(attributes.unionByName(found, allowMissingColumns=True))
 
 
 def invert_named_references(attributes: DataFrame, records: DataFrame) -> DataFrame:

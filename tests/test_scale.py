@@ -60,3 +60,25 @@ def test_files_are_dealt_before_they_are_aggregated(spark, capsys):
     files = spark.createDataFrame([("v", 1, "c", "n")], "version_doi string, pos int, checksum string, filename string")
     shown = plan(repository.dedup_in_version(files), capsys)
     assert shown.index("partial_max_by") < shown.index("Exchange")
+
+
+def test_a_fixpoint_of_rules_takes_no_rounds(spark):
+    import os
+    import random
+
+    from loomgraph.functions.shared import shared_dir
+
+    rng = random.Random(5)
+    rules = [("a", "b"), ("b", "c"), ("c", "d"), ("d", "a"), ("x", "a"), ("a", "z")]
+    ends = [f"r{i}" for i in range(8)] + ["gone", "away"]
+    given = {(rng.choice(ends), rng.choice("abcdxyz"), rng.choice([*ends, None]), rng.choice(["string", "url"])) for _ in range(40)}
+    wanted, new = set(given), set(given)
+    while new:
+        new = {(v, b, r, "string") for r, k, v, _ in new for f, b in rules if f == k and v in ends[:8]} - wanted
+        wanted |= new
+    before = set(os.listdir(shared_dir(spark)))
+    own = spark.createDataFrame([(i,) for i in ends[:8] + ends[:2]], "record_id string")
+    found = graph.with_backlinks(spark.createDataFrame(sorted(given, key=repr), ATTRIBUTES), own, rules, fixpoint=True)
+    rows = [tuple(r) for r in found.select("record_id", "key", "value", "value_type").collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == wanted
+    assert set(os.listdir(shared_dir(spark))) == before
