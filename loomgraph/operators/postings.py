@@ -13,6 +13,8 @@ from loomgraph.functions.shared import materialize
 
 #: Characters of a chunk; a run is cut out of one by counting characters from its start.
 CHUNK = 128
+#: Characters of a block of ``near``; a text of twice as many, less one, holds a whole block wherever it starts.
+BLOCK = 32
 
 
 def numbered(rows: DataFrame) -> DataFrame:
@@ -46,15 +48,38 @@ def tiles(texts: DataFrame, n: int) -> DataFrame:
     return own.where((F.col("place") % n == 0) | (F.col("place") == F.col("size") - n)).drop("size")
 
 
+def near(held: DataFrame, holders: DataFrame) -> DataFrame:
+    """The holders that may hold any of the held texts, of 2 * BLOCK - 1 characters at least: those of which a block, of the
+    ones laid end to end from the start, is a run of a held text. Hashes stand for both, so a few may come in vain."""
+    runs = materialize(grams(held, BLOCK).select("scope", F.xxhash64("g").alias("h")).distinct(), "runs")
+    blocks = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(f"(?s).{{{BLOCK}}}"), F.lit(0)), lambda b: F.xxhash64(b)))
+    hit = holders.select("scope", "id", F.explode(blocks).alias("h")).join(runs, ["scope", "h"], "left_semi").select("id").distinct()
+    return holders.join(materialize(hit, "near"), "id", "left_semi")
+
+
 def contained(held: DataFrame, holders: DataFrame, n: int) -> DataFrame:
     """held and holder: ids of texts of which one stands in the other. Both have scope, id and text; held texts
     have at least n characters.
 
     A held text is covered by tiles of n characters. Holders' runs that are no tile are left out before anything is
     written. The tile that stands in the fewest places gives the places where the text may start; there it does if, and
-    only if, each of its tiles stands at its own distance from that place. So places are compared, and no text is."""
-    longest = holders.agg(F.max(F.length("text"))).first()[0] or 0
-    own = materialize(tiles(held.where(F.length("text") <= longest), n), "tiles")
+    only if, each of its tiles stands at its own distance from that place. So places are compared, and no text is.
+
+    Long held texts that are few beside their holders look for them by blocks first (``near``), so that a holder costs a
+    row for each of its blocks, and one for each of its characters only if it may hold something."""
+    size, wide = F.length("text"), F.length("text") >= 2 * BLOCK - 1
+    longest, chars = holders.agg(F.max(size), F.sum(size)).first()
+    held = held.where(size <= (longest or 0))
+    asked = held.agg(F.sum(F.when(wide, size)), F.count_if(~wide)).first()
+    if not asked[0] or asked[0] * BLOCK > chars:
+        return _contained(held, holders, n)
+    found = _contained(held.where(wide), near(held.where(wide), holders), n)
+    return found.unionByName(_contained(held.where(~wide), holders, n)) if asked[1] else found
+
+
+def _contained(held: DataFrame, holders: DataFrame, n: int) -> DataFrame:
+    """As ``contained``, by postings of all holders."""
+    own = materialize(tiles(held, n), "tiles")
     postings = materialize(grams(holders, n).join(own.select("scope", "g").distinct(), ["scope", "g"], "left_semi"), "postings")
     counts = postings.groupBy("scope", "g").agg(F.count("*").alias("n"))
     seen = own.join(counts, ["scope", "g"], "left").groupBy("scope", "id").agg(F.min_by(F.struct("g", "place"), F.struct("n", "place")).alias("best"), F.count("*").alias("tiles"), F.count("n").alias("hits"))

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomgraph.functions import vocabulary
-from loomgraph.operators import graph, matching, quality, repository
+from loomgraph.operators import graph, matching, postings, quality, repository
 
 ATTRIBUTES = "record_id string, key string, value string, value_type string"
 
@@ -82,3 +82,21 @@ def test_a_fixpoint_of_rules_takes_no_rounds(spark):
     rows = [tuple(r) for r in found.select("record_id", "key", "value", "value_type").collect()]
     assert len(rows) == len(set(rows)) and set(rows) == wanted
     assert set(os.listdir(shared_dir(spark))) == before
+
+
+def test_long_texts_look_at_their_likely_holders_alone(spark, monkeypatch):
+    import random
+
+    rng = random.Random(7)
+    text = lambda n: "".join(rng.choices("abä🙂 \n", k=n))
+    long = [text(n) for n in (63, 64, 80, 95, 200)]
+    held = [(s, i, t) for i, (s, t) in enumerate((s, t) for s in "xy" for t in [*long, "ab ä🙂aab", "q" * 70])]
+    # each long text at every distance from a block's start, and many texts that hold none
+    texts = [("x", text(k) + long[k % 5] + text(9)) for k in range(64)] + [("x", text(900)) for _ in range(150)] + [("x", long[0]), ("y", long[1][:-1] + "!"), ("y", long[2])]
+    holders = [(s, i, t) for i, (s, t) in enumerate(texts)]
+    own, other = (spark.createDataFrame(rows, "scope string, id long, text string") for rows in (held, holders))
+    seen, plain = [], postings._contained
+    monkeypatch.setattr(postings, "_contained", lambda h, o, n: seen.append((h.count(), o.count())) or plain(h, o, n))
+    found = {tuple(r) for r in postings.contained(own, other, 8).select("held", "holder").collect()}
+    assert found == {(i, j) for s, i, t in held for z, j, u in holders if s == z and t in u}
+    assert sorted(seen) == [(2, len(holders)), (12, 67)]  # the one in vain differs in its last character
