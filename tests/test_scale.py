@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.functions import vocabulary
 from loomgraph.operators import graph, matching, postings, quality, repository
+from loomgraph.sources import search_index
 
 ATTRIBUTES = "record_id string, key string, value string, value_type string"
 
@@ -84,6 +85,18 @@ def test_a_fixpoint_of_rules_takes_no_rounds(spark):
     assert set(os.listdir(shared_dir(spark))) == before
 
 
+def test_owners_of_a_common_text_are_dealt_in_parts(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(search_index, "OWNERS", 100, raising=False)
+    own = spark.range(1000).select(F.concat(F.lit("r"), "id").alias("record_id"))
+    said = own.select("record_id", F.lit("key").alias("key"), F.lit("Common").alias("value"), F.lit("string").alias("value_type"))
+    search_index.write_index(own, said.union(said), str(tmp_path))
+    texts, owners = (spark.read.parquet(f"{tmp_path}/{t}") for t in ("texts", "owners"))
+    sizes = [r["count"] for r in owners.join(texts.where("text = 'common'"), "id").groupBy("id", "part").count().collect()]
+    assert sum(sizes) == 1000 and len(sizes) == 10 and max(sizes) < 200
+    assert {r.record_id for r in search_index.search_index(spark, str(tmp_path), "MMO").collect()} == {f"r{i}" for i in range(1000)}
+    assert search_index.search_index(spark, str(tmp_path), "r99").count() == 11
+
+
 def test_long_texts_look_at_their_likely_holders_alone(spark, monkeypatch):
     import random
 
