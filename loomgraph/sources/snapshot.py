@@ -5,9 +5,9 @@ Folders below a path: ``rows`` (partitioned by bucket: a row for each record, an
 word are or-ed with it) and ``settings`` (buckets, and words of a bucket's filter).
 
 ``upsert_graph`` gives what ``records.merge_graphs`` gives for the old graph and the new one: a record of the new graph
-replaces the old one with all its attributes. Ids that the filter has never seen are surely new and are only appended;
-the buckets of the others are read, put together and written anew, and no other bucket is read. The filter is extended
-first, so an upsert that was interrupted may be run again. Attributes without a record are left out; null ids as well.
+replaces the old one with all its attributes. Ids that the filter has never seen are surely new; the others are looked for
+among the ids of their buckets. Buckets that have any are read, put together and written anew, and what goes into others is
+only appended. A large bucket is written by several tasks (rebalanced), a file each. The filter is extended first, so an upsert that was interrupted may be run again. Attributes without a record are left out; null ids as well.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ def _rows(records: DataFrame, attributes: DataFrame, buckets: int) -> DataFrame:
     """Rows of a graph in which an id stands for one record."""
     one = records.where("record_id is not null").groupBy("record_id").agg(F.max(F.struct("pid", "kind")).alias("own")).select("record_id", "own.pid", "own.kind")
     none = lambda *names: {n: F.lit(None).cast("string") for n in names}
-    own = as_set(attributes.select("record_id", "key", "value", "value_type")).join(one.select("record_id"), "record_id", "left_semi")
+    own = as_set(attributes.select("record_id", "key", "value", "value_type").join(one.select("record_id"), "record_id", "left_semi"))
     both = one.withColumns(none("key", "value", "value_type") | {"is_record": F.lit(True)}).unionByName(own.withColumns(none("pid", "kind") | {"is_record": F.lit(False)}))
     return both.withColumn("bucket", F.pmod(F.xxhash64("record_id"), F.lit(buckets)).cast("int"))
 
@@ -43,11 +43,17 @@ def _add_to_filter(ids: DataFrame, words: int, path: str) -> None:
     _bits(ids, words).groupBy("bucket", "word").agg(F.bit_or("bit").alias("bits")).repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{path}/filter")
 
 
+def _put(rows: DataFrame, mode: str, path: str) -> None:
+    """Write rows into their buckets; a bucket that is too large for a task is split."""
+    dealt = rows.hint("rebalance", F.col("bucket"))
+    dealt.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(f"{path}/rows")
+
+
 def write_snapshot(records: DataFrame, attributes: DataFrame, path: str, *, buckets: int = 256, bits_of_id: int = 12) -> None:
     """Write a graph. bits_of_id: of the filter; with 12, about 1 of 150 new ids has its bucket rewritten for nothing."""
     spark = records.sparkSession
     rows = _rows(records, attributes, buckets)
-    rows.repartition("bucket").write.partitionBy("bucket").parquet(f"{path}/rows")
+    _put(rows, "errorifexists", path)
     ids = spark.read.schema(ROWS).parquet(f"{path}/rows").where("is_record").select("record_id", "bucket")
     words = max(1, -(-ids.count() * bits_of_id // (64 * buckets)))
     spark.createDataFrame([(buckets, words)], "buckets int, words int").write.parquet(f"{path}/settings")
@@ -67,16 +73,18 @@ def upsert_graph(spark: SparkSession, path: str, records: DataFrame, attributes:
     settings = spark.read.parquet(f"{path}/settings").first()
     new = materialize(_rows(records, attributes, settings["buckets"]), "new-rows")
     ids = new.where("is_record").select("record_id", "bucket")
-    known = maybe_known(spark, path, ids)
-    touched = sorted(r["bucket"] for r in known.select("bucket").distinct().collect())  # settings["buckets"] numbers at most
+    maybe = materialize(maybe_known(spark, path, ids), "maybe-known")
+    buckets = lambda t: sorted(r["bucket"] for r in t.select("bucket").distinct().collect())  # noqa: E731  settings["buckets"] numbers at most
+    there = spark.read.schema(ROWS).parquet(f"{path}/rows").where("is_record")
+    likely = buckets(maybe)
+    touched = buckets(maybe.join(there.where(F.col("bucket").isin(likely)).select("record_id", "bucket"), ["record_id", "bucket"], "left_semi")) if likely else []
     _add_to_filter(ids, settings["words"], path)
     if touched:
         old = spark.read.schema(ROWS).parquet(f"{path}/rows").where(F.col("bucket").isin(touched))
         merged = old.join(ids.select("record_id"), "record_id", "left_anti").unionByName(new.where(F.col("bucket").isin(touched)))
-        merged = materialize(merged, "merged")  # before its own source is replaced
-        merged.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(f"{path}/rows")
+        _put(merged, "overwrite", path)  # dynamic: buckets are staged, and replace what was read when all are written
     rest = new.where(~F.col("bucket").isin(touched)) if touched else new
-    rest.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{path}/rows")
+    _put(rest, "append", path)
     return touched
 
 

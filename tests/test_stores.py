@@ -78,3 +78,21 @@ def test_searches_equal_a_scan(spark, tmp_path):
     assert "PushedFilters: [In(g, " in plan
     search_index.write_index(own.limit(0), pairs, f"{tmp_path}/empty")
     assert search_index.search_index(spark, f"{tmp_path}/empty", "alpha").count() == 0
+
+
+def test_new_records_rewrite_nothing_and_a_bucket_is_written_by_several_tasks(spark, tmp_path):
+    path = f"{tmp_path}/s"
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+    try:
+        old = graph_of(spark, [f"id{i}" for i in range(4000)], "old")
+        snapshot.write_snapshot(*(t.repartition(4) for t in old), path, buckets=2, bits_of_id=1)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = files(path)
+    assert all(len(before[f"bucket={b}"]) > 1 for b in range(2))
+    # a filter this small takes new ids for known ones
+    fresh = graph_of(spark, [f"fresh{i}" for i in range(100)], "fresh")
+    assert snapshot.upsert_graph(spark, path, *fresh) == []
+    after = files(path)
+    assert all(before[f"bucket={b}"] < after[f"bucket={b}"] for b in range(2))
+    same(snapshot.read_snapshot(spark, path), records.merge_graphs([old, fresh]))
