@@ -127,11 +127,35 @@ def trimmed(edges: DataFrame, passes: int = 2) -> DataFrame:
     return materialize(edges, "trimmed")
 
 
+def single_ways(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(circles, settled): the circles of edges (src, dst) whose nodes have one way in each, as node and component, its
+    largest node; and the nodes that such circles, or nodes without a way in, lead to by single ways. None of the settled
+    lies on another circle: each way back would have to come in by a single way.
+
+    A node knows the one before it, then the second, the fourth: rounds grow with the logarithm of the longest single way.
+    A node without a way in comes before itself. The largest node met on the way is known too; where no round changes it,
+    ways are longer than all circles, and where a round also leaves the starts of all ways as they were, these are the
+    nodes of the circles.
+    """
+    ends = edges.select(F.col("dst").alias("node"), F.col("src").alias("before")).union(edges.select("src", F.lit(None).cast(edges.schema["src"].dataType)))
+    ways = ends.groupBy("node").agg(F.count("before").alias("n"), F.min("before").alias("before")).where("n < 2")
+    ways = materialize(ways.select("node", F.coalesce("before", "node").alias("before")).withColumn("top", F.col("before")), "ways")
+    while ways.head(1):
+        farther = ways.select(F.col("node").alias("before"), F.col("before").alias("start"), F.col("top").alias("far"))
+        met = ways.join(farther, "before").select("node", F.col("start").alias("before"), F.greatest("top", "far").alias("top"), (F.col("far") > F.col("top")).alias("changed"))
+        last, ways = ways, materialize(met, "ways")
+        if not ways.where("changed").head(1) and not last.join(ways.select("before"), "before", "left_anti").head(1):
+            break
+    circles = ways.join(ways.select(F.col("before").alias("node")), "node", "left_semi").select("node", F.col("top").alias("component"))
+    return circles, ways.select("node")
+
+
 def strong_components(edges: DataFrame) -> DataFrame:
     """node and component (its largest node) of the nodes on circles of edges (src, dst); other nodes may be missing, or be
     components of their own.
 
-    Forward and backward reach, from one node of every component at once: each node takes the largest node that reaches it
+    What has a single way in is settled first, by doubling (``single_ways``), then what has a single way out. The rest is
+    forward and backward reach, from one node of every component at once: each node takes the largest node that reaches it
     as its colour, and of each colour what reaches its own name within the colour is that node's component. These nodes and
     edges between colours leave, and the rest goes round again. Only what changed last is sent on, edges that can't lie on
     a circle are trimmed first, and each step is written to the shared folder; steps grow with the longest of the
@@ -140,6 +164,11 @@ def strong_components(edges: DataFrame) -> DataFrame:
     left = materialize(edges.select("src", "dst").where("src is not null and dst is not null and src <> dst").distinct(), "edges")
     parts = [left.select(F.col("src").alias("node"), F.col("src").alias("component")).limit(0)]
     while True:
+        for ways in (["src", "dst"], ["dst", "src"]):
+            if left.head(1):
+                circles, settled = single_ways(left.select(*ways).toDF("src", "dst"))
+                parts.append(circles)
+                left = materialize(left.join(settled.withColumnRenamed("node", "src"), "src", "left_anti").join(settled.withColumnRenamed("node", "dst"), "dst", "left_anti").select("src", "dst"), "edges")
         left = trimmed(left)
         if not left.head(1):
             break
@@ -173,11 +202,13 @@ def strong_components(edges: DataFrame) -> DataFrame:
 def traversal_report(visited: DataFrame, edges: DataFrame, *, max_depth: int = 3) -> DataFrame:
     """src, dst, depth and reason of every edge from a visited node: visited; cycle, where the edge leads back to what led to
     it; another way, where it leads to a node that was visited otherwise; or max depth, where it was skipped."""
-    met = edges.select("src", "dst").distinct().join(visited.select(F.col("node").alias("src"), "depth"), "src")
+    met = edges.select("src", "dst").join(visited.select(F.col("node").alias("src"), "depth"), "src").distinct()  # dealt by src once for both
     met = materialize(met.join(visited.select(F.col("node").alias("dst"), F.col("depth").alias("dst_depth")), "dst", "left"), "met")
     parts = strong_components(met.where("dst_depth is not null"))
     of = lambda end: parts.select(F.col("node").alias(end), F.col("component").alias(f"{end}_part"))
-    met = met.join(of("src"), "src", "left").join(of("dst"), "dst", "left")
+    first = F.col("dst_depth").isNull() | (F.col("dst_depth") == F.col("depth") + 1)
+    plain = met.where(first).withColumn("reason", F.when(F.col("dst_depth").isNull(), "max depth").otherwise("visited"))
+    again = met.where(~first).join(of("src"), "src", "left").join(of("dst"), "dst", "left")  # these alone ask for circles
     circle = (F.col("src") == F.col("dst")) | F.coalesce(F.col("src_part") == F.col("dst_part"), F.lit(False))
-    reason = F.when(F.col("dst_depth").isNull(), "max depth").when(F.col("dst_depth") == F.col("depth") + 1, "visited").when(circle, "cycle").otherwise("another way")
-    return met.select("src", "dst", "depth", reason.alias("reason"))
+    again = again.withColumn("reason", F.when(circle, "cycle").otherwise("another way"))
+    return plain.select("src", "dst", "depth", "reason").union(again.select("src", "dst", "depth", "reason"))

@@ -326,7 +326,7 @@ def trade_edges(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     name = lambda p, c: F.concat(F.lit(f"{p}:"), F.col(c))
     edge = lambda t, a, b: table(spark, d, t).select(a.alias("src"), b.alias("dst"))
     o, c, n = edge("orders", name("o", "o_orderkey"), name("c", "o_custkey")), edge("customer", name("c", "c_custkey"), name("n", "c_nationkey")), edge("nation", name("n", "n_nationkey"), name("r", "n_regionkey"))
-    return table(spark, d, "orders").where("o_orderstatus = 'F'").select(name("o", "o_orderkey").alias("node")), o.union(c).union(n).union(n.select("dst", "src")).distinct()
+    return table(spark, d, "orders").where("o_orderstatus = 'F'").select(name("o", "o_orderkey").alias("node")), o.union(c).union(n).union(n.select("dst", "src"))
 
 
 @query(f"WITH RECURSIVE {REACHED} SELECT node, depth::INT AS depth FROM best")

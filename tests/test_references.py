@@ -85,3 +85,31 @@ def test_levels_leave_edges_and_visited_where_they_lie(spark, monkeypatch):
     assert {r.node: r.depth for r in found.collect()} == depth and found.count() == len(depth)
     assert plans[2].count("Exchange ") == 1 and "SortMergeJoin" in plans[2], plans[2]
     assert not [t for t in spark.catalog.listTables() if t.name.startswith(("edges_", "visited_"))]
+
+
+def test_long_single_ways_take_few_rounds(spark, monkeypatch):
+    """Circles of 40 nodes with a tail, and chains of 40 in both directions, are settled by doubling: no colour goes round."""
+    written, materialize = [], references.materialize
+
+    def seen(df, name):
+        written.append(name)
+        return materialize(df, name)
+
+    monkeypatch.setattr(references, "materialize", seen)
+    node = lambda c, i: f"{c}{i:02}"
+    chain = lambda c, n: [(node(c, i), node(c, i + 1)) for i in range(n)]
+    rings = [e for c in "ab" for e in (*chain(c, 39), (node(c, 39), node(c, 0)), (node(c, 7), f"{c}tail00"), *((f"{c}tail{i:02}", f"{c}tail{i + 1:02}") for i in range(50)))]
+    turned = [(b, a) for a, b in chain("d", 40)]
+    check(spark, [*rings, *chain("c", 40), *turned, *((node(c, i), "hub") for c in "abcd" for i in range(0, 40, 9)), ("hub", "x"), ("x", "hub")])
+    assert len(written) < 40, written
+
+
+def test_components_of_many_small_graphs(spark):
+    """Rings, tails and trees of both directions, joined at random: as a plain search finds them."""
+    rng, edges = random.Random(5), []
+    for g in range(60):
+        size = rng.randrange(2, 9)
+        edges += [(f"g{g}n{i}", f"g{g}n{(i + 1) % size}") for i in range(size - rng.randrange(2))]
+        edges += [(f"g{g}n{rng.randrange(size)}", f"g{g}n{rng.randrange(size)}") for _ in range(rng.randrange(4))]
+        edges += [(f"g{g}n{rng.randrange(size)}", f"g{rng.randrange(60)}n0") for _ in range(rng.randrange(2))]
+    check(spark, edges)
