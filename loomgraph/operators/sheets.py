@@ -115,6 +115,11 @@ def test_field() -> Column:
 def parse_tests(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(tests, errors): a row for each sheet with both dates, later lines over earlier ones; other sheets, and numbers
     that can't be read, are errors. file_references are the files that lines mention, sorted."""
+    return judge_tests(fold_tests(lines))
+
+
+def fold_tests(lines: DataFrame) -> DataFrame:
+    """A row for each sheet: the texts of its fields, the files that it mentions, and what can't be read of it (unread)."""
     value = F.col("information")
     typed = {
         "date_test_start": parse_timestamp(value).cast("string"),
@@ -129,10 +134,16 @@ def parse_tests(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
         read = F.when(F.col("field") == name, column) if read is None else read.when(F.col("field") == name, column)
     fields = lines.withColumn("field", test_field()).withColumn("read", read.otherwise(value))
     mentions = F.regexp_extract_all("information", F.lit('(?i)See file "([^"]+)"'), 1)
-    folded = fields.groupBy("key").agg(
+    strict = ("specified_temperature", "initial_stress", "percentage_creep_extension", "date_test_start", "date_test_end")
+    return fields.groupBy("key").agg(
         *[F.max_by("read", F.when((F.col("field") == n) & F.col("read").isNotNull(), F.col("line_no"))).alias(n) for n in FIELDS],
         F.array_sort(F.array_distinct(F.flatten(F.collect_list(mentions)))).alias("file_references"),  # of one sheet
+        F.collect_list(F.when(F.col("field").isin(*strict) & F.col("read").isNull(), F.struct("line_no", "field"))).alias("unread"),  # of one sheet
     )
+
+
+def judge_tests(folded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(tests, errors) of folded sheets. Both read them, so a job writes them first."""
     stamp = lambda n: F.col(n).cast("timestamp_ntz").alias(n)
     number = lambda n: F.col(n).cast("double").alias(n)
     tests = folded.select(
@@ -142,8 +153,7 @@ def parse_tests(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     dated = F.col("date_test_start").isNotNull() & F.col("date_test_end").isNotNull()
     error = lambda df, kind, message: df.select(F.col("key").alias("test_id"), F.lit(None).cast("string").alias("filename"), F.lit(kind).alias("error_type"), message.alias("message"))
     undated = error(tests.where(~dated), "PARSE_ERROR", F.lit("missing dates"))
-    strict = ("specified_temperature", "initial_stress", "percentage_creep_extension", "date_test_start", "date_test_end")
-    unread = error(fields.where(F.col("field").isin(*strict) & F.col("read").isNull()), "VALUE_ERROR", F.concat(F.lit("line "), F.col("line_no").cast("string"), F.lit(": "), "field"))
+    unread = error(folded.select("key", F.inline("unread")), "VALUE_ERROR", F.concat(F.lit("line "), F.col("line_no").cast("string"), F.lit(": "), "field"))
     return tests.where(dated), undated.unionByName(unread)
 
 

@@ -16,7 +16,7 @@ def collection_labels(records: DataFrame, attributes: DataFrame, *, key: str = "
     """record_id and collection: datasets that have parts, and all that their parts lead down to, are labelled by the
     dataset; a record below several has a row for each. What is below none has the label '' (so a graph that names no
     parts is one collection). Circles of parts end; levels are written to the shared folder."""
-    own = attributes.where(F.col("key") == key).select("record_id", F.col("value").alias("part")).distinct()
+    own = materialize(attributes.where(F.col("key") == key).select("record_id", F.col("value").alias("part")).distinct(), "parts")  # each level reads it
     roots = records.where("kind = 'dataset'").select("record_id").join(own, "record_id", "left_semi").distinct()
     labels = frontier = materialize(roots.withColumn("collection", F.col("record_id")), "labels")
     while frontier.head(1):
@@ -32,26 +32,22 @@ def repeated_values(ids: DataFrame, values: DataFrame) -> DataFrame:
     return matching.salted_join(ids, values, "collection").select("record_id", "key", "value", F.lit("string").alias("value_type"))
 
 
-def build_experiment_graph(graph_records: DataFrame, attributes: DataFrame, landed: DataFrame, *, test_prefix: str = "Vh5205_") -> dict[str, DataFrame]:
-    """records, attributes (with backlinks) and errors. landed: key (checksum) and content of the sheets.
-
-    A dataset with parts is a collection (``collection_labels``). Its tests are made of its own files, complemented by its
-    own, and mention its own; its creators, affiliations and images are repeated by each of its experiments and
-    materials, as attribute rows, and its keywords by those that have none of their own. A file of several datasets
-    serves in each; a sheet is parsed once. Sheets are in the order of their names; a material is described by its first
-    test in the order of their ids, of the first collection if several share it.
-    """
+def read_experiments(graph_records: DataFrame, attributes: DataFrame, landed: DataFrame, *, test_prefix: str = "Vh5205_") -> dict[str, DataFrame]:
+    """tests with their collections, refs (files that tests mention), hit (those found), labels, complements (other) and
+    errors: all that is read from the sheets. Sheets that are asked for are written once, and so is what each says."""
     by = ["collection"]
     labels = collection_labels(graph_records, attributes)
     names = attributes.where("key = 'name'").select("record_id", F.col("value").alias("name"))
-    file_names = names.join(graph_records.where("kind = 'file'").select("record_id"), "record_id", "left_semi").join(labels, "record_id")
-    files = materialize(file_names.where(F.lower("name").endswith(".lis")).withColumn("pos", F.struct("name", "record_id")), "sheets")
+    file_names = materialize(names.join(graph_records.where("kind = 'file'").select("record_id"), "record_id", "left_semi").join(labels, "record_id"), "names")
+    files = file_names.where(F.lower("name").endswith(".lis")).withColumn("pos", F.struct("name", "record_id"))
     collections, incomplete = sheets.test_collections(sheets.pick_files(sheets.classify_files(files, test_prefix=test_prefix), by), by)
     collections = materialize(collections, "collections")
     other, common_id = sheets.complementary_files(files, by), sheets.common_file(files, by)  # a row for each collection
 
     sheet_of = collections.select(F.col("md_tr").alias("key"), F.col("test_id").alias("own_id")).distinct()
-    parsed, unread = sheets.parse_tests(sheets.sheet_lines(landed.join(sheet_of, "key", "left_semi")))
+    asked = sheet_of.select("key").union(common_id.select("record_id")).distinct()
+    landed = materialize(landed.select("key", "content").join(asked, "key", "left_semi"), "landed")
+    parsed, unread = sheets.judge_tests(materialize(sheets.fold_tests(sheets.sheet_lines(landed.join(sheet_of, "key", "left_semi"))), "folded"))
     tests = parsed.join(collections.select("collection", F.col("md_tr").alias("key"), F.col("test_id").alias("own_id")), "key")
     tests = tests.withColumn("test_id", F.when(F.col("test_id") == F.col("key"), F.col("own_id")).otherwise(F.col("test_id"))).drop("key", "own_id")
     unread = unread.join(sheet_of.withColumnRenamed("key", "test_id"), "test_id").withColumn("test_id", F.col("own_id")).drop("own_id")
@@ -61,6 +57,24 @@ def build_experiment_graph(graph_records: DataFrame, attributes: DataFrame, land
 
     refs = tests.select("collection", "test_id", F.explode("file_references").alias("ref"))
     hit, missing = matching.resolve_file_refs(refs, file_names, by="collection")
+    errors = incomplete.unionByName(sheets.fetch_errors(collections.select("test_id", "md_tr").distinct(), landed)).unionByName(unread)
+    warnings = missing.select(F.lit(None).cast("string").alias("test_id"), F.col("ref").alias("filename"), F.lit("UNRESOLVED_FILE").alias("error_type"), F.lit("no file record has this name").alias("message"))
+    return {"tests": tests, "collections": collections, "refs": refs, "hit": hit, "labels": labels, "other": other, "errors": errors.unionByName(warnings)}
+
+
+def build_experiment_graph(graph_records: DataFrame, attributes: DataFrame, landed: DataFrame, *, test_prefix: str = "Vh5205_") -> dict[str, DataFrame]:
+    """records, attributes (with backlinks) and errors. landed: key (checksum) and content of the sheets.
+
+    A dataset with parts is a collection (``collection_labels``). Its tests are made of its own files, complemented by its
+    own, and mention its own; its creators, affiliations and images are repeated by each of its experiments and
+    materials, as attribute rows, and its keywords by those that have none of their own. A file of several datasets
+    serves in each; a sheet is parsed once. Sheets are in the order of their names; a material is described by its first
+    test in the order of their ids, of the first collection if several share it. Errors come from the reading alone
+    (``read_experiments``): who wants no graph needs no more.
+    """
+    by = ["collection"]
+    read = read_experiments(graph_records, attributes, landed, test_prefix=test_prefix)
+    tests, collections, refs, hit, labels, other = (read[k] for k in ("tests", "collections", "refs", "hit", "labels", "other"))
     linked = refs.join(hit, ["collection", "ref"]).groupBy("collection", "test_id").agg(F.array_sort(F.collect_set("record_id")).alias("referenced_files"))  # of one sheet
     none = F.array().cast("array<string>")
     full = tests.join(linked, ["collection", "test_id"], "left").withColumn("referenced_files", F.coalesce("referenced_files", none))
@@ -93,6 +107,4 @@ def build_experiment_graph(graph_records: DataFrame, attributes: DataFrame, land
     of_tests = repeated_values(test_ids, people).unionByName(repeated_values(test_ids.where("bare"), words))
     with_more = lambda made, more: (made[0], as_set(made[1].unionByName(more)))
     merged_records, merged = records.merge_graphs([(graph_records, attributes), with_more(records.material_records(materials), of_materials), with_more(records.experiment_records(experiments), of_tests)])
-    errors = incomplete.unionByName(sheets.fetch_errors(collections.select("test_id", "md_tr").distinct(), landed)).unionByName(unread)
-    warnings = missing.select(F.lit(None).cast("string").alias("test_id"), F.col("ref").alias("filename"), F.lit("UNRESOLVED_FILE").alias("error_type"), F.lit("no file record has this name").alias("message"))
-    return {"records": merged_records, "attributes": graph.with_backlinks(merged, merged_records), "errors": errors.unionByName(warnings)}
+    return {"records": merged_records, "attributes": graph.with_backlinks(merged, merged_records), "errors": read["errors"]}

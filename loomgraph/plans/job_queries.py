@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loomgraph.functions.vocabulary import BACKLINK_RULES, PROFILES
 from loomgraph.operators import quality, sheets
 from loomgraph.plans.adapters import landed, table
-from loomgraph.plans.experiment import build_experiment_graph
+from loomgraph.plans.experiment import build_experiment_graph, read_experiments
 from loomgraph.plans.more_queries import PARTS, TESTS, test_lines
 from loomgraph.plans.queries import CONCEPT, OC, scratch, values
 from loomgraph.plans.repository import build_repository_graph
@@ -74,8 +74,8 @@ def a6_n10_registry_rules(spark: SparkSession, d: str) -> DataFrame:
 # ---- the experiment job
 
 
-def experiment_job(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """Users as tests: their events are the lines of a sheet. Suppliers are images and drawings, nations complement the
+def experiment_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Records, attributes and landed sheets. Users as tests: their events are the lines of a sheet. Suppliers are images and drawings, nations complement the
     tests, regions are the datasets: three of them have parts, and some drawings are parts of two. Some tests lack a file,
     and some sheets haven't landed."""
     u, s, n, r = (table(spark, d, "events").select(F.col("user_id").alias("u")).distinct(), *(table(spark, d, t) for t in ("supplier", "nation", "region")))
@@ -114,7 +114,7 @@ def experiment_job(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     landed = lines.groupBy("u").agg(content.alias("content")).where("cast(u as bigint) % 11 <> 0").select(text("md5:m", F.col("u")).alias("key"), "content")
     common = F.concat_ws("\r\n", line(F.lit("x"), F.lit("Material Identifier"), text("common material ", nation)), line(F.lit("x"), F.lit("Test standard"), F.lit("common:1")))
     landed = landed.union(n.where("n_nationkey % 8 = 7").select(text("md5:n", nation), common))
-    return build_experiment_graph(own, attributes, landed)
+    return own, attributes, landed
 
 
 def seconds_text(s: str) -> str:
@@ -162,7 +162,7 @@ rules(f, b) AS (VALUES {values(BACKLINK_RULES)})"""
 
 @query(f"WITH {JOB} SELECT record_id, key, value FROM attributes UNION SELECT value, b, a.record_id FROM attributes a JOIN rules ON key = f WHERE value IN (SELECT record_id FROM ids)")
 def l18_experiment_graph(spark: SparkSession, d: str) -> DataFrame:
-    return experiment_job(spark, d)["attributes"].select("record_id", "key", "value").distinct()
+    return build_experiment_graph(*experiment_inputs(spark, d))["attributes"].select("record_id", "key", "value").distinct()
 
 
 @query(f"""WITH {JOB}, landed AS (SELECT user_id, event_id FROM events WHERE user_id % 7 <> 0 AND user_id % 11 <> 0),
@@ -171,7 +171,7 @@ er AS (SELECT 'INCOMPLETE_FILES' AS error_type, 'Vh5205_C-' || u AS test_id FROM
   UNION ALL SELECT 'UNRESOLVED_FILE', NULL FROM (SELECT DISTINCT ds, ref FROM asked JOIN ok USING (tid)) WHERE (ds, ref) NOT IN (SELECT (ds, 'Form' || s_suppkey || '.pdf') FROM drawn WHERE s_suppkey % 4 = 2))
 SELECT 'type' AS scope, error_type, NULL AS test_id, count(*) AS n FROM er GROUP BY error_type UNION ALL SELECT 'test', error_type, test_id, count(*) FROM er WHERE test_id IS NOT NULL GROUP BY error_type, test_id""")
 def l18_l11_experiment_errors(spark: SparkSession, d: str) -> DataFrame:
-    return sheets.error_report(experiment_job(spark, d)["errors"])
+    return sheets.error_report(read_experiments(*experiment_inputs(spark, d))["errors"])
 
 
 # ---- the repository job

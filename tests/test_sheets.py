@@ -103,6 +103,23 @@ def test_experiments_of_two_datasets_stay_apart(spark):
         assert not {v for _, v in material} & {f"md5:{3 - i}h", f"md5:{3 - i}g", f"md5:{3 - i}f"}
 
 
+def test_sheets_and_graph_are_read_once(spark, tmp_path):
+    """Errors are told from what was written of the sheets: neither the sheets nor the graph are read again for them."""
+    names = {f"md5:{kind}{i}": name for i in (1, 2, 3) for kind, name in (("m", f"Vh5205_MD-TR_C-{i}.LIS"), ("c", f"Vh5205_C-{i}-Creep.LIS"), ("l", f"Vh5205_C-{i}-Loading.LIS"))}
+    given = {
+        "records": spark.createDataFrame([(k, "", "file") for k in names], "record_id string, pid string, kind string"),
+        "attributes": spark.createDataFrame([(k, "name", n, "string") for k, n in names.items()], "record_id string, key string, value string, value_type string"),
+        "landed": spark.createDataFrame([("md5:m1", SHEET.replace("980", "hot")), ("md5:m2", "nothing"), ("md5:x", SHEET)], "key string, content string"),
+    }
+    for name, df in given.items():
+        df.write.parquet(str(tmp_path / name))
+    errors = build_experiment_graph(*(spark.read.parquet(str(tmp_path / name)) for name in given))["errors"]
+    found = sorted((r.error_type, r.test_id or r.filename, r.message) for r in errors.collect())
+    unresolved = [("UNRESOLVED_FILE", "FormA.pdf"), ("UNRESOLVED_FILE", "Vh5205_Complementary_Ch.-Comp.-measured.LIS")]
+    assert [f[:2] for f in found] == [("FETCH_ERROR", "Vh5205_C-3"), *unresolved, ("VALUE_ERROR", "Vh5205_C-1")] and found[-1][2].endswith(": specified_temperature")
+    assert not [f for f in errors.inputFiles() if str(tmp_path) in f]
+
+
 def test_salted_join_splits_hot_keys(spark):
     left = spark.createDataFrame([("hot", i) for i in range(500)] + [("cold", 1), (None, 2), ("alone", 3)], "k string, i long")
     right = spark.createDataFrame([("hot", "x"), ("hot", "y"), ("cold", "z"), ("other", "w"), (None, "n")], "k string, v string")
