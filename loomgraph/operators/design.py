@@ -37,22 +37,34 @@ class Design:
     backlinks: Sequence[tuple[str, str]] = field(default=())
 
 
-def pairs(entries: Sequence[Entry]) -> Column:
-    """All entries as one array of (key, value, value_type)."""
+def pairs(entries: Sequence[Entry], *, once: bool = False) -> Column:
+    """All entries as one array of (key, value, value_type); with once, an entry has each of its values once."""
 
     def one(e: Entry) -> Column:
         text = (lambda v: number_text(v)) if e.value_type == "double" else (lambda v: v.cast("string"))
         make = lambda v: F.struct(F.lit(e.key).alias("key"), text(v).alias("value"), F.lit(e.value_type).alias("value_type"))
         none = F.array().cast("array<struct<key: string, value: string, value_type: string>>")
-        return F.coalesce(F.transform(e.value, make), none) if e.many else F.array(make(e.value))
+        values = F.array_distinct(e.value) if e.many and once else e.value
+        return F.coalesce(F.transform(values, make), none) if e.many else F.array(make(e.value))
 
     return F.flatten(F.array(*map(one, entries)))
 
 
-def attribute_rows(df: DataFrame, record_id: Column, entries: Sequence[Entry]) -> DataFrame:
-    """record_id, key, value, value_type: the set of all non-null values."""
-    rows = df.select(record_id.alias("record_id"), F.explode(pairs(entries)).alias("p")).select("record_id", "p.*")
-    return as_set(rows.where("record_id is not null and value is not null"))
+def attribute_rows(df: DataFrame, record_id: Column, entries: Sequence[Entry], *, alone: Column | None = None) -> DataFrame:
+    """record_id, key, value, value_type: the set of all non-null values.
+
+    alone: true for rows whose id no other row has. Their values are a set within the row, so they aren't dealt; keys of
+    the entries differ then, and arrays are of strings."""
+
+    def rows(own: DataFrame, once: bool) -> DataFrame:
+        made = own.select(record_id.alias("record_id"), F.explode(pairs(entries, once=once)).alias("p")).select("record_id", "p.*")
+        return made.where("record_id is not null and value is not null")
+
+    if alone is None:
+        return as_set(rows(df, False))
+    if len({e.key for e in entries}) < len(entries) or any(e.many and e.value_type != "string" for e in entries):
+        raise ValueError("rows are sets by themselves only where keys differ and arrays are of strings")
+    return rows(df.where(alone), True).unionByName(as_set(rows(df.where(~alone), False)))
 
 
 def as_set(attributes: DataFrame) -> DataFrame:

@@ -15,7 +15,9 @@ def infer_backlinks(attributes: DataFrame, records: DataFrame, rules: object = B
 
     All rules apply once, to the attributes given. Rules are a small table; receivers are joined on their ids."""
     table = pairs_table(attributes.sparkSession, rules, "key", "back")
-    forward = attributes.join(table, "key").select(F.col("value").alias("record_id"), F.col("back").alias("key"), F.col("record_id").alias("value"))
+    keys = sorted({k for k, _ in (rules.items() if isinstance(rules, dict) else rules)})
+    own = attributes.where(F.col("key").isin(keys))  # said here: the receivers' join may come before that of the rules
+    forward = own.join(table, "key").select(F.col("value").alias("record_id"), F.col("back").alias("key"), F.col("record_id").alias("value"))
     found = forward.join(records.select("record_id"), "record_id", "left_semi").withColumn("value_type", F.lit("string"))
     return as_set(found)
 
@@ -37,11 +39,15 @@ def consequences(rules: object) -> list[tuple[str, bool, bool, str]]:
     return found
 
 
-def with_backlinks(attributes: DataFrame, records: DataFrame, rules: object = BACKLINK_RULES, *, fixpoint: bool = False) -> DataFrame:
-    """attributes and what follows from them; with fixpoint, also what follows from that, until nothing is new.
+def with_backlinks(attributes: DataFrame, records: DataFrame, rules: object = BACKLINK_RULES, *, fixpoint: bool = False, is_set: bool = False) -> DataFrame:
+    """attributes and what follows from them; with fixpoint, also what follows from that, until nothing is new. is_set: the
+    attributes are a set, so only those of keys that a rule concludes are compared with what follows.
 
     Each rule has one premise, so the fixpoint is that of the rules alone (``consequences``): attributes meet it once, with
     what is known of their ends, and no round is written."""
+    if not fixpoint and is_set:
+        backs = F.coalesce(F.col("key").isin(sorted({b for _, b in (rules.items() if isinstance(rules, dict) else rules)})), F.lit(False))
+        return attributes.where(~backs).unionByName(as_set(attributes.where(backs).unionByName(infer_backlinks(attributes, records, rules))))
     if not fixpoint:
         return as_set(attributes.unionByName(infer_backlinks(attributes, records, rules)))
     follows = consequences(rules)

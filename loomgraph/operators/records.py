@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomgraph.functions.columns import clean_text, number_text
+from loomgraph.functions.shared import materialize
 from loomgraph.functions.vocabulary import PROFILES
 from loomgraph.operators.design import Entry, as_set, attribute_rows
 from loomgraph.operators.matching import not_yet_linked
@@ -30,8 +31,9 @@ def _records(inputs: DataFrame, record_id: str, kind: str) -> DataFrame:
     return inputs.select(F.col(record_id).alias("record_id"), F.lit("").alias("pid"), F.lit(kind).alias("kind"))
 
 
-def dataset_records(inputs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(records, attributes) of dataset contracts; a record is a version, its id the version's DOI."""
+def dataset_records(inputs: DataFrame, *, alone: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(records, attributes) of dataset contracts; a record is a version, its id the version's DOI. alone: true for
+    contracts whose DOI no other has, which aren't dealt."""
     of = lambda f: F.filter(F.transform("creators", lambda c: c[f]), lambda x: x != "")
     entries = [
         profiles("Base", "Versionable"),
@@ -49,11 +51,11 @@ def dataset_records(inputs: DataFrame) -> tuple[DataFrame, DataFrame]:
         some("landingPageLocation", "landing_page_url"),
         all_of("previewImage", "preview_images"),
     ]
-    return _records(inputs, "doi", "dataset"), attribute_rows(inputs, F.col("doi"), entries)
+    return _records(inputs, "doi", "dataset"), attribute_rows(inputs, F.col("doi"), entries, alone=alone)
 
 
-def file_records(inputs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(records, attributes) of file contracts; the id is the checksum."""
+def file_records(inputs: DataFrame, *, alone: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(records, attributes) of file contracts; the id is the checksum. alone: true for contracts whose checksum no other has."""
     entries = [
         profiles("Base", "DataResource", "Versionable"),
         Entry("name", F.col("filename")),
@@ -66,7 +68,7 @@ def file_records(inputs: DataFrame) -> tuple[DataFrame, DataFrame]:
         all_of("isPartOf", "dataset_versions"),
         some("landingPageLocation", "landing_page_url"),
     ]
-    return _records(inputs, "checksum", "file"), attribute_rows(inputs, F.col("checksum"), entries)
+    return _records(inputs, "checksum", "file"), attribute_rows(inputs, F.col("checksum"), entries, alone=alone)
 
 
 def publication_records(inputs: DataFrame, mentions: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -156,6 +158,20 @@ def merge_graphs(graphs: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame,
     return kept.drop("seq"), as_set(attributes.join(kept.select("record_id", "seq"), ["record_id", "seq"], "left_semi").drop("seq"))
 
 
+def overlay_graphs(graphs: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame, DataFrame]:
+    """What merge_graphs gives, for graphs whose attributes are sets and belong to records of their own graph: records are
+    compared by their ids, and attributes leave by what other graphs replace, so they aren't dealt where that is little."""
+    numbered = [(r.withColumn("seq", F.lit(seq)), a.withColumn("seq", F.lit(seq))) for seq, (r, a) in enumerate(graphs)]
+    records, attributes = numbered[0]
+    for r, a in numbered[1:]:
+        records, attributes = records.unionByName(r), attributes.unionByName(a)
+    latest = materialize(records.groupBy("record_id").agg(F.max(F.struct("seq", "pid", "kind")).alias("own"), F.min("seq").alias("first")), "records")
+    replaced = materialize(latest.where("first < own.seq").select("record_id", F.col("own.seq").alias("last")), "replaced")
+    if replaced.head(1):
+        attributes = attributes.join(replaced, "record_id", "left").where("last is null or seq = last").drop("last")
+    return latest.select("record_id", "own.pid", "own.kind"), attributes.select("record_id", "key", "value", "value_type")
+
+
 def latest_by(records: DataFrame, order: list, keys: tuple[str, ...] = ("record_id",)) -> DataFrame:
     """The last row of each key in an order (largest first)."""
     w = Window.partitionBy(*keys).orderBy(*order)

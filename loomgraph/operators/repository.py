@@ -60,22 +60,27 @@ def concept_defaults(records: DataFrame) -> DataFrame:
     return records.withColumn("concept_doi", F.coalesce("conceptdoi", "metadata.doi", F.lit(""))).withColumn("concept_recid", F.coalesce("conceptrecid", F.col("id").cast("string")))
 
 
-def build_versions(records: DataFrame, run_date: str) -> DataFrame:
-    """The version columns of landed records: label 1.0, empty title and run_date stand in for what is missing."""
+def build_versions(records: DataFrame, run_date: str, *more: Column) -> DataFrame:
+    """The version columns of landed records, and more: label 1.0, empty title and run_date stand in for what is missing."""
     m = F.col("metadata")
     license_ = F.when(m["license"]["id"].isNotNull() | m["license"]["url"].isNotNull(), F.struct(m["license"]["id"].alias("id"), m["license"]["title"].alias("name"), m["license"]["url"].alias("url")))
     return concept_defaults(records).select(
         "concept_doi", F.coalesce(m["doi"], F.lit("")).alias("version_doi"), F.col("id").alias("recid"), F.coalesce(m["version"], F.lit("1.0")).alias("version_label"),
         F.coalesce(m["title"], F.lit("")).alias("title"), m["description"].alias("description"),
         F.coalesce(F.try_to_date(m["publication_date"], "yyyy-MM-dd"), F.lit(run_date).cast("date")).alias("publication_date"),
-        license_.alias("license"), F.coalesce(m["keywords"], F.array().cast("array<string>")).alias("keywords"),
+        license_.alias("license"), F.coalesce(m["keywords"], F.array().cast("array<string>")).alias("keywords"), *more,
     )
 
 
 def build_creators(records: DataFrame) -> DataFrame:
     """version_doi, pos, name (default ''), affiliation and normalised orcid of every creator."""
     each = records.select(F.col("metadata.doi").alias("version_doi"), F.posexplode("metadata.creators").alias("pos", "c"))
-    return each.select("version_doi", "pos", F.coalesce("c.name", F.lit("")).alias("name"), F.col("c.affiliation").alias("affiliation"), normalize_orcid(F.col("c.orcid")).alias("orcid"))
+    return each.select("version_doi", creator(F.col("c"), F.col("pos")).alias("c")).select("version_doi", "c.*")
+
+
+def creator(c: Column, pos: Column) -> Column:
+    """pos, name, affiliation and orcid of a landed creator."""
+    return F.struct(pos.alias("pos"), F.coalesce(c["name"], F.lit("")).alias("name"), c["affiliation"].alias("affiliation"), normalize_orcid(c["orcid"]).alias("orcid"))
 
 
 def build_related(records: DataFrame) -> DataFrame:
@@ -101,8 +106,13 @@ def checksum_with_prefix(c: Column) -> Column:
 def build_files(records: DataFrame, url_base: str = "https://zenodo.org/records/") -> DataFrame:
     """version_doi, recid, pos, checksum, filename, size, mimetype and download_url (constructed where there is no link)."""
     each = records.select(F.col("metadata.doi").alias("version_doi"), F.col("id").alias("recid"), F.posexplode("files").alias("pos", "f"))
-    url = F.coalesce("f.links.self", F.concat(F.lit(url_base), F.col("recid").cast("string"), F.lit("/files/"), F.col("f.key")))
-    return each.select("version_doi", "recid", "pos", checksum_with_prefix(F.col("f.checksum")).alias("checksum"), F.col("f.key").alias("filename"), F.col("f.size").alias("size"), F.col("f.mimetype").alias("mimetype"), url.alias("download_url"))
+    return each.select("version_doi", landed_file(F.col("f"), F.col("pos"), F.col("recid"), url_base).alias("f")).select("version_doi", "f.*")
+
+
+def landed_file(f: Column, pos: Column, recid: Column, url_base: str = "https://zenodo.org/records/") -> Column:
+    """recid, pos, checksum, filename, size, mimetype and download_url of a landed file."""
+    url = F.coalesce(f["links"]["self"], F.concat(F.lit(url_base), recid.cast("string"), F.lit("/files/"), f["key"]))
+    return F.struct(recid.alias("recid"), pos.alias("pos"), checksum_with_prefix(f["checksum"]).alias("checksum"), f["key"].alias("filename"), f["size"].alias("size"), f["mimetype"].alias("mimetype"), url.alias("download_url"))
 
 
 def dedup_in_version(files: DataFrame, version: str = "version_doi") -> DataFrame:
@@ -175,9 +185,13 @@ def landing_page(doi: Column) -> Column:
     return F.concat(F.lit("https://doi.org/"), doi)
 
 
+def looks_like_image(mimetype: Column, filename: Column) -> Column:
+    return mimetype.isin(*IMAGE_TYPES) | F.lower(filename).rlike(IMAGE_NAMES)
+
+
 def preview_images(files: DataFrame, *, limit: int = 10, key: str = "version_doi", is_image: Column | None = None, url: str = "download_url") -> DataFrame:
     """key and preview_images: the addresses of a version's first images, in file order."""
-    image = F.col("mimetype").isin(*IMAGE_TYPES) | F.lower("filename").rlike(IMAGE_NAMES) if is_image is None else is_image
+    image = looks_like_image(F.col("mimetype"), F.col("filename")) if is_image is None else is_image
     ranked = files.where(image).withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy("pos"))).where(F.col("rank") <= limit)
     return ranked.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("rank", url))).alias("x")).select(key, F.transform("x", lambda r: r[url]).alias("preview_images"))
 
@@ -206,6 +220,98 @@ def file_inputs(registry: DataFrame, chains: DataFrame, licenses: DataFrame) ->
     )
 
 
+# The same steps on whole records. A landed record holds its version's files, so versions with their creators and files are
+# dealt once, by concept: what is of one version is worked out within its row, and what is of one concept where it lies.
+
+
+def packed(checksum: Column) -> Column:
+    """A checksum for a shuffle: md5 as 16 bytes, or any other as its text."""
+    usual = checksum.rlike("^md5:[0-9a-f]{32}$")
+    return F.struct(F.when(usual, F.unhex(F.substr(checksum, F.lit(5)))).alias("md5"), F.when(~usual, checksum).alias("text"))
+
+
+def unpacked(c: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("md5:"), F.lower(F.hex(c["md5"]))), c["text"])
+
+
+def whole_versions(records: DataFrame, run_date: str) -> DataFrame:
+    """build_versions with ordinal and links, and with the arrays related, creators and files of each record, dealt by concept."""
+    count, m = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col("metadata")
+    needed = F.struct(*[m[c].alias(c) for c in ("doi", "title", "description", "version", "publication_date", "license", "keywords", "creators", "related_identifiers")])
+    own = concept_defaults(records).select("id", "conceptdoi", "conceptrecid", F.col("concept_doi").alias("concept"), needed.alias("metadata"), F.transform("files", lambda f: f.withField("sum", packed(checksum_with_prefix(f["checksum"]))).dropFields("checksum")).alias("files"))
+    dealt = own.repartition(count, "concept")  # as it landed: what follows from it is wider
+    dealt = dealt.withColumn("files", F.transform("files", lambda f: f.withField("checksum", unpacked(f["sum"]))))
+    mention = lambda r, i: F.struct(i.alias("pos"), r["identifier"].alias("identifier"), r["relation"].alias("relation"), r["scheme"].alias("scheme"), r["resource_type"].alias("resource_type"))
+    related = F.filter(F.transform(m["related_identifiers"], mention), lambda r: r["relation"].isin(*RELATIONS)).alias("related")
+    creators, files = F.transform(m["creators"], creator).alias("creators"), F.transform("files", lambda f, i: landed_file(f, i, F.col("id"))).alias("files")
+    own = build_versions(dealt, run_date, m["doi"].alias("record_doi"), related, creators, files, F.col("concept"), F.col("id").alias("input_pos")).drop("concept_doi")
+    return version_links(order_versions(own)).drop("input_pos")
+
+
+def share_by_doi(versions: DataFrame) -> tuple[DataFrame, bool]:
+    """(versions, whether a version's DOI repeats): rows with repeated, and with license_place (the first ordinal with a license,
+    and its address). Creators and files belong to a DOI, so rows of one DOI have them in common; records without a DOI have none."""
+    own, named = versions.withColumn("license_place", F.when(F.col("license.url").isNotNull(), F.struct("ordinal", F.col("license.url").alias("url")))), F.col("record_doi").isNotNull()
+    mine = [F.when(named, F.col(c)).alias(c) for c in ("creators", "files")]
+    rest = [c for c in own.columns if c not in ("creators", "files")]
+    many = materialize(own.groupBy("version_doi").agg(F.count("*").alias("n")).where("n > 1").select("version_doi"), "repeated")  # few
+    if not many.head(1):
+        return own.select(*rest, *mine).withColumn("repeated", F.lit(False)), False
+    all_of = lambda c: F.flatten(F.collect_list(F.when(named, F.col(c)))).alias(f"{c}_")
+    common = own.join(many, "version_doi", "left_semi").groupBy("version_doi").agg(all_of("creators"), all_of("files"), F.min("license_place").alias("license_"), F.lit(True).alias("repeated_"))
+    met = own.select(*rest, *mine).join(materialize(common, "common"), "version_doi", "left").withColumn("repeated", F.col("repeated_").isNotNull())
+    for c in ("creators", "files"):
+        met = met.withColumn(c, F.when(F.col("repeated"), F.col(f"{c}_")).otherwise(F.col(c)))
+    met = met.withColumn("license_place", F.when(F.col("repeated"), F.col("license_")).otherwise(F.col("license_place")))
+    return met.drop("creators_", "files_", "license_", "repeated_"), True
+
+
+def dedup_in_row(versions: DataFrame) -> DataFrame:
+    """dedup_in_version within the array files of each row: of equal checksums the last file at the first one's position."""
+    same = lambda x, i: F.coalesce(F.get("in_order", i)["checksum"].eqNullSafe(x["checksum"]), F.lit(False))
+    sorted_ = versions.withColumn("in_order", F.sort_array(F.transform("files", lambda f: F.struct(f["checksum"].alias("checksum"), f["pos"].alias("pos"), f.alias("own")))))
+    first = F.filter("in_order", lambda x, i: (i == 0) | ~same(x, i - 1))
+    last = F.filter("in_order", lambda x, i: (i == F.size("in_order") - 1) | ~same(x, i + 1))
+    return sorted_.withColumn("files", F.zip_with(first, last, lambda a, b: b["own"].withField("pos", a["pos"]))).drop("in_order")
+
+
+def whole_dataset_inputs(versions: DataFrame, *, limit: int = 10) -> DataFrame:
+    """dataset_inputs of whole versions, whose organisations aren't known; repeated comes along."""
+    in_order = lambda files, c: F.transform(F.sort_array(F.transform(files, lambda f: F.struct(f["pos"], f[c].alias("of")))), lambda x: x["of"])
+    images = F.filter("files", lambda f: F.coalesce(looks_like_image(f["mimetype"], f["filename"]), F.lit(False)))
+    return versions.select(
+        F.col("version_doi").alias("doi"), "title", "description", "publication_date", "version_label",
+        F.transform("creators", lambda c: F.struct(c["orcid"].alias("orcid"), F.lit(None).cast("string").alias("ror_id"))).alias("creators"), "keywords",
+        F.col("prev_doi").alias("previous_version_doi"), F.col("next_doi").alias("next_version_doi"), F.col("latest_doi").alias("latest_version_doi"),
+        in_order(F.col("files"), "checksum").alias("files"), landing_page(F.col("version_doi")).alias("landing_page_url"),
+        F.slice(in_order(images, "download_url"), 1, limit).alias("preview_images"), "repeated",
+    )
+
+
+def whole_file_inputs(versions: DataFrame) -> DataFrame:
+    """latest_file_inputs of file_inputs (registry, chains and licenses) of whole versions: one pass over each concept's files
+    where they lie, then one shuffle by checksum."""
+    each = versions.select("concept", "version_doi", "ordinal", "license_place", F.explode("files").alias("f")).select("concept", "version_doi", "ordinal", "license_place", "f.checksum", "f.pos", "f.filename", "f.mimetype", "f.download_url")
+    w, spot = Window.partitionBy("concept", "filename").orderBy("ordinal", "pos"), F.struct("ordinal", "pos")
+    named = each.select("*", F.first(spot).over(w).alias("name_first"), F.lead("checksum").over(w).alias("after"), F.lag("checksum").over(w).alias("before"), F.lag(spot).over(w).alias("before_spot"))
+    place = F.struct("ordinal", "version_doi")
+    order = lambda other, at: F.when(F.col(other) != F.col("checksum"), F.struct("name_first", F.col(f"{at}ordinal").alias("o"), F.col(f"{at}pos").alias("p"), "filename"))
+    licensed = F.when(F.col("license_place").isNotNull(), F.struct("license_place.ordinal", "version_doi"))
+    met = named.groupBy("concept", "checksum").agg(
+        F.min_by(F.struct("filename", "mimetype", "download_url"), place).alias("own"),
+        F.array_sort(F.collect_set(place)).alias("places"),  # the versions of one file
+        F.max_by("before", order("before", "before_spot.")).alias("previous_version_checksum"), F.max_by("after", order("after", "")).alias("next_version_checksum"),
+        F.min_by("license_place.url", licensed).alias("license_url"),
+    )
+    sums = {"sum": "checksum", "prev": "previous_version_checksum", "next": "next_version_checksum"}
+    dealt = met.select("concept", *[packed(F.col(c)).alias(s) for s, c in sums.items()], "own.*", "license_url", F.transform("places", lambda p: p["version_doi"]).alias("dataset_versions"))
+    kept = first_per(dealt.select("concept", "sum.*", *dealt.columns[2:]), ["md5", "text"], F.desc("concept")).withColumn("sum", F.struct("md5", "text"))
+    return kept.select(
+        *[unpacked(F.col(s)).alias(c) for s, c in sums.items()], "filename", "mimetype", "download_url", "license_url", "dataset_versions",
+        landing_page(F.get("dataset_versions", F.lit(0))).alias("landing_page_url"),
+    )
+
+
 def outcomes(dois: DataFrame, resolved: DataFrame, failed: DataFrame | None = None) -> DataFrame:
     """doi, status and error: each asked DOI once. failed: doi and error of DOIs whose rows were quarantined."""
     asked = dois.select("doi").distinct()

@@ -113,3 +113,60 @@ def test_long_texts_look_at_their_likely_holders_alone(spark, monkeypatch):
     found = {tuple(r) for r in postings.contained(own, other, 8).select("held", "holder").collect()}
     assert found == {(i, j) for s, i, t in held for z, j, u in holders if s == z and t in u}
     assert sorted(seen) == [(2, len(holders)), (12, 67)]  # the one in vain differs in its last character
+
+
+def landed_rows(n):
+    """Landed records as JSON: few concepts, DOIs that repeat or lack, and files in several versions and concepts."""
+    import random
+
+    rng = random.Random(3)
+    for i in range(n):
+        files = [{"key": f"f{rng.randrange(4)}", "size": rng.randrange(1, 9), "checksum": rng.choice(["", "md5:"]) + f"{rng.randrange(12):032x}", "mimetype": rng.choice(["text/csv", "image/png"]), "links": {"self": f"u{i}/{k}"}} for k in range(0 if i % 13 == 6 else rng.randrange(6))]  # what repeats a DOI has no files of its own, so no two are at one place
+        doi = None if i % 11 == 5 else f"10.5281/zenodo.{i - i % 4 if i % 13 == 6 else i}"
+        licence = {"url": f"l{i}"} if i % 3 == 0 else None
+        yield {"id": i, "conceptdoi": f"c{i % 5}", "metadata": {"doi": doi, "title": f"t{i}", "version": str(i % 7), "license": licence, "keywords": ["a", "a"], "creators": [{"name": "x", "orcid": f"{i % 3:016d}"}]}, "files": files}
+
+
+def test_whole_versions_give_what_the_single_steps_give(spark, capsys, tmp_path):
+    import json
+
+    from loomgraph.functions.shared import materialize_by
+    from loomgraph.operators import records
+    from loomgraph.sources import readers
+
+    (tmp_path / "a.json").write_text("\n".join(map(json.dumps, landed_rows(80))))
+    landed = repository.concept_defaults(readers.read_records(spark, str(tmp_path / "a.json"))).cache()
+    versions = repository.version_links(repository.order_versions(repository.build_versions(landed, "2024-01-01").withColumnRenamed("concept_doi", "concept").withColumn("input_pos", F.col("recid"))))
+    good = repository.dedup_in_version(repository.build_files(landed).where("version_doi is not null")).join(versions.select("concept", "version_doi", "ordinal"), "version_doi")
+    registry = repository.file_registry(good.drop("pos"))
+    wanted = repository.latest_file_inputs(repository.file_inputs(registry, repository.file_chains(good), repository.inherited_license(registry, versions.withColumn("license_url", F.col("license.url")))))
+    own, repeats = repository.share_by_doi(materialize_by(repository.whole_versions(landed, "2024-01-01"), "versions", "concept"))
+    own = repository.dedup_in_row(own)
+    found = repository.whole_file_inputs(own)
+    assert repeats and plan(found, capsys).count("Exchange hashpartitioning") == 1  # by checksum; what is of a concept is read where it lies
+    rows = lambda t: {tuple(map(str, r)) for r in t.select(*sorted(t.columns)).collect()}
+    assert found.count() == 12 and rows(found) == rows(wanted)
+
+    people = repository.build_creators(landed).withColumn("ror_id", F.lit(None).cast("string"))
+    plain = records.dataset_records(repository.dataset_inputs(versions, people, good, repository.preview_images(good)))[1]
+    whole = records.dataset_records(repository.whole_dataset_inputs(own), alone=~F.col("repeated"))[1]
+    pairs = lambda t: [tuple(r) for r in t.collect()]
+    assert len(pairs(whole)) == len(set(pairs(whole))) and set(pairs(whole)) == set(pairs(plain))
+
+
+def test_graphs_that_are_sets_overlay_as_they_merge(spark):
+    from loomgraph.operators import records
+
+    r = lambda *ids: spark.createDataFrame([(i, "", f"k{len(ids)}") for i in ids], "record_id string, pid string, kind string")
+    a = lambda *ids: spark.createDataFrame([(i, "name", f"{i}{len(ids)}", "string") for i in ids], ATTRIBUTES)
+    graphs = [(r("a", "b", "c"), a("a", "b", "c")), (r("b", "d"), a("b", "d")), (r("c"), a("c"))]
+    one, other = records.overlay_graphs(graphs), records.merge_graphs(graphs)
+    for x, y in zip(one, other):
+        assert sorted(map(tuple, x.collect())) == sorted(map(tuple, y.collect()))
+
+
+def test_keys_without_a_rule_are_left_before_receivers_are_joined(spark, capsys):
+    own = spark.createDataFrame([("a", "name", "b", "string"), ("a", "cites", "b", "string")], ATTRIBUTES)
+    found = graph.infer_backlinks(own, spark.createDataFrame([("b",)], "record_id string"))
+    assert "key#" in plan(found, capsys) and "cites" in plan(found, capsys)
+    assert [tuple(x) for x in found.collect()] == [("b", "isCitedBy", "a", "string")]
