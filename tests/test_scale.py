@@ -170,3 +170,25 @@ def test_keys_without_a_rule_are_left_before_receivers_are_joined(spark, capsys)
     found = graph.infer_backlinks(own, spark.createDataFrame([("b",)], "record_id string"))
     assert "key#" in plan(found, capsys) and "cites" in plan(found, capsys)
     assert [tuple(x) for x in found.collect()] == [("b", "isCitedBy", "a", "string")]
+
+
+def test_fan_out_is_small_where_it_is_written(spark, tmp_path):
+    """5003 versions of one concept, 400 DOIs: a run over all versions is longer than a codec looks back."""
+    resolved = spark.range(400).select(F.concat(F.lit("d"), "id").alias("doi"), F.col("id").alias("recid"), F.lit("hot").alias("concept"))
+    versions = spark.range(5003).select(F.lit("hot").alias("concept"), (F.col("id") * 25 + F.col("id") % 11).alias("version_recid"))
+    repository.fan_out_versions(resolved, versions).write.parquet(str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).distinct().count() == 400 * 5003
+    assert sum(f.stat().st_size for f in (tmp_path / "out").glob("part-*")) < 1_000_000
+
+
+@pytest.mark.parametrize("fan_out", [7, 1_000_000])
+def test_fan_out_keeps_rows_that_repeat_or_lack_a_version(spark, monkeypatch, fan_out):
+    from collections import Counter
+
+    monkeypatch.setattr(repository, "FAN_OUT", fan_out)
+    monkeypatch.setattr(repository, "RUN", 2, raising=False)
+    asked = [("a", 1, "x"), ("a", 1, "x"), ("b", 2, "x"), ("c", 3, "y"), ("d", 4, None), ("e", 5, "alone"), (None, 6, "y")]
+    held = [("x", 10), ("x", 10), ("x", None), ("x", None), ("x", 11), ("y", 12), ("y", 13), ("other", 14), (None, 15)]
+    found = repository.fan_out_versions(spark.createDataFrame(asked, "doi string, recid long, concept string"), spark.createDataFrame(held, "concept string, version_recid long"))
+    wanted = Counter((doi, c, r if v is None else v) for doi, r, c in asked for v in ([v for k, v in held if c is not None and k == c] or [None]))
+    assert Counter(map(tuple, found.collect())) == wanted
